@@ -1 +1,5 @@
-"""Column expressions; all of them are built-in functions, none a Python UDF."""
+"""SQL expressions of the wire format and of record text.
+
+Each function takes SQL expressions and returns one.  All are built from
+Spark's own functions, so they stay in generated code.
+"""

@@ -2,21 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+def event_text(key: str, cmpkey: str, ts_ms: str, event: str, num: str) -> str:
+    return f"format_string('EventRecord(%s, %s, %d, %s, %d)', {key}, {cmpkey}, {ts_ms}, {event}, {num})"
 
-def event_text(key: Column, cmpkey: Column, ts_ms: Column, event: Column, num: Column) -> Column:
-    return F.format_string("EventRecord(%s, %s, %d, %s, %d)", key, cmpkey, ts_ms, event, num)
 
-
-def pair_text(key: Column, value: Column) -> Column:
+def pair_text(key: str, value: str) -> str:
     """``(key: 1,234, val: One)``: the key's digits are grouped, NULL is ``null``."""
-    null = F.lit("null")
-    return F.concat(
-        F.lit("(key: "),
-        F.coalesce(F.format_number(key, 0), null),
-        F.lit(", val: "),
-        F.coalesce(value, null),
-        F.lit(")"),
+    return (
+        f"concat('(key: ', coalesce(format_number({key}, 0), 'null'), "
+        f"', val: ', coalesce({value}, 'null'), ')')"
     )

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keytide.functions import text
@@ -22,10 +21,13 @@ def to_rows(records: DataFrame, spec: TableSpec, extra: T.StructType | None = No
     further columns to carry along.
     """
     have = {c.lower() for c in records.columns}
-    for field in spec.schema:
-        ms = f"{field.name}_ms"
-        if _is_instant(field) and field.name.lower() not in have and ms.lower() in have:
-            records = records.withColumn(field.name, F.timestamp_millis(F.col(ms)))
+    instants = [
+        f"timestamp_millis(`{f.name}_ms`) as `{f.name}`"
+        for f in spec.schema
+        if _is_instant(f) and f.name.lower() not in have and f"{f.name}_ms".lower() in have
+    ]
+    if instants:
+        records = records.selectExpr("*", *instants)
     target = T.StructType(list(spec.schema) + list(extra or []))
     have = {c.lower() for c in records.columns}
     missing = [c for c in target.names if c.lower() not in have]
@@ -36,18 +38,17 @@ def to_rows(records: DataFrame, spec: TableSpec, extra: T.StructType | None = No
 
 def to_records(rows: DataFrame, spec: TableSpec) -> DataFrame:
     """Rows of ``spec`` as records: timestamps become epoch milliseconds."""
-    return rows.select(
+    return rows.selectExpr(
         *[
-            F.unix_millis(F.col(f.name)).alias(f"{f.name}_ms") if _is_instant(f) else F.col(f.name)
+            f"unix_millis(`{f.name}`) as `{f.name}_ms`" if _is_instant(f) else f"`{f.name}`"
             for f in spec.schema
         ]
     )
 
 
 def event_lines(records: DataFrame, keep: list[str]) -> DataFrame:
-    cols = [F.col(c) for c in ("key", "cmpkey", "ts_ms", "event", "num")]
-    return records.select(*keep, text.event_text(*cols).alias("text"))
+    return records.selectExpr(*keep, f"{text.event_text('key', 'cmpkey', 'ts_ms', 'event', 'num')} as text")
 
 
 def pair_lines(pairs: DataFrame, keep: list[str]) -> DataFrame:
-    return pairs.select(*keep, text.pair_text(F.col("key"), F.col("value")).alias("text"))
+    return pairs.selectExpr(*keep, f"{text.pair_text('key', 'value')} as text")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keytide.schemas import TableSpec
@@ -19,8 +19,7 @@ def latest_per_key(writes: DataFrame, key: Sequence[str], arrival: Sequence[str]
     """
     settled = set(key) | set(arrival)
     order = [*arrival, *[c for c in writes.columns if c not in settled]]
-    newest = Window.partitionBy(*key).orderBy(*[F.col(c).desc() for c in order])
-    return writes.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
+    return _ranked(writes, key, order, "_rank").where("_rank = 1").drop("_rank")
 
 
 def newest_per_partition(rows: DataFrame, spec: TableSpec, n: int) -> DataFrame:
@@ -30,8 +29,7 @@ def newest_per_partition(rows: DataFrame, spec: TableSpec, n: int) -> DataFrame:
     """
     if not spec.clustering:
         raise ValueError(f"{spec.name} has no clustering columns")
-    order = Window.partitionBy(*spec.partition_key).orderBy(*[F.col(c).desc() for c in spec.clustering])
-    return rows.withColumn("pos", F.row_number().over(order)).where(F.col("pos") <= n)
+    return _ranked(rows, spec.partition_key, spec.clustering, "pos").where(f"pos <= {int(n)}")
 
 
 def clustered(rows: DataFrame, spec: TableSpec) -> DataFrame:
@@ -42,3 +40,8 @@ def clustered(rows: DataFrame, spec: TableSpec) -> DataFrame:
     """
     order = [F.col(c).asc() for c in spec.partition_key] + [F.col(c).desc() for c in spec.clustering]
     return rows.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def _ranked(rows: DataFrame, group: Sequence[str], newest_by: Sequence[str], rank: str) -> DataFrame:
+    over = f"partition by {', '.join(group)} order by {', '.join(f'{c} desc' for c in newest_by)}"
+    return rows.selectExpr("*", f"row_number() over ({over}) as {rank}")

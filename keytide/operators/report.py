@@ -40,17 +40,15 @@ def compare_copies(expected: DataFrame, actual: DataFrame) -> DataFrame:
     through one aggregation, which combines before its only shuffle.
     """
     columns = expected.columns
-    one, none = F.lit(1), F.lit(0)
-    sides = expected.select(*columns, one.alias("_e"), none.alias("_a")).unionByName(
-        actual.select(*columns, none.alias("_e"), one.alias("_a"))
+    sides = expected.selectExpr(*columns, "1 as _e", "0 as _a").unionByName(
+        actual.selectExpr(*columns, "0 as _e", "1 as _a")
     )
-    per_row = sides.groupBy(*columns).agg(F.sum("_e").alias("_e"), F.sum("_a").alias("_a"))
-    surplus = F.col("_a") - F.col("_e")
+    per_row = sides.groupBy(*columns).agg(F.expr("sum(_e) as _e"), F.expr("sum(_a) as _a"))
     totals = {
-        "expected_n": F.col("_e"),
-        "actual_n": F.col("_a"),
-        "missing_n": F.greatest(-surplus, F.lit(0)),
-        "unexpected_n": F.greatest(surplus, F.lit(0)),
+        "expected_n": "_e",
+        "actual_n": "_a",
+        "missing_n": "greatest(_e - _a, 0)",
+        "unexpected_n": "greatest(_a - _e, 0)",
     }
-    counts = per_row.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(n) for n, c in totals.items()])
-    return counts.withColumn("passed", (F.col("missing_n") == 0) & (F.col("unexpected_n") == 0))
+    counts = per_row.selectExpr(*[f"coalesce(sum({value}), 0L) as {name}" for name, value in totals.items()])
+    return counts.selectExpr("*", "missing_n = 0 and unexpected_n = 0 as passed")

@@ -6,13 +6,12 @@ import math
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keytide.operators.align import to_rows
 from keytide.operators.current import latest_per_key
 from keytide.schemas import TableSpec
-from keytide.sources.tables import ARRIVAL, current_sql
+from keytide.sources.tables import ARRIVAL, after, current_sql
 
 SEQ = T.StructType([T.StructField("seq", T.LongType())])
 BUCKET_BYTES = 512 * 1024 * 1024
@@ -28,13 +27,12 @@ def append_batch(records: DataFrame, spec: TableSpec, epoch: int, batch_id: int)
     """
     spark = records.sparkSession
     if "seq" not in records.columns:
-        records = records.withColumn("seq", F.lit(0).cast("long"))
-    rows = to_rows(records, spec, extra=SEQ)
-    has_key = F.lit(True)
-    for name in spec.primary_key:
-        has_key = has_key & F.col(name).isNotNull()
-    no_key = F.raise_error(F.lit(f"{spec.name}: NULL in the primary key"))
-    rows = rows.where(F.when(has_key, F.lit(True)).otherwise(no_key.cast("boolean")))
+        records = records.selectExpr("*", "0L as seq")
+    no_key = " or ".join(f"`{c}` is null" for c in spec.primary_key)
+    message = f"{spec.name}: NULL in the primary key"
+    rows = to_rows(records, spec, extra=SEQ).where(
+        f"if({no_key}, cast(raise_error('{message}') as boolean), true)"
+    )
     write_partition(rows, spec.log, epoch, batch_id)
     spark.catalog.refreshTable(spec.log)
 
@@ -50,21 +48,16 @@ def write_partition(rows: DataFrame, table: str, epoch: int, batch_id: int) -> N
 
 def last_batch(spark: SparkSession, spec: TableSpec) -> tuple[int, int] | None:
     """The newest batch of the log, read from its partition list."""
-    found = (
-        _partitions(spark, spec)
-        .orderBy(F.col("epoch").desc(), F.col("batch_id").desc())
-        .first()
-    )
-    return (found["epoch"], found["batch_id"]) if found else None
+    return max(_partitions(spark, spec), default=None)
 
 
 def next_batch(spark: SparkSession, spec: TableSpec, epoch: int = 0) -> int:
     """The batch id for a further batch write under ``epoch``."""
-    found = _partitions(spark, spec).where(F.col("epoch") == epoch).agg(F.max("batch_id")).first()[0]
+    used = [b for e, b in _partitions(spark, spec) if e == epoch]
     state = _state(spark, spec)
-    if state and state["epoch"] == epoch:
-        found = max(state["batch_id"], -1 if found is None else found)
-    return 0 if found is None else found + 1
+    if state and state["mark"][0] == epoch:
+        used.append(state["mark"][1])
+    return max(used, default=-1) + 1
 
 
 def compact(spark: SparkSession, spec: TableSpec, buckets: int | None = None) -> str | None:
@@ -76,17 +69,15 @@ def compact(spark: SparkSession, spec: TableSpec, buckets: int | None = None) ->
     """
     mark = last_batch(spark, spec)
     state = _state(spark, spec)
-    if mark is None or (state and (state["epoch"], state["batch_id"]) >= mark):
+    if mark is None or (state and state["mark"] >= mark):
         return None
     key = list(spec.primary_key)
     if buckets is None:
         buckets = state["buckets"] if state else buckets_for(table_bytes(spark, spec.log))
     spark.catalog.refreshTable(spec.log)
-    log = spark.table(spec.log)
-    new = F.lit(True)
+    writes = spark.table(spec.log).where(f"not ({after(*mark)})")
     if state:
-        new = _after(state["epoch"], state["batch_id"])
-    writes = log.where(new & ~_after(*mark))
+        writes = writes.where(after(*state["mark"]))
     latest = latest_per_key(writes, key, ARRIVAL).select(*spec.columns).repartition(buckets, *key)
     if state:
         kept = spark.table(state["snapshot"]).join(latest.select(*key).hint("merge"), key, "left_anti")
@@ -109,10 +100,9 @@ def drop_compacted(spark: SparkSession, spec: TableSpec) -> None:
     state = _state(spark, spec)
     if not state:
         return
-    mark = (state["epoch"], state["batch_id"])
-    old = _partitions(spark, spec).where(~_after(*mark)).collect()
+    old = [p for p in _partitions(spark, spec) if p <= state["mark"]]
     if old:
-        specs = ", ".join(f"PARTITION (epoch = {p['epoch']}, batch_id = {p['batch_id']})" for p in old)
+        specs = ", ".join(f"PARTITION (epoch = {e}, batch_id = {b})" for e, b in old)
         spark.sql(f"ALTER TABLE {spec.log} DROP IF EXISTS {specs}")
     prefix = f"{spec.name.rsplit('.', 1)[1]}_snapshot_"
     for table in spark.sql(f"SHOW TABLES IN {spec.namespace} LIKE '{prefix}*'").collect():
@@ -136,15 +126,11 @@ def table_bytes(spark: SparkSession, table: str) -> int:
 
 
 
-def _after(epoch: int, batch_id: int):
-    later = (F.col("epoch") == epoch) & (F.col("batch_id") > batch_id)
-    return (F.col("epoch") > epoch) | later
-
-
-def _partitions(spark: SparkSession, spec: TableSpec) -> DataFrame:
-    listed = spark.sql(f"SHOW PARTITIONS {spec.log}")
-    number = lambda i: F.regexp_extract("partition", r"epoch=(-?\d+)/batch_id=(-?\d+)", i).cast("long")
-    return listed.select(number(1).alias("epoch"), number(2).alias("batch_id"))
+def _partitions(spark: SparkSession, spec: TableSpec) -> list[tuple[int, int]]:
+    """Batches of the log, from the catalog: one entry per batch not yet dropped."""
+    listed = spark.sql(f"SHOW PARTITIONS {spec.log}").collect()
+    found = [dict(part.split("=") for part in row["partition"].split("/")) for row in listed]
+    return [(int(p["epoch"]), int(p["batch_id"])) for p in found]
 
 
 def _state(spark: SparkSession, spec: TableSpec) -> dict | None:
@@ -153,5 +139,5 @@ def _state(spark: SparkSession, spec: TableSpec) -> dict | None:
     found = {r["key"]: r["value"] for r in rows}
     if "snapshot" not in found:
         return None
-    numbers = {k: int(found[k]) for k in ("epoch", "batch_id", "buckets")}
-    return {"snapshot": found["snapshot"], **numbers}
+    mark = (int(found["epoch"]), int(found["batch_id"]))
+    return {"snapshot": found["snapshot"], "mark": mark, "buckets": int(found["buckets"])}

@@ -7,8 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from keytide.functions import wire
 from keytide.schemas import DEFAULT_EVENT, EVENT_RECORD
@@ -21,24 +20,18 @@ VALUES = EVENT_RECORD.names
 
 def encode_events(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Event records as stream records ``key STRING, value BINARY``."""
-    payload = F.concat(
-        wire.ms_to_iso(F.col("ts_ms")),
-        F.lit(wire.FIELD_SEP),
-        F.coalesce(F.col("event"), F.lit("null")),
-        F.lit(wire.FIELD_SEP),
-        F.col("num").cast("string"),
+    payload = (
+        f"concat({wire.ms_to_iso('ts_ms')}, '{wire.FIELD_SEP}', coalesce(event, 'null'), "
+        f"'{wire.FIELD_SEP}', cast(num as string))"
     )
-    return events.select(
-        *keep,
-        F.concat(F.col("key"), F.lit(wire.KEY_SEP), F.col("cmpkey")).alias("key"),
-        wire.utf8_bytes(payload).alias("value"),
+    return events.selectExpr(
+        *keep, f"concat(key, '{wire.KEY_SEP}', cmpkey) as key", f"{wire.utf8_bytes(payload)} as value"
     )
 
 
 def frame(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Stream records as lines, ``key|payload``."""
-    line = F.concat(F.col("key"), F.lit(wire.FRAME), wire.utf8_text(F.col("value")))
-    return records.select(*keep, line.alias("line"))
+    return records.selectExpr(*keep, f"concat(key, '{wire.FRAME}', {wire.utf8_text('value')}) as line")
 
 
 def parse_lines(lines: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -47,31 +40,43 @@ def parse_lines(lines: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     ``bad_shape``: not exactly one key part and one payload part.
     ``bad_field``: a part, a time or a number is missing or malformed.
     """
-    pieces = lines.select(*keep, "line", wire.parts(F.col("line"), wire.FRAME).alias("_p"))
-    split = pieces.select(
-        *keep,
-        "line",
-        F.coalesce(F.size("_p") == 2, F.lit(False)).alias("_shaped"),
-        wire.parts(F.get("_p", 0), wire.KEY_SEP).alias("_k"),
-        wire.parts(F.get("_p", 1), wire.FIELD_SEP).alias("_f"),
-    )
-    typed = split.select(
-        *keep,
-        "line",
-        "_shaped",
-        F.get("_k", 0).alias("key"),
-        F.get("_k", 1).alias("cmpkey"),
-        wire.iso_to_ms(F.get("_f", 0)).alias("ts_ms"),
-        F.get("_f", 1).alias("event"),
-        wire.strict_int(F.get("_f", 2)).alias("num"),
-    )
-    whole = F.lit(True)
-    for name in VALUES:
-        whole = whole & F.col(name).isNotNull()
-    status = F.when(~F.col("_shaped"), BAD_SHAPE).when(whole, OK).otherwise(BAD_FIELD)
-    checked = typed.withColumn("status", status)
-    return checked.select(
-        *keep, "line", "status", *[F.when(F.col("status") == OK, F.col(c)).alias(c) for c in VALUES]
+    whole = " and ".join(f"{c} is not null" for c in VALUES)
+    values = ", ".join(f"if(status = '{OK}', {c}, null) as {c}" for c in VALUES)
+    return (
+        lines.selectExpr(*keep, "line", f"{wire.trimmed('line', wire.FRAME)} as _t")
+        .selectExpr(
+            *keep,
+            "line",
+            "_t",
+            f"substring_index(_t, '{wire.FRAME}', 1) as _k",
+            f"substring_index(_t, '{wire.FRAME}', -1) as _f",
+        )
+        .selectExpr(
+            *keep,
+            "line",
+            f"coalesce({wire.two_parts('_t', '_k', '_f')}, false) as _shaped",
+            f"{wire.parts('_k', wire.KEY_SEP)} as _k",
+            f"{wire.parts('_f', wire.FIELD_SEP)} as _f",
+        )
+        .selectExpr(
+            *keep,
+            "line",
+            "_shaped",
+            "get(_k, 0) as key",
+            "get(_k, 1) as cmpkey",
+            f"{wire.iso_to_ms('get(_f, 0)')} as ts_ms",
+            "get(_f, 1) as event",
+            f"{wire.strict_int('get(_f, 2)')} as num",
+        )
+        .selectExpr(
+            *keep,
+            "line",
+            *VALUES,
+            f"case when not _shaped then '{BAD_SHAPE}' when {whole} then '{OK}' else '{BAD_FIELD}' end as status",
+        )
+        # The one-element array keeps filters on the result above the parser;
+        # pushed down, each of them would parse the line again.
+        .selectExpr(*keep, "line", f"inline_outer(array(struct(status, {values})))")
     )
 
 
@@ -82,12 +87,6 @@ def check_policies(on_bad_shape: str, on_bad_field: str) -> None:
         raise ValueError(f"on_bad_field={on_bad_field!r}: use one of {ON_BAD_FIELD}")
 
 
-def _fail_on(status: str) -> Column:
-    """A predicate that is never false; a filter survives column pruning."""
-    message = F.concat(F.lit(f"{status}: "), F.coalesce(F.col("line"), F.lit("NULL")))
-    return F.when(F.col("status") == status, F.raise_error(message)).otherwise(F.lit(True)).cast("boolean")
-
-
 def accept(
     parsed: DataFrame,
     on_bad_shape: str = "default",
@@ -99,19 +98,19 @@ def accept(
     rows = parsed
     for status, policy in ((BAD_SHAPE, on_bad_shape), (BAD_FIELD, on_bad_field)):
         if policy == "fail":
-            rows = rows.where(_fail_on(status))
+            # A filter, since an unused column would be pruned together with the check.
+            message = f"concat('{status}: ', coalesce(line, 'NULL'))"
+            rows = rows.where(f"if(status = '{status}', cast(raise_error({message}) as boolean), true)")
         elif policy in ("drop", "quarantine"):
-            rows = rows.where(F.col("status") != status)
-    values = [F.col(c) for c in VALUES]
+            rows = rows.where(f"status <> '{status}'")
+    values = VALUES
     if on_bad_shape == "default":
-        shapeless = F.col("status") == BAD_SHAPE
         values = [
-            F.when(shapeless, F.lit(DEFAULT_EVENT[f.name]).cast(f.dataType))
-            .otherwise(F.col(f.name))
-            .alias(f.name)
+            f"if(status = '{BAD_SHAPE}', cast('{DEFAULT_EVENT[f.name]}' as {f.dataType.simpleString()}), "
+            f"{f.name}) as {f.name}"
             for f in EVENT_RECORD
         ]
-    return rows.select(*keep, *values)
+    return rows.selectExpr(*keep, *values)
 
 
 def set_aside(
@@ -122,5 +121,6 @@ def set_aside(
 ) -> DataFrame:
     """The malformed lines a policy keeps for inspection."""
     check_policies(on_bad_shape, on_bad_field)
-    wanted = [s for s, p in ((BAD_SHAPE, on_bad_shape), (BAD_FIELD, on_bad_field)) if p == "quarantine"]
-    return parsed.where(F.col("status").isin(wanted)).select(*keep, "status", "line")
+    policies = ((BAD_SHAPE, on_bad_shape), (BAD_FIELD, on_bad_field))
+    wanted = ", ".join(f"'{s}'" for s, policy in policies if policy == "quarantine")
+    return parsed.where(f"status in ({wanted})" if wanted else "false").selectExpr(*keep, "status", "line")

@@ -7,46 +7,33 @@ event's id is its position in the stream.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from keytide.functions import wire
 from keytide.operators.wire import encode_events, frame
 
-SECOND_MS = 1000
-DAY_MS = wire.DAY_MS
-
-EVENTS = T.StructType(
-    [
-        T.StructField("event_id", T.LongType()),
-        T.StructField("ts", T.TimestampNTZType()),
-        T.StructField("user_id", T.LongType()),
-        T.StructField("event_type", T.StringType()),
-    ]
-)
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def instant_ms(rows: DataFrame, column: str) -> Column:
+def instant_ms(rows: DataFrame, column: str) -> str:
     """Epoch ms of a timestamp column; one without a zone holds UTC time."""
     if isinstance(rows.schema[column].dataType, T.TimestampNTZType):
-        return wire.wall_clock_to_ms(F.col(column))
-    return F.unix_millis(F.col(column))
+        return wire.wall_clock_to_ms(column)
+    return f"unix_millis({column})"
 
 
 def to_event_records(events: DataFrame, unit_ms: int = 1) -> DataFrame:
     ts_ms = instant_ms(events, "ts")
-    return events.select(
+    return events.selectExpr(
         "event_id",
-        F.col("event_type").alias("key"),
-        (F.col("user_id") % 10).cast("string").alias("cmpkey"),
-        (wire.truncate_ms(ts_ms, unit_ms) if unit_ms > 1 else ts_ms).alias("ts_ms"),
-        F.col("event_type").alias("event"),
-        (F.col("event_id") % 10).cast("int").alias("num"),
+        "event_type as key",
+        "cast(user_id % 10 as string) as cmpkey",
+        f"{wire.truncate_ms(ts_ms, unit_ms) if unit_ms > 1 else ts_ms} as ts_ms",
+        "event_type as event",
+        "cast(event_id % 10 as int) as num",
     )
 
 
@@ -60,14 +47,10 @@ def damaged_records(records: DataFrame) -> DataFrame:
     The key of every 50th event has a separator too many, and the number of the
     event after it is none.
     """
-    sent = encode_events(records, keep=["event_id"])
-    turn = F.col("event_id") % 50
-    return sent.select(
-        F.when(turn == 0, F.concat("key", F.lit("|"))).otherwise(F.col("key")).alias("key"),
-        F.when(turn == 1, F.concat("value", wire.utf8_bytes(F.lit("x"))))
-        .otherwise(F.col("value"))
-        .alias("value"),
-        F.col("event_id").alias("seq"),
+    return encode_events(records, keep=["event_id"]).selectExpr(
+        "if(event_id % 50 = 0, concat(key, '|'), key) as key",
+        f"if(event_id % 50 = 1, concat(value, {wire.utf8_bytes("'x'")}), value) as value",
+        "event_id as seq",
     )
 
 
@@ -78,40 +61,35 @@ def damaged_lines(records: DataFrame) -> DataFrame:
 
 def variant_lines(records: DataFrame) -> DataFrame:
     """Each event as one of sixteen forms of a line, by its id."""
-    k, c, e, n = (F.col(x).cast("string") for x in ("key", "cmpkey", "event", "num"))
-    iso = wire.ms_to_iso(F.col("ts_ms"))
-    day = F.substring(iso, 1, 10)
-    clock = F.substring(iso, 1, 19)
-    text = lambda *cols: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in cols])
     forms = [
-        text(k, ":", c, "|", iso, ";", e, ";", n),
-        text(k, ":", c, "|", clock, ".123+02:00;", e, ";+", n),
-        text(k, ":", c, ":z|", iso, ";", e, ";", n, ";x;y"),
-        text(k, ":", c, "|", iso, ";", e, ";", n, "|"),
-        text(":", c, "|", iso, ";;-", n),
-        text(k, ":", c),
-        text(""),
-        text("|"),
-        text(k, ":", c, "|", iso, "|", e, ";", n),
-        text(k, "|", iso, ";", e, ";", n),
-        text(k, ":|", iso, ";", e, ";", n),
-        text(k, ":", c, "|", iso, ";", e, ";"),
-        text(k, ":", c, "|", iso, ";", e, ";", n, ".7"),
-        text(k, ":", c, "|", iso, ";", e, "; ", n),
-        text(k, ":", c, "|", iso, ";", e, ";99999999999"),
-        text(k, ":", c, "|", day, ";", e, ";", n),
+        "key, ':', cmpkey, '|', iso, ';', event, ';', num",
+        "key, ':', cmpkey, '|', substring(iso, 1, 19), '.123+02:00;', event, ';+', num",
+        "key, ':', cmpkey, ':z|', iso, ';', event, ';', num, ';x;y'",
+        "key, ':', cmpkey, '|', iso, ';', event, ';', num, '|'",
+        "':', cmpkey, '|', iso, ';;-', num",
+        "key, ':', cmpkey",
+        "''",
+        "'|'",
+        "key, ':', cmpkey, '|', iso, '|', event, ';', num",
+        "key, '|', iso, ';', event, ';', num",
+        "key, ':|', iso, ';', event, ';', num",
+        "key, ':', cmpkey, '|', iso, ';', event, ';'",
+        "key, ':', cmpkey, '|', iso, ';', event, ';', num, '.7'",
+        "key, ':', cmpkey, '|', iso, ';', event, '; ', num",
+        "key, ':', cmpkey, '|', iso, ';', event, ';99999999999'",
+        "key, ':', cmpkey, '|', substring(iso, 1, 10), ';', event, ';', num",
     ]
-    turn = F.col("event_id") % len(forms)
-    line = F.when(turn == 0, forms[0])
-    for i, form in enumerate(forms[1:], start=1):
-        line = line.when(turn == i, form)
-    return records.select("event_id", line.alias("line"))
+    cases = " ".join(f"when {i} then concat({form})" for i, form in enumerate(forms))
+    texts = records.selectExpr(
+        "event_id", "key", "cmpkey", f"{wire.ms_to_iso('ts_ms')} as iso", "event", "cast(num as string) as num"
+    )
+    return texts.selectExpr("event_id", f"case event_id % {len(forms)} {cases} end as line")
 
 
-def id_slices(rows: DataFrame, column: str, n: int) -> list[Column]:
+def id_slices(rows: DataFrame, column: str, n: int) -> list[str]:
     """Conditions that cut a table into ``n`` consecutive ranges of an id."""
-    low, high = rows.agg(F.min(column), F.max(column)).first()
+    low, high = rows.selectExpr(f"min({column})", f"max({column})").first()
     if low is None:
         return []
     cuts = [low + (high - low + 1) * i // n for i in range(n + 1)]
-    return [(F.col(column) >= a) & (F.col(column) < b) for a, b in zip(cuts, cuts[1:])]
+    return [f"{column} >= {a} and {column} < {b}" for a, b in zip(cuts, cuts[1:])]

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keytide.functions import wire
@@ -39,7 +38,7 @@ SLICES = 3
 
 def kv_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = scan(spark, f"{sf_dir}/customer.parquet", fmt="parquet")
-    return customer.select(F.col("c_custkey").alias("key"), F.col("c_name").alias("value"))
+    return customer.selectExpr("c_custkey as key", "c_name as value")
 
 
 def kv_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +47,7 @@ def kv_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _order_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = inputs.table(spark, sf_dir, "orders")
-    return orders.select(F.col("o_orderkey").alias("key"), F.col("o_orderpriority").alias("value"))
+    return orders.selectExpr("o_orderkey as key", "o_orderpriority as value")
 
 
 def kv_take(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,9 +82,7 @@ def kv_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All orders, then a second batch that gives open orders their status."""
     spec = _fresh_pairs(spark, "kv_overwrite")
     orders = inputs.table(spark, sf_dir, "orders")
-    changed = orders.where("o_orderstatus = 'O'").select(
-        F.col("o_orderkey").alias("key"), F.col("o_orderstatus").alias("value")
-    )
+    changed = orders.where("o_orderstatus = 'O'").selectExpr("o_orderkey as key", "o_orderstatus as value")
     append_batch(_order_pairs(spark, sf_dir), spec, epoch=0, batch_id=0)
     append_batch(changed, spec, epoch=0, batch_id=1)
     return scan_keyed(spark, spec).select("key", "value")
@@ -97,27 +94,23 @@ def kv_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four start-up events per customer, one millisecond apart."""
     customer = inputs.table(spark, sf_dir, "customer")
-    step = customer.select(
-        F.col("c_custkey").cast("string").alias("cmpkey"),
-        F.explode(F.sequence(F.lit(0), F.lit(3))).alias("i"),
-    )
-    return step.select(
-        F.lit("bootstrap").alias("key"),
-        "cmpkey",
-        (F.lit(SEED_TIME_MS) + F.col("i")).alias("ts_ms"),
-        F.lit("test").alias("event"),
-        (F.col("i") + 1).alias("num"),
+    return customer.selectExpr("c_custkey", "explode(sequence(0, 3)) as i").selectExpr(
+        "'bootstrap' as key",
+        "cast(c_custkey as string) as cmpkey",
+        f"{SEED_TIME_MS}L + i as ts_ms",
+        "'test' as event",
+        "i + 1 as num",
     )
 
 
 def event_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = inputs.event_records(spark, sf_dir)
     sent = encode_events(records, keep=["event_id"])
-    return sent.select(
+    return sent.selectExpr(
         "event_id",
-        F.col("key").alias("partition_key"),
-        wire.utf8_text(F.col("value")).alias("data"),
-        F.octet_length("value").alias("n_bytes"),
+        "key as partition_key",
+        f"{wire.utf8_text('value')} as data",
+        "octet_length(value) as n_bytes",
     )
 
 
@@ -125,7 +118,7 @@ def event_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.damaged_lines(inputs.event_records(spark, sf_dir))
 
 
-def _parsed(spark: SparkSession, sf_dir: str, unit_ms: int = inputs.SECOND_MS) -> DataFrame:
+def _parsed(spark: SparkSession, sf_dir: str, unit_ms: int = wire.SECOND_MS) -> DataFrame:
     lines = inputs.damaged_lines(inputs.event_records(spark, sf_dir, unit_ms))
     return parse_lines(lines, keep=["event_id"])
 
@@ -154,26 +147,24 @@ def _current(spark: SparkSession, sf_dir: str, unit_ms: int) -> DataFrame:
 
 def event_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events to lines, lines to events, last write per key; times to the second."""
-    return _current(spark, sf_dir, inputs.SECOND_MS)
+    return _current(spark, sf_dir, wire.SECOND_MS)
 
 
 def event_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with times cut to the day, so that keys recur."""
-    return _current(spark, sf_dir, inputs.DAY_MS)
+    return _current(spark, sf_dir, wire.DAY_MS)
 
 
 def event_clustered_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = event_table("default")
-    rows = to_rows(_current(spark, sf_dir, inputs.DAY_MS), spec)
+    rows = to_rows(_current(spark, sf_dir, wire.DAY_MS), spec)
     newest = newest_per_partition(rows, spec, 3)
-    return newest.select(
-        "key", "cmpkey", F.unix_millis("ts").alias("ts_ms"), "event", "num", "pos"
-    )
+    return newest.selectExpr("key", "cmpkey", "unix_millis(ts) as ts_ms", "event", "num", "pos")
 
 
 def event_clustered_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = event_table("default")
-    rows = to_rows(_current(spark, sf_dir, inputs.SECOND_MS), spec)
+    rows = to_rows(_current(spark, sf_dir, wire.SECOND_MS), spec)
     return to_records(clustered(rows, spec), spec)
 
 
@@ -181,9 +172,7 @@ def event_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records with other column order and case, to rows and back."""
     spec = event_table("default")
     records = inputs.event_records(spark, sf_dir)
-    other = records.select(
-        "num", "event", F.col("ts_ms").alias("TS_MS"), F.col("cmpkey").alias("CmpKey"), "event_id", "key"
-    )
+    other = records.selectExpr("num", "event", "ts_ms as TS_MS", "cmpkey as CmpKey", "event_id", "key")
     return to_records(to_rows(other, spec), spec)
 
 
@@ -216,7 +205,7 @@ def event_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     for batch_id, events in enumerate(slices):
         if batch_id == len(slices) - 1:
             compact(spark, spec)
-        lines = inputs.damaged_lines(inputs.to_event_records(events, inputs.DAY_MS))
+        lines = inputs.damaged_lines(inputs.to_event_records(events, wire.DAY_MS))
         parsed = parse_lines(lines, keep=["event_id"])
         batch = accept(parsed, "default", "drop", keep=["event_id"])
         append_batch(batch.withColumnRenamed("event_id", "seq"), spec, epoch=0, batch_id=batch_id)
@@ -228,7 +217,7 @@ def event_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = _fresh_events(spark, "event_stream_upsert")
     base = namespace_dir(spark, spec.namespace)
     for events in _slices(spark, sf_dir):
-        arriving = inputs.damaged_records(inputs.to_event_records(events, inputs.DAY_MS))
+        arriving = inputs.damaged_records(inputs.to_event_records(events, wire.DAY_MS))
         arriving.write.mode("append").parquet(f"{base}/arrivals")
         stream = as_records(read_stream(spark, "parquet", f"{base}/arrivals", start="earliest"), "parquet")
         ingest(
@@ -248,7 +237,7 @@ def _arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, "parquet", f"{sf_dir}/events.parquet", start="earliest",
         schema=spark.read.parquet(f"{sf_dir}/events.parquet").schema,
     )
-    return inputs.damaged_records(inputs.to_event_records(events, inputs.SECOND_MS))
+    return inputs.damaged_records(inputs.to_event_records(events, wire.SECOND_MS))
 
 
 def event_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -284,18 +273,16 @@ def stream_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _customer_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = inputs.table(spark, sf_dir, "customer")
-    return customer.select(
-        F.col("c_custkey").alias("key"), F.col("c_name").alias("value"), "c_acctbal", "c_mktsegment"
-    )
+    return customer.selectExpr("c_custkey as key", "c_name as value", "c_acctbal", "c_mktsegment")
 
 
 def canary_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A copy that lost one segment and changed the customers in debt."""
     expected = _customer_pairs(spark, sf_dir)
-    actual = expected.where("c_mktsegment <> 'MACHINERY'").withColumn(
-        "value", F.when(F.col("c_acctbal") < 0, F.upper("value")).otherwise(F.col("value"))
+    actual = expected.where("c_mktsegment <> 'MACHINERY'").selectExpr(
+        "key", "if(c_acctbal < 0, upper(value), value) as value"
     )
-    return compare_copies(expected.select("key", "value"), actual.select("key", "value"))
+    return compare_copies(expected.select("key", "value"), actual)
 
 
 def canary_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -53,6 +53,11 @@ def create_table(spark: SparkSession, spec: TableSpec, if_not_exists: bool = Fal
         spark.sql(f"CREATE VIEW {spec.name} AS {current_sql(spec)}")
 
 
+def after(epoch: int, batch_id: int) -> str:
+    """The condition on a write that came after a batch."""
+    return f"epoch > {epoch} OR (epoch = {epoch} AND batch_id > {batch_id})"
+
+
 def current_sql(
     spec: TableSpec, snapshot: str | None = None, mark: tuple[int, int] | None = None
 ) -> str:
@@ -66,20 +71,17 @@ def current_sql(
     key = ", ".join(f"`{c}`" for c in spec.primary_key)
     ties = [f"`{c}`" for c in spec.columns if c not in spec.primary_key]
     order = ", ".join(f"{c} DESC" for c in [*ARRIVAL, *ties])
-    after = ""
-    if mark is not None:
-        epoch, batch_id = mark
-        after = f" WHERE epoch > {epoch} OR (epoch = {epoch} AND batch_id > {batch_id})"
+    where = f" WHERE {after(*mark)}" if mark is not None else ""
     written = (
         f"SELECT {columns} FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) "
-        f"AS _rank FROM {spec.log}{after}) WHERE _rank = 1"
+        f"AS _rank FROM {spec.log}{where}) WHERE _rank = 1"
     )
     if snapshot is None:
         return written
     same = " AND ".join(f"s.`{c}` = w.`{c}`" for c in spec.primary_key)
     return (
         f"SELECT {columns} FROM {snapshot} s LEFT ANTI JOIN "
-        f"(SELECT DISTINCT {key} FROM {spec.log}{after}) w ON {same} UNION ALL {written}"
+        f"(SELECT DISTINCT {key} FROM {spec.log}{where}) w ON {same} UNION ALL {written}"
     )
 
 
