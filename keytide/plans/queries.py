@@ -233,10 +233,10 @@ def event_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table itself as a stream of records."""
-    events = read_stream(
-        spark, "parquet", f"{sf_dir}/events.parquet", start="earliest",
-        schema=spark.read.parquet(f"{sf_dir}/events.parquet").schema,
-    )
+    schema = inputs.table(spark, sf_dir, "events").schema
+    # As a pattern, the path may be one file or a folder of files.
+    path = f"{sf_dir}/events.parque[t]"
+    events = read_stream(spark, "parquet", path, start="earliest", schema=schema)
     return inputs.damaged_records(inputs.to_event_records(events, wire.SECOND_MS))
 
 

@@ -92,8 +92,12 @@ def scan(
     fmt: str | None = None,
     **options: str,
 ) -> DataFrame:
-    """Rows of a table or, with ``fmt``, of whatever that connector calls ``name``."""
+    """Rows of a table or, with ``fmt``, of whatever that connector calls ``name``.
+
+    A table's file list is read anew, as another session may have added a batch.
+    """
     if fmt is None:
+        spark.catalog.refreshTable(name)
         rows = spark.table(name)
     else:
         rows = spark.read.format(fmt).options(**options).load(name)
@@ -101,7 +105,7 @@ def scan(
 
 
 def scan_keyed(spark: SparkSession, spec: TableSpec) -> DataFrame:
-    """Current rows of a keyed table, with the batches other sessions added."""
+    """Current rows of a keyed table."""
     spark.catalog.refreshTable(spec.log)
     return scan(spark, spec.name)
 
