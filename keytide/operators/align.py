@@ -22,7 +22,7 @@ def to_rows(records: DataFrame, spec: TableSpec, extra: T.StructType | None = No
     """
     have = {c.lower() for c in records.columns}
     instants = [
-        f"timestamp_millis(`{f.name}_ms`) as `{f.name}`"
+        f"timestamp_millis({f.name}_ms) as {f.name}"
         for f in spec.schema
         if _is_instant(f) and f.name.lower() not in have and f"{f.name}_ms".lower() in have
     ]
@@ -40,7 +40,7 @@ def to_records(rows: DataFrame, spec: TableSpec) -> DataFrame:
     """Rows of ``spec`` as records: timestamps become epoch milliseconds."""
     return rows.selectExpr(
         *[
-            f"unix_millis(`{f.name}`) as `{f.name}_ms`" if _is_instant(f) else f"`{f.name}`"
+            f"unix_millis({f.name}) as {f.name}_ms" if _is_instant(f) else f"{f.name}"
             for f in spec.schema
         ]
     )

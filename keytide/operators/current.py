@@ -13,13 +13,19 @@ from keytide.schemas import TableSpec
 def latest_per_key(writes: DataFrame, key: Sequence[str], arrival: Sequence[str]) -> DataFrame:
     """One row per ``key``: the one with the greatest ``arrival`` columns.
 
-    The rank limit runs once before the shuffle too, so a key that holds a large
-    share of all writes sends one row per input partition.  Ties in ``arrival``
-    are settled by the remaining columns, for the same result on every run.
+    A maximum combines before the shuffle, so a key that holds a large share of
+    all writes sends one row per input partition.  Ties in ``arrival`` are
+    settled by the remaining columns, for the same result on every run.
     """
-    settled = set(key) | set(arrival)
-    order = [*arrival, *[c for c in writes.columns if c not in settled]]
-    return _ranked(writes, key, order, "_rank").where("_rank = 1").drop("_rank")
+    last = writes.groupBy(*key).agg(F.expr(f"{greatest_write(writes.columns, key, arrival)} as _last"))
+    values = {c: c if c in key else f"_last.{c} as {c}" for c in writes.columns}
+    return last.selectExpr(*values.values())
+
+
+def greatest_write(columns: Sequence[str], key: Sequence[str], arrival: Sequence[str]) -> str:
+    """The aggregate over a key's writes that holds all columns of the last one."""
+    rest = [c for c in columns if c not in key and c not in arrival]
+    return f"max(struct({', '.join([*arrival, *rest])}))"
 
 
 def newest_per_partition(rows: DataFrame, spec: TableSpec, n: int) -> DataFrame:
@@ -29,7 +35,9 @@ def newest_per_partition(rows: DataFrame, spec: TableSpec, n: int) -> DataFrame:
     """
     if not spec.clustering:
         raise ValueError(f"{spec.name} has no clustering columns")
-    return _ranked(rows, spec.partition_key, spec.clustering, "pos").where(f"pos <= {int(n)}")
+    group, newest = ", ".join(spec.partition_key), ", ".join(f"{c} desc" for c in spec.clustering)
+    position = f"row_number() over (partition by {group} order by {newest}) as pos"
+    return rows.selectExpr("*", position).where(f"pos <= {int(n)}")
 
 
 def clustered(rows: DataFrame, spec: TableSpec) -> DataFrame:
@@ -40,8 +48,3 @@ def clustered(rows: DataFrame, spec: TableSpec) -> DataFrame:
     """
     order = [F.col(c).asc() for c in spec.partition_key] + [F.col(c).desc() for c in spec.clustering]
     return rows.repartitionByRange(*order).sortWithinPartitions(*order)
-
-
-def _ranked(rows: DataFrame, group: Sequence[str], newest_by: Sequence[str], rank: str) -> DataFrame:
-    over = f"partition by {', '.join(group)} order by {', '.join(f'{c} desc' for c in newest_by)}"
-    return rows.selectExpr("*", f"row_number() over ({over}) as {rank}")

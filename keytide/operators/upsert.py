@@ -28,7 +28,7 @@ def append_batch(records: DataFrame, spec: TableSpec, epoch: int, batch_id: int)
     spark = records.sparkSession
     if "seq" not in records.columns:
         records = records.selectExpr("*", "0L as seq")
-    no_key = " or ".join(f"`{c}` is null" for c in spec.primary_key)
+    no_key = " or ".join(f"{c} is null" for c in spec.primary_key)
     message = f"{spec.name}: NULL in the primary key"
     rows = to_rows(records, spec, extra=SEQ).where(
         f"if({no_key}, cast(raise_error('{message}') as boolean), true)"
@@ -38,7 +38,7 @@ def append_batch(records: DataFrame, spec: TableSpec, epoch: int, batch_id: int)
 
 
 def write_partition(rows: DataFrame, table: str, epoch: int, batch_id: int) -> None:
-    columns = ", ".join(f"`{c}`" for c in rows.columns)
+    columns = ", ".join(f"{c}" for c in rows.columns)
     rows.sparkSession.sql(
         f"INSERT OVERWRITE TABLE {table} PARTITION (epoch = {int(epoch)}, batch_id = {int(batch_id)}) "
         f"SELECT {columns} FROM {{rows}}",

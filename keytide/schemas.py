@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import types as T
@@ -46,6 +47,12 @@ class TableSpec:
     clustering: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
+        names = [*self.name.split("."), *self.schema.names]
+        if not all(re.fullmatch(r"[A-Za-z_]\w*", n, re.ASCII) for n in names):
+            raise ValueError(f"{self.name}: names are letters, digits and underscores, {names}")
+        reserved = {"epoch", "batch_id", "seq"} & {c.lower() for c in self.schema.names}
+        if reserved:
+            raise ValueError(f"{self.name}: the table keeps its own columns {sorted(reserved)}")
         unknown = [c for c in self.primary_key if c not in self.schema.names]
         if unknown or not self.partition_key:
             raise ValueError(f"{self.name}: bad primary key, unknown columns {unknown}")

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from keytide.operators.align import to_records
+from keytide.operators.current import greatest_write
 from keytide.schemas import TableSpec
 
 # Where a write stands among the writes to its key, oldest first.
@@ -40,7 +41,7 @@ def use_namespace(spark: SparkSession, name: str) -> None:
 
 def create_table(spark: SparkSession, spec: TableSpec, if_not_exists: bool = False, fmt: str = "parquet") -> None:
     guard = "IF NOT EXISTS " if if_not_exists else ""
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.schema)
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in spec.schema)
     clustering = ", ".join(f"{c} DESC" for c in spec.clustering)
     properties = (
         f"TBLPROPERTIES ('partition_key'='{', '.join(spec.partition_key)}', 'clustering'='{clustering}')"
@@ -67,18 +68,17 @@ def current_sql(
     shuffles those writes only, as the snapshot is bucketed by the primary key;
     Spark turns it into a broadcast when they are small enough for that.
     """
-    columns = ", ".join(f"`{c}`" for c in spec.columns)
-    key = ", ".join(f"`{c}`" for c in spec.primary_key)
-    ties = [f"`{c}`" for c in spec.columns if c not in spec.primary_key]
-    order = ", ".join(f"{c} DESC" for c in [*ARRIVAL, *ties])
+    columns = ", ".join(spec.columns)
+    key = ", ".join(spec.primary_key)
+    last = greatest_write(spec.columns, spec.primary_key, ARRIVAL)
+    values = ", ".join(c if c in spec.primary_key else f"_last.{c} AS {c}" for c in spec.columns)
     where = f" WHERE {after(*mark)}" if mark is not None else ""
     written = (
-        f"SELECT {columns} FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) "
-        f"AS _rank FROM {spec.log}{where}) WHERE _rank = 1"
+        f"SELECT {values} FROM (SELECT {key}, {last} AS _last FROM {spec.log}{where} GROUP BY {key})"
     )
     if snapshot is None:
         return written
-    same = " AND ".join(f"s.`{c}` = w.`{c}`" for c in spec.primary_key)
+    same = " AND ".join(f"s.{c} = w.{c}" for c in spec.primary_key)
     return (
         f"SELECT {columns} FROM {snapshot} s LEFT ANTI JOIN "
         f"(SELECT DISTINCT {key} FROM {spec.log}{where}) w ON {same} UNION ALL {written}"

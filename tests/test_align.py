@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 from keytide.operators.align import event_lines, pair_lines, to_records, to_rows
-from keytide.schemas import EVENT_RECORD, PAIR_RECORD, TableSpec, event_table
+from keytide.schemas import EVENT_RECORD, PAIR_RECORD, STREAM_RECORD, TableSpec, event_table
 from keytide.sources.tables import literal_rows
 
 SPEC = event_table("ns")
@@ -33,6 +33,10 @@ def test_spec_checks_its_key():
         TableSpec("ns.t", PAIR_RECORD, ("id",))
     with pytest.raises(ValueError, match="namespace.table"):
         TableSpec("t", PAIR_RECORD, ("key",))
+    with pytest.raises(ValueError, match="its own columns"):
+        TableSpec("ns.t", STREAM_RECORD, ("key",))
+    with pytest.raises(ValueError, match="letters, digits"):
+        TableSpec("ns.t; x", PAIR_RECORD, ("key",))
     assert SPEC.primary_key == ("key", "cmpkey", "ts")
 
 

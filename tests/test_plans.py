@@ -47,12 +47,13 @@ def test_filter_on_status_parses_once(spark, sf_dir):
     assert "PushedFilters" not in text
 
 
-def test_latest_is_limited_before_its_only_shuffle(spark, sf_dir):
+def test_latest_is_combined_before_its_only_shuffle(spark, sf_dir):
     text = plan(queries()["event_ingest"](spark, sf_dir))
     assert text.count("Exchange hashpartitioning") == 1
-    assert re.search(r"row_number\(\), 1, Partial", text)
+    assert text.count("partial_max(struct(event_id") == 1
     keys = re.search(r"Exchange hashpartitioning\(([^)]*)\)", text).group(1)
     assert [k.split("#")[0].strip() for k in keys.split(",")][:3] == ["key", "cmpkey", "ts_ms"]
+    assert "Window" not in text
 
 
 def test_newest_is_limited_before_its_shuffle(spark, sf_dir):
