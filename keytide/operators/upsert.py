@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from keytide.operators.align import to_rows
 from keytide.operators.current import latest_per_key
 from keytide.schemas import TableSpec
+from keytide.session import setting
 from keytide.sources.tables import ARRIVAL, after, current_sql
 
 SEQ = T.StructType([T.StructField("seq", T.LongType())])
@@ -54,7 +55,7 @@ def last_batch(spark: SparkSession, spec: TableSpec) -> tuple[int, int] | None:
 def next_batch(spark: SparkSession, spec: TableSpec, epoch: int = 0) -> int:
     """The batch id for a further batch write under ``epoch``."""
     used = [b for e, b in _partitions(spark, spec) if e == epoch]
-    state = _state(spark, spec)
+    state = snapshot_state(spark, spec)
     if state and state["mark"][0] == epoch:
         used.append(state["mark"][1])
     return max(used, default=-1) + 1
@@ -64,26 +65,21 @@ def compact(spark: SparkSession, spec: TableSpec, buckets: int | None = None) ->
     """Write the current rows as a new snapshot and switch the view to it.
 
     The old snapshot stays where it is until ``drop_compacted``, so running
-    reads finish.  Both sides of the merge are hashed by the primary key into
-    the same number of buckets; only the new writes move.
+    reads finish.
     """
     mark = last_batch(spark, spec)
-    state = _state(spark, spec)
+    state = snapshot_state(spark, spec)
     if mark is None or (state and state["mark"] >= mark):
         return None
-    key = list(spec.primary_key)
     if buckets is None:
         buckets = state["buckets"] if state else buckets_for(table_bytes(spark, spec.log))
     spark.catalog.refreshTable(spec.log)
-    writes = spark.table(spec.log).where(f"not ({after(*mark)})")
-    if state:
-        writes = writes.where(after(*state["mark"]))
-    latest = latest_per_key(writes, key, ARRIVAL).select(*spec.columns).repartition(buckets, *key)
-    if state:
-        kept = spark.table(state["snapshot"]).join(latest.select(*key).hint("merge"), key, "left_anti")
-        latest = kept.select(*spec.columns).unionByName(latest).repartition(buckets, *key)
+    key = list(spec.primary_key)
     snapshot = f"{spec.name}_snapshot_{mark[0]}_{mark[1]}_{uuid.uuid4().hex[:8]}"
-    latest.write.format("parquet").bucketBy(buckets, *key).sortBy(*key).saveAsTable(snapshot)
+    # Without an old snapshot, the shuffle that finds the last writes makes the buckets.
+    with setting(spark, "spark.sql.shuffle.partitions", None if state else str(buckets)):
+        rows = snapshot_rows(spark, spec, mark, buckets, state)
+        rows.write.format("parquet").bucketBy(buckets, *key).sortBy(*key).saveAsTable(snapshot)
     spark.sql(
         f"CREATE OR REPLACE VIEW {spec.name} TBLPROPERTIES ('snapshot'='{snapshot}', "
         f"'epoch'='{mark[0]}', 'batch_id'='{mark[1]}', 'buckets'='{buckets}') "
@@ -92,12 +88,30 @@ def compact(spark: SparkSession, spec: TableSpec, buckets: int | None = None) ->
     return snapshot
 
 
+def snapshot_rows(
+    spark: SparkSession, spec: TableSpec, mark: tuple[int, int], buckets: int, state: dict | None
+) -> DataFrame:
+    """Rows up to ``mark``, hashed by the primary key into ``buckets`` partitions.
+
+    An old snapshot is in these buckets already: only later writes move.
+    """
+    key = list(spec.primary_key)
+    writes = spark.table(spec.log).where(f"not ({after(*mark)})")
+    if state:
+        writes = writes.where(after(*state["mark"]))
+    latest = latest_per_key(writes, key, ARRIVAL).select(*spec.columns).repartition(buckets, *key)
+    if not state:
+        return latest
+    kept = spark.table(state["snapshot"]).join(latest.select(*key).hint("merge"), key, "left_anti")
+    return kept.select(*spec.columns).unionByName(latest).repartition(buckets, *key)
+
+
 def drop_compacted(spark: SparkSession, spec: TableSpec) -> None:
     """Drop the batches and older snapshots that the current snapshot replaces.
 
     Only for when no reader still uses the view as it was before.
     """
-    state = _state(spark, spec)
+    state = snapshot_state(spark, spec)
     if not state:
         return
     old = [p for p in _partitions(spark, spec) if p <= state["mark"]]
@@ -133,7 +147,7 @@ def _partitions(spark: SparkSession, spec: TableSpec) -> list[tuple[int, int]]:
     return [(int(p["epoch"]), int(p["batch_id"])) for p in found]
 
 
-def _state(spark: SparkSession, spec: TableSpec) -> dict | None:
+def snapshot_state(spark: SparkSession, spec: TableSpec) -> dict | None:
     """Snapshot, last batch in it and bucket count, as the view's properties hold them."""
     rows = spark.sql(f"SHOW TBLPROPERTIES {spec.name}").collect()
     found = {r["key"]: r["value"] for r in rows}

@@ -5,6 +5,9 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -43,6 +46,20 @@ def cluster_conf(input_bytes: int, cores: int, shuffle_partition_bytes: int = 12
     }
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str | None) -> Iterator[None]:
+    """Run a block with a session setting changed; ``None`` leaves it as it is."""
+    if value is None:
+        yield
+        return
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as ``spark.checkpoint.dir`` names it.
 
@@ -52,11 +69,15 @@ def shared_dir(spark: SparkSession) -> str:
     if not path:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        path = tempfile.mkdtemp(prefix="keytide-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        path = _local_dir()
     return path.rstrip("/")
 
 
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="keytide-")
+
+
 _scratch: list[str] = []
 
 

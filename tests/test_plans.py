@@ -7,10 +7,10 @@ import re
 import pytest
 
 from __spark_entry__ import queries
-from keytide.operators.upsert import append_batch, compact
+from keytide.operators.upsert import append_batch, compact, snapshot_rows, snapshot_state
 from keytide.plans import inputs
 from keytide.schemas import event_table
-from keytide.session import scratch_namespace
+from keytide.session import scratch_namespace, setting
 from keytide.sources.tables import create_table, scan_keyed
 
 NARROW = (
@@ -92,23 +92,32 @@ def test_key_filter_reaches_snapshot_and_log(spark, compacted):
     assert logs and all("PartitionFilters: [((epoch" in line for line in logs)
 
 
-def _no_broadcast(spark):
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    return before
-
-
 def test_read_shuffles_only_later_writes(spark, compacted):
-    before = _no_broadcast(spark)
-    try:
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
         text = plan(scan_keyed(spark, compacted))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert not exchanges_over_snapshot(text)
+
+
+def exchanges_over_snapshot(text: str) -> list[str]:
+    """Exchanges between the snapshot's scan and the union at the top of a plan."""
     lines = text.splitlines()
-    at = next(i for i, line in enumerate(lines) if "_snapshot_" in line)
+    at = next(i for i, line in enumerate(lines) if "FileScan" in line and "_snapshot_" in line)
     assert "Bucketed: true" in lines[at]
-    join = max(i for i in range(at) if "SortMergeJoin" in lines[i])
-    assert not any("Exchange" in line for line in lines[join:at])
+    assert any("SortMergeJoin" in line for line in lines[:at])
+    return [line for line in lines[:at] if "Exchange" in line]
+
+
+def test_compaction_moves_only_later_writes(spark, compacted):
+    state = snapshot_state(spark, compacted)
+    rows = snapshot_rows(spark, compacted, (0, 1), state["buckets"], state)
+    assert not exchanges_over_snapshot(plan(rows))
+
+
+def test_first_compaction_shuffles_once(spark, compacted):
+    with setting(spark, "spark.sql.shuffle.partitions", "8"):
+        text = plan(snapshot_rows(spark, compacted, (0, 1), 8, None))
+    assert text.count("Exchange") == 1
+    assert "partial_max" in text
 
 
 def test_compaction_writes_one_file_per_bucket(spark, compacted):
