@@ -25,6 +25,9 @@ def append_batch(records: DataFrame, spec: TableSpec, epoch: int, batch_id: int)
     The batch is the table partition ``(epoch, batch_id)``, so writing it again
     replaces it.  The order of rows within the batch is the column ``seq``, if
     there is one.  The write does not shuffle.
+
+    A batch that has been compacted counts as replayed and changes nothing, so a
+    further write takes its number from ``next_batch``.
     """
     spark = records.sparkSession
     if "seq" not in records.columns:

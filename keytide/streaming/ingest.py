@@ -8,7 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from keytide.operators.upsert import append_batch, write_partition
+from keytide.operators.upsert import append_batch, compact, write_partition
 from keytide.operators.wire import accept, check_policies, frame, parse_lines, set_aside
 from keytide.schemas import TableSpec
 
@@ -43,13 +43,15 @@ def ingest(
     preview: Preview | None = None,
     available_now: bool = False,
     interval: str = BATCH_INTERVAL,
+    compact_every: int = 0,
 ) -> StreamingQuery:
     """Start the upsert of a stream into ``spec``.
 
     ``checkpoint`` lies in the shared folder and belongs to this query and
     ``epoch``; a query that starts over with an empty one takes the next epoch.
     The source position is saved after a batch is written, and a batch that runs
-    again replaces what it wrote before.
+    again replaces what it wrote before.  ``compact_every`` compacts the table
+    after each so many batches, which keeps the log's files few.
     """
     check_policies(on_bad_shape, on_bad_field)
     quarantines = "quarantine" in (on_bad_shape, on_bad_field)
@@ -69,6 +71,8 @@ def ingest(
                 aside = set_aside(batch, on_bad_shape, on_bad_field, keep=["seq"])
                 write_partition(aside, spec.quarantine, epoch, batch_id)
             append_batch(events, spec, epoch, batch_id)
+            if compact_every and (batch_id + 1) % compact_every == 0:
+                compact(batch.sparkSession, spec)
         finally:
             if shared:
                 batch.unpersist()

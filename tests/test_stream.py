@@ -7,6 +7,7 @@ from collections import Counter
 
 import pytest
 
+from keytide.operators.upsert import drop_compacted, snapshot_state
 from keytide.operators.wire import encode_events
 from keytide.plans import inputs
 from keytide.schemas import event_table
@@ -89,7 +90,20 @@ def test_replayed_batch_changes_nothing(spark, spec, lines, monkeypatch):
     assert rows_of(scan_records(spark, spec)) == Counter([("a", "1", T0, "foo", 1)])
 
 
-def test_reference_policies(spark, spec, lines):
+def test_compaction_in_the_stream(spark, spec, lines):
+    folder, start = lines
+    for i in range(5):
+        put_lines(folder, f"{i}.txt", [f"a:{i % 3}|2014-10-07T12:20:08Z;foo;{i}"])
+    start(spec, compact_every=2).awaitTermination()
+    assert snapshot_state(spark, spec)["mark"] == (0, 3)
+    expected = Counter([("a", "0", T0, "foo", 3), ("a", "1", T0, "foo", 4), ("a", "2", T0, "foo", 2)])
+    assert rows_of(scan_records(spark, spec)) == expected
+    drop_compacted(spark, spec)
+    assert scan(spark, spec.log).count() == 1
+    assert rows_of(scan_records(spark, spec)) == expected
+
+
+def test_default_and_fail_policies(spark, spec, lines):
     """Shapeless lines collapse into one default row; a bad field stops the query."""
     folder, start = lines
     put_lines(folder, "1.txt", ["bad", "a|b|c", "a:1|2014-10-07T12:20:08Z;foo;1"])
