@@ -13,7 +13,7 @@ DAY_MS = 86_400_000
 
 def trimmed(text: str, sep: str) -> str:
     """Text without the separators at its end: empty last parts do not count."""
-    return f"if(endswith({text}, '{sep}'), rtrim('{sep}', {text}), {text})"
+    return f"if(endswith({text}, '{sep}'), trim(trailing '{sep}' from {text}), {text})"
 
 
 def parts(text: str, sep: str) -> str:
