@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keytide.llm import line_quality, mixing
+from keytide.llm import line_quality, mixing, near_dups
 from keytide.llm.common import load
 
 
@@ -27,6 +27,12 @@ def op6_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's shingle count and component."""
+    found = near_dups.near_duplicates(load(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of each document, next to its source's size and target."""
     mixed = mixing.mix(load(spark, sf_dir, "documents"), keep=["doc_id"])
@@ -42,5 +48,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_line_quality, op9_mixing)
+    f.__name__: f for f in (op6_line_quality, op7_near_dups, op9_mixing)
 }
