@@ -32,7 +32,7 @@ from keytide.llm.text_arrays import mix, powers, shingles, signed, word_slices
 SHINGLE = 5
 PERCENT = 75
 TREES, MIN_DEPTH, DEPTH, OWN = 24, 3, 8, 4
-NEIGHBOURS = 2
+NEIGHBOURS = 12
 K = TREES * OWN
 
 
@@ -96,32 +96,33 @@ def _orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs that lie next to each other in the sorted order, and the partition's ends.
+    """Pairs of different roots close to each other in the sorted order of a region.
 
-    ``edge`` marks the rows at either end of the partition, whose neighbours may
-    lie in the next one.
+    ``edge`` marks the partition's first and last rows, whose neighbours may lie
+    in the partition before or after it.
     """
-    schema = pa.schema([("region", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("edge", pa.int32())])
-    region, node = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    head: list[tuple] = []
+    names = ["region", "a", "b", "edge"]
+    held = np.zeros((3, 0), np.int64)
+    head = None
     for batch in batches:
-        fresh = len(region)
-        region = np.concatenate([region, batch.column("region").to_numpy()])
-        node = np.concatenate([node, batch.column("node").to_numpy()])
-        if len(head) < NEIGHBOURS:
-            head = list(zip(region, node))[:NEIGHBOURS]
-        for step in range(1, NEIGHBOURS + 1):
+        fresh = held.shape[1]
+        rows = np.stack([batch.column(c).to_numpy() for c in ("region", "node", "root")])
+        held = np.concatenate([held, rows], axis=1)
+        if head is None or head.shape[1] < NEIGHBOURS:
+            head = held[:, :NEIGHBOURS]
+        region, node, root = held
+        for step in range(1, min(NEIGHBOURS, len(region) - 1) + 1):
             low = max(fresh - step, 0)
-            same = low + np.flatnonzero(region[low : len(region) - step] == region[low + step :])
-            a, b = node[same], node[same + step]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(region[same]), pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(np.zeros(len(a), np.int32))],
-                schema=schema,
-            )
-        region, node = region[-NEIGHBOURS:], node[-NEIGHBOURS:]
-    for edge, rows in ((1, head), (2, list(zip(region, node)))):
-        r, x = [int(v[0]) for v in rows], [int(v[1]) for v in rows]
-        yield pa.RecordBatch.from_arrays([pa.array(r, pa.int64()), pa.array(x, pa.int64()), pa.array(x, pa.int64()), pa.array([edge] * len(x), pa.int32())], schema=schema)
+            x, y = slice(low, len(region) - step), slice(low + step, None)
+            pair = low + np.flatnonzero((region[x] == region[y]) & (root[x] != root[y]))
+            a, b = node[pair], node[pair + step]
+            columns = [region[pair], np.minimum(a, b), np.maximum(a, b), np.zeros(len(a), np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+        held = held[:, -NEIGHBOURS:]
+    if head is not None:
+        for edge, rows in ((1, head), (2, held)):
+            columns = [*rows, np.full(rows.shape[1], edge)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,12 +160,13 @@ def _confirmed(pairs: DataFrame) -> DataFrame:
 
 
 def _boundary_pairs(ends: list) -> list[tuple[int, int]]:
-    """Neighbours across partitions, from each partition's first and last rows in order."""
-    pairs = []
-    line = [(r["region"], r["a"]) for r in ends]
+    """Neighbours across partitions, from each partition's first and last rows ``(region, node, root)``."""
+    pairs = set()
     for step in range(1, 2 * NEIGHBOURS + 1):
-        pairs += [(min(x[1], y[1]), max(x[1], y[1])) for x, y in zip(line, line[step:]) if x[0] == y[0] and x[1] != y[1]]
-    return pairs
+        for x, y in zip(ends, ends[step:]):
+            if x[0] == y[0] and x[2] != y[2]:
+                pairs.add((min(x[1], y[1]), max(x[1], y[1])))
+    return sorted(pairs)
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -213,16 +215,15 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     roots = components(links)
 
     # Neighbours that the first round left apart.
-    lined = crowded.repartitionByRange("region", "rest", "node").sortWithinPartitions("region", "rest", "node")
-    lined = cut(lined.select("region", "node").mapInArrow(_neighbours, "region long, a long, b long, edge int").distinct())
-    # Two rows or fewer for each end of each partition.
-    ends = lined.where("edge > 0").orderBy("region").collect()
-    across = spark.createDataFrame(_boundary_pairs(ends), "a long, b long")
-    pairs = lined.where("edge = 0").select("a", "b").unionAll(across).distinct()
-    root = lambda side: roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
-    apart = pairs.join(root("a"), "a", "left").join(root("b"), "b", "left")
-    apart = apart.withColumns({"root_a": F.coalesce("root_a", "a"), "root_b": F.coalesce("root_b", "b")})
-    apart = cut(apart.where("root_a <> root_b").select("a", "b"))
+    known = crowded.select("region", "rest", "node").join(roots, "node", "left")
+    known = known.withColumn("root", F.coalesce("root", "node"))
+    lined = known.repartitionByRange("region", "rest", "node").sortWithinPartitions("region", "rest", "node")
+    lined = lined.select("region", "node", "root").mapInArrow(_neighbours, "region long, a long, b long, edge long")
+    lined = cut(lined.distinct())
+    # At most 2 * NEIGHBOURS rows per partition, in the order of the regions.
+    ends = lined.where("edge > 0").orderBy("region", F.desc("edge")).collect()
+    across = spark.createDataFrame(_boundary_pairs([tuple(r)[:3] for r in ends]), "a long, b long")
+    apart = cut(lined.where("edge = 0").select("a", "b").unionAll(across).distinct())
     text = lambda side: held.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}"))
     more = _confirmed(apart.join(text("a"), "a").join(text("b"), "b"))
     roots = components(links.unionAll(more))
