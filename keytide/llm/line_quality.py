@@ -124,7 +124,8 @@ def keep_clean(docs: DataFrame, text_column: str = "text", length_column: str |
 
     ``length_column`` is set to the new length where lines went.
     """
-    kept = judge(docs, text_column).where("kept")
+    # The one-element array keeps the filter above the measures: below, it would repeat them.
+    kept = judge(docs, text_column).select(F.inline_outer(F.array(F.struct("*")))).where("kept")
     changed = F.col("lost_chars") > 0
     columns = []
     for name in docs.columns:

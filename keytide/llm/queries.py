@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keytide.llm import line_quality, mixing, near_dups
+from keytide.llm import decontaminate, line_quality, mixing, near_dups
 from keytide.llm.common import load
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item found in a document, at its most similar window."""
+    found = decontaminate.find_leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+    return found.drop("text_key")
+
+
 def op6_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base measures, base verdict and the verdict after line cleaning, per document."""
     docs = load(spark, sf_dir, "documents")
@@ -48,5 +54,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_line_quality, op7_near_dups, op9_mixing)
+    f.__name__: f for f in (op3_decontaminate, op6_line_quality, op7_near_dups, op9_mixing)
 }
