@@ -7,8 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keytide.llm import decontaminate, line_quality, mixing, near_dups
+from keytide.llm import decontaminate, line_quality, mixing, near_dups, substring, token_codes
 from keytide.llm.common import load
+from keytide.llm.storage import new_folder
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +24,11 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text_key")
 
 
+def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left of each document once earlier documents' passages are gone."""
+    return substring.remove_repeats(load(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op6_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base measures, base verdict and the verdict after line cleaning, per document."""
     docs = load(spark, sf_dir, "documents")
@@ -39,6 +51,12 @@ def op7_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op8_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts encoded, written and read back."""
+    files = token_codes.write_tokens(load(spark, sf_dir, "documents"), new_folder(spark, "tokens"), tokenizer_path())
+    return token_codes.read_tokens(files)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of each document, next to its source's size and target."""
     mixed = mixing.mix(load(spark, sf_dir, "documents"), keep=["doc_id"])
@@ -54,5 +72,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_decontaminate, op6_line_quality, op7_near_dups, op9_mixing)
+    f.__name__: f for f in (op3_decontaminate, op5_substring, op6_line_quality, op7_near_dups, op8_token_codes, op9_mixing)
 }
