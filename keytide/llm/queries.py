@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keytide.llm import decontaminate, line_quality, mixing, near_dups, substring, token_codes
+from keytide.llm import decontaminate, license_scan, line_quality, mixing, near_dups, substring, token_codes, url_graph
 from keytide.llm.common import load
 from keytide.llm.storage import new_folder
 
@@ -18,6 +18,16 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_url_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page's host, path, rule and verdict."""
+    return url_graph.judge_urls(load(spark, sf_dir, "pages"))
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base phrases and license labels of every document."""
+    return license_scan.scan_licenses(load(spark, sf_dir, "documents")).drop("base", "detections")
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item found in a document, at its most similar window."""
     found = decontaminate.find_leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
@@ -72,5 +82,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_decontaminate, op5_substring, op6_line_quality, op7_near_dups, op8_token_codes, op9_mixing)
+    f.__name__: f for f in (op1_url_graph, op2_license_scan, op3_decontaminate, op5_substring, op6_line_quality, op7_near_dups, op8_token_codes, op9_mixing)
 }
