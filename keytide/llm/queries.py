@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keytide.llm import decontaminate, license_scan, line_quality, mixing, near_dups, substring, token_codes, url_graph
+from keytide.llm import decontaminate, license_scan, line_quality, mixing, near_dups, substring, token_codes, url_graph, warc
 from keytide.llm.common import load
 from keytide.llm.storage import new_folder
 
@@ -34,6 +34,13 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text_key")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records and read back."""
+    folder = new_folder(spark, "warc")
+    warc.write_archives(load(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(spark, folder).drop("payload")
+
+
 def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left of each document once earlier documents' passages are gone."""
     return substring.remove_repeats(load(spark, sf_dir, "documents")).drop("kept_text")
@@ -82,5 +89,5 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_graph, op2_license_scan, op3_decontaminate, op5_substring, op6_line_quality, op7_near_dups, op8_token_codes, op9_mixing)
+    f.__name__: f for f in (op1_url_graph, op2_license_scan, op3_decontaminate, op4_warc, op5_substring, op6_line_quality, op7_near_dups, op8_token_codes, op9_mixing)
 }
