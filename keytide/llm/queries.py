@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keytide.llm import decontaminate, license_scan, line_quality, mixing, near_dups, substring, token_codes, url_graph, warc
+from keytide.llm import decontaminate, license_scan, line_dedup, line_quality, mixing, near_dups, substring, token_codes, url_graph, warc
 from keytide.llm.common import load
 from keytide.llm.storage import new_folder
 
@@ -88,6 +88,11 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line with a word: its class, an earlier match, and whether it goes."""
+    return line_dedup.near_lines(load(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_graph, op2_license_scan, op3_decontaminate, op4_warc, op5_substring, op6_line_quality, op7_near_dups, op8_token_codes, op9_mixing)
+    f.__name__: f for f in (op1_url_graph, op2_license_scan, op3_decontaminate, op4_warc, op5_substring, op6_line_quality, op7_near_dups, op8_token_codes, op9_mixing, op10_line_dedup)
 }
