@@ -8,7 +8,8 @@
    neighbours with the longest common prefix: where many classes crowd, the
    order goes on into later values, so depth follows each region's density.
 3. Each class is compared with the first class of most of its regions.  What
-   that joins needs no further test; neighbours still apart are compared next.
+   that joins needs no further test; neighbours still apart are compared next,
+   side by side and then, for what is left, up to twelve places away.
 4. Components of the confirmed links.
 
 No group is ever gathered: regions are combined by a minimum, neighbours are
@@ -32,7 +33,7 @@ from keytide.llm.text_arrays import mix, powers, shingles, signed, word_slices
 SHINGLE = 5
 PERCENT = 75
 TREES, MIN_DEPTH, DEPTH, OWN = 24, 3, 8, 4
-NEIGHBOURS = 12
+REACH = (1, 12)
 K = TREES * OWN
 
 
@@ -95,12 +96,16 @@ def _orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different roots close to each other in the sorted order of a region.
+def _neighbours(reach: int):
+    """Pairs of different roots up to ``reach`` rows apart in the sorted order of a region.
 
     ``edge`` marks the partition's first and last rows, whose neighbours may lie
     in the partition before or after it.
     """
+    return lambda batches: _pairs(batches, reach)
+
+
+def _pairs(batches: Iterator[pa.RecordBatch], reach: int) -> Iterator[pa.RecordBatch]:
     names = ["region", "a", "b", "edge"]
     held = np.zeros((3, 0), np.int64)
     head = None
@@ -108,17 +113,17 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh = held.shape[1]
         rows = np.stack([batch.column(c).to_numpy() for c in ("region", "node", "root")])
         held = np.concatenate([held, rows], axis=1)
-        if head is None or head.shape[1] < NEIGHBOURS:
-            head = held[:, :NEIGHBOURS]
+        if head is None or head.shape[1] < reach:
+            head = held[:, :reach]
         region, node, root = held
-        for step in range(1, min(NEIGHBOURS, len(region) - 1) + 1):
+        for step in range(1, min(reach, len(region) - 1) + 1):
             low = max(fresh - step, 0)
             x, y = slice(low, len(region) - step), slice(low + step, None)
             pair = low + np.flatnonzero((region[x] == region[y]) & (root[x] != root[y]))
             a, b = node[pair], node[pair + step]
             columns = [region[pair], np.minimum(a, b), np.maximum(a, b), np.zeros(len(a), np.int64)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
-        held = held[:, -NEIGHBOURS:]
+        held = held[:, -reach:]
     if head is not None:
         for edge, rows in ((1, head), (2, held)):
             columns = [*rows, np.full(rows.shape[1], edge)]
@@ -159,16 +164,32 @@ def _confirmed(pairs: DataFrame) -> DataFrame:
     return cut(pairs.select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a long, b long"))
 
 
-def _boundary_pairs(ends: list) -> list[tuple[int, int]]:
+def _boundary_pairs(ends: list, reach: int) -> list[tuple[int, int]]:
     """Neighbours across partitions, from each partition's first and last rows ``(region, node, root)``."""
     pairs = set()
-    for step in range(1, 2 * NEIGHBOURS + 1):
+    for step in range(1, 2 * reach + 1):
         for x, y in zip(ends, ends[step:]):
             if x[0] == y[0] and x[2] != y[2]:
                 pairs.add((min(x[1], y[1]), max(x[1], y[1])))
     return sorted(pairs)
 
 
+def _apart(crowded: DataFrame, roots: DataFrame, reach: int, held: DataFrame) -> DataFrame:
+    """Neighbouring classes of different components, with their texts."""
+    known = crowded.select("region", "rest", "node").join(roots, "node", "left")
+    known = known.withColumn("root", F.coalesce("root", "node"))
+    lined = known.repartitionByRange("region", "rest", "node").sortWithinPartitions("region", "rest", "node")
+    lined = lined.select("region", "node", "root").mapInArrow(_neighbours(reach), "region long, a long, b long, edge long")
+    lined = cut(lined.distinct())
+    # At most 2 * reach rows per partition, in the order of the regions.
+    ends = lined.where("edge > 0").orderBy("region", F.desc("edge")).collect()
+    across = _boundary_pairs([tuple(r)[:3] for r in ends], reach)
+    across = crowded.sparkSession.createDataFrame(across, "a long, b long")
+    pairs = cut(lined.where("edge = 0").select("a", "b").unionAll(across).distinct())
+    text = lambda side: held.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}"))
+    return pairs.join(text("a"), "a").join(text("b"), "b")
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id, n_shingles, digest, component_id, kept``, one row per row of ``docs``.
 
@@ -179,7 +200,6 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     Other columns are not read.
     """
     docs = texts(docs, id_column, text_column)
-    spark = docs.sparkSession
     signed_docs = cut(
         docs.mapInArrow(_sign, "doc_id long, n_shingles long, digest binary, signature binary")
     )
@@ -214,19 +234,11 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     links = _confirmed(stars.join(heads, "b"))
     roots = components(links)
 
-    # Neighbours that the first round left apart.
-    known = crowded.select("region", "rest", "node").join(roots, "node", "left")
-    known = known.withColumn("root", F.coalesce("root", "node"))
-    lined = known.repartitionByRange("region", "rest", "node").sortWithinPartitions("region", "rest", "node")
-    lined = lined.select("region", "node", "root").mapInArrow(_neighbours, "region long, a long, b long, edge long")
-    lined = cut(lined.distinct())
-    # At most 2 * NEIGHBOURS rows per partition, in the order of the regions.
-    ends = lined.where("edge > 0").orderBy("region", F.desc("edge")).collect()
-    across = spark.createDataFrame(_boundary_pairs([tuple(r)[:3] for r in ends]), "a long, b long")
-    apart = cut(lined.where("edge = 0").select("a", "b").unionAll(across).distinct())
-    text = lambda side: held.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}"))
-    more = _confirmed(apart.join(text("a"), "a").join(text("b"), "b"))
-    roots = components(links.unionAll(more))
+    # Neighbours still apart: first those side by side, then, for what is left, farther ones.
+    for reach in REACH:
+        more = _confirmed(_apart(crowded, roots, reach, held))
+        links = links.unionAll(more)
+        roots = components(links)
 
     named = classes.select("node", "digest", "doc_id").join(roots, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
