@@ -17,6 +17,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +27,12 @@ from pyspark.sql import functions as F
 
 from keytide.llm.common import cut, texts
 from keytide.llm.storage import open_file, write_whole
+from keytide.llm.text_arrays import slices
 
 MAGIC = 0x3143414454  # "TDAC1" read as a number
 BLOCK = 512  # bits between two entries of a rank directory
 FILE_IDS = 4_000_000
-CACHE_WORDS = 300_000
+CACHE_WORDS = 1_000_000  # about 200 MB
 ENCODE_WORDS = 4096
 SUFFIX = ".dac"
 
@@ -114,10 +116,10 @@ class TokenFile:
 
 
 class WordEncoder:
-    """Encodes texts word by word, with each distinct word encoded once.
+    """Encodes texts word by word, with each known word encoded once.
 
     For a tokenizer that never joins across white space, the ids of a text are
-    those of its words in order.
+    those of its words in order.  The first ``CACHE_WORDS`` words stay known.
     """
 
     def __init__(self, tokenizer_path: str):
@@ -125,30 +127,37 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.cache: dict[bytes, bytes] = {}
-
-    def encode(self, text: bytes) -> bytes:
-        """Little-endian 32-bit ids."""
-        words = text.split()
-        try:
-            return b"".join(map(self.cache.__getitem__, words))
-        except KeyError:
-            missing = list(set(words).difference(self.cache))
-        if len(self.cache) + len(missing) > CACHE_WORDS:
-            self.cache.clear()
-            missing = list(set(words))
+        self.known: dict[bytes, bytes] = {}
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Each text's ids as little-endian 32-bit numbers."""
+        split = [text.split() for text in texts]
+        missing = list(set().union(*split).difference(self.known))
+        fresh: dict[bytes, bytes] = {}
         for i in range(0, len(missing), ENCODE_WORDS):
             part = missing[i : i + ENCODE_WORDS]
-            found = self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
-            self.cache.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(part, found))
-        return b"".join(map(self.cache.__getitem__, words))
+            found = self.tokenizer.encode([w.decode() for w in part], is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(found.ids, dtype="<u4").tobytes()
+            ends = np.searchsorted(np.array(found.word_ids, dtype=np.int64), np.arange(1, len(part) + 1)) * 4
+            fresh.update((w, ids[a:b]) for w, a, b in zip(part, [0, *ends.tolist()], ends.tolist()))
+        if len(self.known) + len(fresh) <= CACHE_WORDS:
+            self.known.update(fresh)
+            return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        known = self.known
+        return [b"".join([known[w] if w in known else fresh[w] for w in words]) for words in split]
+
+
+@cache
+def encoder(tokenizer_path: str) -> WordEncoder:
+    """One per Python worker, which keeps it from task to task."""
+    return WordEncoder(tokenizer_path)
 
 
 def _writer(folder: str, tokenizer_path: str, end_id: int):
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer_path)
+        encode = encoder(tokenizer_path).encode
         partition = TaskContext.get().partitionId()
         done = shard = 0
         ids, names, nulls, ends, size = [], [], [], [], 0
@@ -164,15 +173,17 @@ def _writer(folder: str, tokenizer_path: str, end_id: int):
             return pa.RecordBatch.from_pydict(row, schema=pa.schema([("partition", pa.int64()), ("path", pa.string()), ("before", pa.int64()), ("n_tokens", pa.int64())]))
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
-                code = encoder.encode(text.as_buffer().to_pybytes()) + end
-                ids.append(code)
-                size += len(code) // 4
-                names.append(doc_id.as_py() or 0)
-                nulls.append(not doc_id.is_valid)
-                ends.append(size)
-                if size >= FILE_IDS:
-                    yield flush()
+            for row, to, data, offsets in slices(batch.column("text")):
+                data = data.tobytes()
+                codes = encode([data[a:b] for a, b in zip(offsets.tolist(), offsets[1:].tolist())])
+                for doc_id, code in zip(batch.column("doc_id")[row:to], codes):
+                    ids.append(code + end)
+                    size += len(code) // 4 + 1
+                    names.append(doc_id.as_py() or 0)
+                    nulls.append(not doc_id.is_valid)
+                    ends.append(size)
+                    if size >= FILE_IDS:
+                        yield flush()
         if names:
             yield flush()
 
