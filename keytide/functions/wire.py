@@ -4,8 +4,8 @@ from __future__ import annotations
 
 # Separators of the framed line and the accepted literal forms.
 FRAME, KEY_SEP, FIELD_SEP = "|", ":", ";"
-ISO_DATE_TIME = r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d+)?(Z|[+-]\d\d:\d\d)?$"
-INTEGER = r"^[+-]?[0-9]+$"
+ISO_DATE_TIME = r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d+)?(Z|[+-]\d\d:\d\d)?\z"
+INTEGER = r"^[+-]?[0-9]+\z"
 
 SECOND_MS = 1000
 DAY_MS = 86_400_000

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import uuid
 
@@ -16,20 +17,34 @@ from keytide.sources.tables import ARRIVAL, after, current_sql
 
 SEQ = T.StructType([T.StructField("seq", T.LongType())])
 BUCKET_BYTES = 512 * 1024 * 1024
-MAX_BUCKETS = 65_536
+WRITER = "writer."  # prefix of the properties that hold writers' epochs
 
 
-def append_batch(records: DataFrame, spec: TableSpec, epoch: int, batch_id: int) -> None:
+def append_batch(
+    records: DataFrame,
+    spec: TableSpec,
+    epoch: int | None = None,
+    batch_id: int = 0,
+    replay: bool = False,
+) -> None:
     """Write one batch: afterwards each key it names has its last row of the batch.
 
     The batch is the table partition ``(epoch, batch_id)``, so writing it again
     replaces it.  The order of rows within the batch is the column ``seq``, if
     there is one.  The write does not shuffle.
 
-    A batch that has been compacted counts as replayed and changes nothing, so a
-    further write takes its number from ``next_batch``.
+    Without an ``epoch`` the write claims one of its own, after all others.  A
+    batch at or below the last compacted one would never show, so it raises;
+    ``replay`` says that it was written before, and then it changes nothing.
     """
     spark = records.sparkSession
+    if epoch is None:
+        epoch = claim_epoch(spark, spec, uuid.uuid4().hex)
+    state = snapshot_state(spark, spec)
+    if state and (epoch, batch_id) <= state["mark"]:
+        if replay:
+            return
+        raise ValueError(f"{spec.name}: batch {(epoch, batch_id)} is at or below the compacted {state['mark']}")
     if "seq" not in records.columns:
         records = records.selectExpr("*", "0L as seq")
     no_key = " or ".join(f"{c} is null" for c in spec.primary_key)
@@ -56,14 +71,40 @@ def last_batch(spark: SparkSession, spec: TableSpec) -> tuple[int, int] | None:
 
 
 def next_batch(spark: SparkSession, spec: TableSpec, epoch: int = 0) -> int:
-    """The batch id for a further batch write under ``epoch``."""
+    """The batch id for a further batch write under ``epoch``, above the compacted ones."""
     used = [b for e, b in _partitions(spark, spec) if e == epoch]
     state = snapshot_state(spark, spec)
+    if state and state["mark"][0] > epoch:
+        raise ValueError(f"{spec.name}: epoch {epoch} ended with the compaction of {state['mark']}")
     if state and state["mark"][0] == epoch:
         used.append(state["mark"][1])
     return max(used, default=-1) + 1
 
 
+def claim_epoch(spark: SparkSession, spec: TableSpec, writer: str, epoch: int | None = None) -> int:
+    """The epoch that belongs to ``writer``, kept in the view's properties.
+
+    A new writer gets the one after all that were claimed, written or compacted,
+    or the free one it asks for.
+    """
+    properties = _properties(spark, spec)
+    name = f"{WRITER}{hashlib.sha256(writer.encode()).hexdigest()[:32]}"
+    if name in properties:
+        own = int(properties[name])
+        if epoch not in (None, own):
+            raise ValueError(f"{spec.name}: {writer} writes epoch {own}, not {epoch}")
+        return own
+    state = snapshot_state(spark, spec)
+    used = {int(v) for k, v in properties.items() if k.startswith(WRITER)} | {e for e, _ in _partitions(spark, spec)}
+    low = state["mark"][0] if state else -1
+    if epoch is None:
+        epoch = max(used | {low}) + 1
+    elif epoch in used or epoch <= low:
+        raise ValueError(f"{spec.name}: epoch {epoch} belongs to another writer or is compacted")
+    spark.sql(f"ALTER VIEW {spec.name} SET TBLPROPERTIES ('{name}'='{epoch}')")
+    return epoch
+
+
 def compact(spark: SparkSession, spec: TableSpec, buckets: int | None = None) -> str | None:
     """Write the current rows as a new snapshot and switch the view to it.
 
@@ -75,7 +116,8 @@ def compact(spark: SparkSession, spec: TableSpec, buckets: int | None = None) ->
     if mark is None or (state and state["mark"] >= mark):
         return None
     if buckets is None:
-        buckets = state["buckets"] if state else buckets_for(table_bytes(spark, spec.log))
+        old = table_bytes(spark, state["snapshot"]) if state else 0
+        buckets = max(buckets_for(table_bytes(spark, spec.log) + old), state["buckets"] if state else 0)
     spark.catalog.refreshTable(spec.log)
     key = list(spec.primary_key)
     snapshot = f"{spec.name}_snapshot_{mark[0]}_{mark[1]}_{uuid.uuid4().hex[:8]}"
@@ -83,10 +125,15 @@ def compact(spark: SparkSession, spec: TableSpec, buckets: int | None = None) ->
     with setting(spark, "spark.sql.shuffle.partitions", None if state else str(buckets)):
         rows = snapshot_rows(spark, spec, mark, buckets, state)
         rows.write.format("parquet").bucketBy(buckets, *key).sortBy(*key).saveAsTable(snapshot)
+    replaced = [*_replaced(spark, spec), *([state["snapshot"]] if state else [])]
+    writers = {k: v for k, v in _properties(spark, spec).items() if k.startswith(WRITER)}
+    properties = {
+        "snapshot": snapshot, "epoch": mark[0], "batch_id": mark[1], "buckets": buckets,
+        "replaced": ",".join(replaced), **writers,
+    }
+    listed = ", ".join(f"'{k}'='{v}'" for k, v in properties.items())
     spark.sql(
-        f"CREATE OR REPLACE VIEW {spec.name} TBLPROPERTIES ('snapshot'='{snapshot}', "
-        f"'epoch'='{mark[0]}', 'batch_id'='{mark[1]}', 'buckets'='{buckets}') "
-        f"AS {current_sql(spec, snapshot, mark)}"
+        f"CREATE OR REPLACE VIEW {spec.name} TBLPROPERTIES ({listed}) AS {current_sql(spec, snapshot, mark)}"
     )
     return snapshot
 
@@ -112,6 +159,7 @@ def snapshot_rows(
 def drop_compacted(spark: SparkSession, spec: TableSpec) -> None:
     """Drop the batches and older snapshots that the current snapshot replaces.
 
+    Snapshots are dropped by the names that compaction noted, and nothing else.
     Only for when no reader still uses the view as it was before.
     """
     state = snapshot_state(spark, spec)
@@ -121,17 +169,15 @@ def drop_compacted(spark: SparkSession, spec: TableSpec) -> None:
     if old:
         specs = ", ".join(f"PARTITION (epoch = {e}, batch_id = {b})" for e, b in old)
         spark.sql(f"ALTER TABLE {spec.log} DROP IF EXISTS {specs}")
-    prefix = f"{spec.name.rsplit('.', 1)[1]}_snapshot_"
-    for table in spark.sql(f"SHOW TABLES IN {spec.namespace} LIKE '{prefix}*'").collect():
-        name = f"{spec.namespace}.{table['tableName']}"
-        if name != state["snapshot"]:
-            spark.sql(f"DROP TABLE {name}")
+    for name in _replaced(spark, spec):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER VIEW {spec.name} SET TBLPROPERTIES ('replaced'='')")
 
 
 def buckets_for(size: int) -> int:
     """A power of two, so that a bucket holds about ``BUCKET_BYTES``."""
     wanted = max(1, math.ceil(size / BUCKET_BYTES))
-    return min(MAX_BUCKETS, max(8, 1 << (wanted - 1).bit_length()))
+    return max(8, 1 << (wanted - 1).bit_length())
 
 
 def table_bytes(spark: SparkSession, table: str) -> int:
@@ -141,8 +187,6 @@ def table_bytes(spark: SparkSession, table: str) -> int:
     return int(described["data_type"].split()[0]) if described else 0
 
 
-
-
 def _partitions(spark: SparkSession, spec: TableSpec) -> list[tuple[int, int]]:
     """Batches of the log, from the catalog: one entry per batch not yet dropped."""
     listed = spark.sql(f"SHOW PARTITIONS {spec.log}").collect()
@@ -150,10 +194,18 @@ def _partitions(spark: SparkSession, spec: TableSpec) -> list[tuple[int, int]]:
     return [(int(p["epoch"]), int(p["batch_id"])) for p in found]
 
 
+def _properties(spark: SparkSession, spec: TableSpec) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {spec.name}").collect()}
+
+
+def _replaced(spark: SparkSession, spec: TableSpec) -> list[str]:
+    """Snapshots that a later one replaced and that are not dropped yet."""
+    return [name for name in _properties(spark, spec).get("replaced", "").split(",") if name]
+
+
 def snapshot_state(spark: SparkSession, spec: TableSpec) -> dict | None:
     """Snapshot, last batch in it and bucket count, as the view's properties hold them."""
-    rows = spark.sql(f"SHOW TBLPROPERTIES {spec.name}").collect()
-    found = {r["key"]: r["value"] for r in rows}
+    found = _properties(spark, spec)
     if "snapshot" not in found:
         return None
     mark = (int(found["epoch"]), int(found["batch_id"]))

@@ -47,6 +47,8 @@ class TableSpec:
     clustering: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
+        # The catalog's names are in lower case.
+        object.__setattr__(self, "name", self.name.lower())
         names = [*self.name.split("."), *self.schema.names]
         if not all(re.fullmatch(r"[A-Za-z_]\w*", n, re.ASCII) for n in names):
             raise ValueError(f"{self.name}: names are letters, digits and underscores, {names}")

@@ -27,21 +27,22 @@ def local_session(cores: int = 8, app: str = "keytide") -> SparkSession:
     )
 
 
-def cluster_conf(input_bytes: int, cores: int, shuffle_partition_bytes: int = 128 * MIB) -> dict[str, str]:
+def cluster_conf(input_bytes: int, cores: int, shuffle_partition_bytes: int = 2048 * MIB) -> dict[str, str]:
     """Settings for a job over ``input_bytes`` on ``cores`` task slots.
 
-    The upsert shuffles each row once.  AQE merges small shuffle partitions but
-    splits none of a window's, so the first number has to be large enough for
-    the data: one partition per ``shuffle_partition_bytes``, taking shuffled
-    rows to be about three times the size of their compressed columnar files.
+    What reaches the upsert's shuffle is combined per key before, so it is taken
+    to be no larger than the files.  Every task of the scan writes a block per
+    shuffle partition, and the driver tracks them: at 100 TB, splits of 1 GB and
+    partitions of 2 GB keep that to some 10^5 tasks and 5 * 10^4 partitions.
     """
-    partitions = max(cores * 2, math.ceil(3 * input_bytes / shuffle_partition_bytes))
+    partitions = max(cores * 2, math.ceil(input_bytes / shuffle_partition_bytes))
+    split = min(1024 * MIB, max(256 * MIB, math.ceil(input_bytes / 100_000)))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(256 * MIB),
+        "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.session.timeZone": "UTC",
     }
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import signal
+import time
 from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from keytide.operators.upsert import append_batch, compact, write_partition
+from keytide.operators.upsert import append_batch, claim_epoch, compact, write_partition
 from keytide.operators.wire import accept, check_policies, frame, parse_lines, set_aside
 from keytide.schemas import TableSpec
 
@@ -37,7 +39,7 @@ def ingest(
     stream: DataFrame,
     spec: TableSpec,
     checkpoint: str,
-    epoch: int = 0,
+    epoch: int | None = None,
     on_bad_shape: str = "quarantine",
     on_bad_field: str = "quarantine",
     preview: Preview | None = None,
@@ -47,8 +49,9 @@ def ingest(
 ) -> StreamingQuery:
     """Start the upsert of a stream into ``spec``.
 
-    ``checkpoint`` lies in the shared folder and belongs to this query and
-    ``epoch``; a query that starts over with an empty one takes the next epoch.
+    ``checkpoint`` lies in the shared folder and belongs to this query.  It owns
+    an epoch of the table, claimed when the query first starts; a query with
+    another checkpoint gets the next one, so it rewrites nobody's batches.
     The source position is saved after a batch is written, and a batch that runs
     again replaces what it wrote before.  ``compact_every`` compacts the table
     after each so many batches, which keeps the log's files few.
@@ -57,6 +60,7 @@ def ingest(
     quarantines = "quarantine" in (on_bad_shape, on_bad_field)
     if quarantines:
         create_quarantine(stream.sparkSession, spec)
+    epoch = claim_epoch(stream.sparkSession, spec, checkpoint, epoch)
     parsed = parse_lines(to_lines(stream), keep=["seq"])
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
@@ -70,7 +74,7 @@ def ingest(
             if quarantines:
                 aside = set_aside(batch, on_bad_shape, on_bad_field, keep=["seq"])
                 write_partition(aside, spec.quarantine, epoch, batch_id)
-            append_batch(events, spec, epoch, batch_id)
+            append_batch(events, spec, epoch, batch_id, True)
             if compact_every and (batch_id + 1) % compact_every == 0:
                 compact(batch.sparkSession, spec)
         finally:
@@ -89,16 +93,34 @@ def print_preview(rows: DataFrame, batch_id: int) -> None:
 
 
 def drain(query: StreamingQuery) -> None:
-    """Stop once everything the source has so far is written."""
+    """Let the batch that runs or starts just now finish, then stop.
+
+    What arrives meanwhile waits for the next start, so this ends on a source
+    that never pauses.
+    """
     try:
-        query.processAllAvailable()
+        before = query.lastProgress["batchId"] if query.lastProgress else -1
+        while query.isActive:
+            progress, status = query.lastProgress, query.status
+            done = progress is not None and progress["batchId"] > before
+            idle = not status["isTriggerActive"] and status["message"].startswith("Waiting")
+            if done or idle:
+                break
+            time.sleep(0.05)
     finally:
         query.stop()
 
 
 def run_until_stopped(query: StreamingQuery) -> None:
-    """Block until the query ends; an interrupt drains it first."""
+    """Block until the query ends; an interrupt or SIGTERM drains it first."""
+
+    def stop(signum, frame):
+        raise KeyboardInterrupt
+
+    before = signal.signal(signal.SIGTERM, stop)
     try:
         query.awaitTermination()
     except KeyboardInterrupt:
         drain(query)
+    finally:
+        signal.signal(signal.SIGTERM, before)

@@ -13,6 +13,7 @@ from keytide.operators.current import clustered, latest_per_key, newest_per_part
 from keytide.operators.upsert import (
     append_batch,
     buckets_for,
+    claim_epoch,
     compact,
     drop_compacted,
     last_batch,
@@ -173,10 +174,47 @@ def test_epochs_and_batch_numbers(spark, namespace):
     assert len([n for n in names if "_snapshot_" in n]) == 1
 
 
+def test_writes_below_the_mark_raise_and_claims_rise(spark, namespace):
+    spec = pair_table(namespace)
+    create_table(spark, spec)
+    row = lambda key, value: literal_rows(spark, [(key, value)], PAIR_RECORD)
+    append_batch(row(1, "a"), spec)
+    append_batch(row(2, "b"), spec)
+    assert claim_epoch(spark, spec, "stream") == 2
+    append_batch(row(3, "c"), spec, 2, 0)
+    compact(spark, spec)
+    assert claim_epoch(spark, spec, "stream") == 2 and claim_epoch(spark, spec, "other") == 3
+    with pytest.raises(ValueError, match="compacted"):
+        append_batch(row(4, "lost"), spec, 1, 5)
+    append_batch(row(3, "c"), spec, 2, 0, True)
+    with pytest.raises(ValueError, match="ended"):
+        next_batch(spark, spec)
+    with pytest.raises(ValueError, match="another writer"):
+        claim_epoch(spark, spec, "third", 3)
+    append_batch(row(1, "z"), spec)
+    assert rows_of(scan_keyed(spark, spec)) == Counter([(1, "z"), (2, "b"), (3, "c")])
+
+
+def test_clean_up_drops_its_own_snapshots_only(spark, namespace):
+    spec = pair_table(namespace, "Kv")
+    create_table(spark, spec)
+    for name in ("kv_snapshot_2024", "kv_snapshot_old"):
+        create_table(spark, pair_table(namespace, name))
+    for value in ("a", "b"):
+        append_batch(literal_rows(spark, [(1, value)], PAIR_RECORD), spec)
+        compact(spark, spec)
+    drop_compacted(spark, spec)
+    drop_compacted(spark, spec)
+    assert rows_of(scan_keyed(spark, spec)) == Counter([(1, "b")])
+    names = {t.name for t in spark.catalog.listTables(namespace)}
+    assert {"kv_snapshot_2024", "kv_snapshot_old"} <= names
+    assert len([n for n in names if n.startswith("kv_snapshot_3") or n.startswith("kv_snapshot_0") or n.startswith("kv_snapshot_1_")]) == 1
+
+
 def test_bucket_count_follows_size(spark, namespace):
     assert buckets_for(0) == 8
     assert buckets_for(100 * 2**30) == 256
-    assert buckets_for(100 * 2**40) == 65_536
+    assert buckets_for(100 * 2**40) == 262_144
     spec = pair_table(namespace)
     create_table(spark, spec)
     append_batch(literal_rows(spark, PAIRS, PAIR_RECORD), spec, 0, 0)

@@ -173,3 +173,10 @@ def test_now_is_the_current_time(spark):
     before = dt.datetime.now().timestamp() * 1000
     now = spark.range(1).selectExpr(wire.now_ms()).first()[0]
     assert before - 1000 <= now <= dt.datetime.now().timestamp() * 1000 + 1000
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_a_line_end_after_a_field_is_no_part_of_it(spark, end):
+    rows = [(f"a:b|2014-10-07T12:20:08Z;foo;1{end}",), (f"a:b|2014-10-07T12:20:08Z{end};foo;1",)]
+    found = parse_lines(spark.createDataFrame(rows, "line string")).select("status").collect()
+    assert [r["status"] for r in found] == ["bad_field", "bad_field"]
