@@ -1,13 +1,15 @@
 """Near-duplicate lines by an exact set-similarity join.
 
-1. Tokens are ordered by rarity: how often each of 65,536 hash buckets of tokens
-   occurs ranks the buckets, and a token's number is its bucket's rank followed
-   by the rest of its hash.  Numbers stand for 64-bit token hashes one to one.
-2. A line is its sorted set of numbers.  Equal sets are one class, represented by
-   their first line.
+1. A line is the set of its tokens' 64-bit hashes.  Equal sets are one class,
+   represented by their first line.
+2. Tokens are ordered by rarity: how many lines have each of 65,536 hash buckets
+   ranks the buckets, and a token's number is its bucket's rank followed by the
+   rest of its hash.  Numbers stand for hashes one to one.
 3. Two sets of Jaccard similarity ``PERCENT`` or more share a token among the
-   first ``n - ceil(t * n) + 1`` of each.  Classes meet by such tokens, and the
-   length and positional filters drop pairs that cannot reach the overlap.
+   first ``n - ceil(t * n) + 1`` of each, and the smaller has it among its first
+   ``n - ceil(2t / (1 + t) * n) + 1``.  Classes meet by such tokens; the length and
+   positional filters drop pairs that cannot reach the overlap, and so does a
+   bitmap of 128 parities: two sets differ in at least as many tokens as bits.
 4. Each class first meets the earliest class at each of its prefix tokens.  What
    that proves a later match is done; only the others meet every earlier class
    at their tokens.  No group of like lines is expanded into its pairs.
@@ -22,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keytide.llm.common import NOT_BLANK, ascii_lower, cut, texts, words
+from keytide.llm.storage import new_folder
 
 PERCENT = 75
 BUCKETS = 1 << 16
@@ -38,10 +41,15 @@ def _bucket(hashed: Column) -> Column:
     return F.shiftrightunsigned(hashed, 48).cast("int")
 
 
-def token_ranks(docs: DataFrame) -> Column:
-    """Rank of each token bucket by how often it occurs, as a literal array of ``BUCKETS`` numbers."""
-    tokens = docs.select(F.explode_outer(words(ascii_lower(F.col("text")))).alias("word")).where("word is not null")
-    counts = tokens.groupBy(_bucket(F.xxhash64("word")).alias("bucket")).count().collect()  # at most BUCKETS rows
+def token_set(line: Column) -> Column:
+    """Hashes of a line's distinct tokens, in their own order."""
+    return F.sort_array(F.array_distinct(F.transform(words(ascii_lower(line)), lambda word: F.xxhash64(word))))
+
+
+def token_ranks(sets: DataFrame) -> Column:
+    """Rank of each token bucket by how many lines' sets have it, as a literal array of ``BUCKETS`` numbers."""
+    tokens = sets.select(F.explode("tokens").alias("token"))
+    counts = tokens.groupBy(_bucket(F.col("token")).alias("bucket")).count().collect()  # at most BUCKETS rows
     often = dict.fromkeys(range(BUCKETS), 0) | {r["bucket"]: r["count"] for r in counts}
     ranks = [0] * BUCKETS
     for rank, bucket in enumerate(sorted(often, key=lambda b: (often[b], b))):
@@ -49,14 +57,13 @@ def token_ranks(docs: DataFrame) -> Column:
     return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<int>")
 
 
-def token_set(line: Column, ranks: Column) -> Column:
-    """A line's distinct tokens as numbers, rarest first."""
-    def number(word: Column) -> Column:
-        hashed = F.xxhash64(word)
-        rank = F.get(ranks, _bucket(hashed)).cast("long") - (BUCKETS >> 1)
-        return F.shiftleft(rank, 48).bitwiseOR(hashed.bitwiseAND(F.lit((1 << 48) - 1)))
+def rarest_first(tokens: str, ranks: Column) -> Column:
+    """A set's tokens as numbers, in the order of their buckets' ranks."""
+    def number(token: Column) -> Column:
+        rank = F.get(ranks, _bucket(token)).cast("long") - (BUCKETS >> 1)
+        return F.shiftleft(rank, 48).bitwiseOR(token.bitwiseAND(F.lit((1 << 48) - 1)))
 
-    return F.sort_array(F.array_distinct(F.transform(words(ascii_lower(line)), number)))
+    return F.sort_array(F.transform(tokens, number))
 
 
 def _keys(tokens: str) -> list[Column]:
@@ -64,16 +71,35 @@ def _keys(tokens: str) -> list[Column]:
     return [F.xxhash64(tokens).alias("k1"), F.xxhash64(F.lit(PERCENT), tokens).alias("k2")]
 
 
+def _bitmap(tokens: str) -> list[Column]:
+    """128 bits, each the parity of how many of the set's tokens fall on it."""
+    def half(which: int) -> Column:
+        def flip(bits: Column, token: Column) -> Column:
+            here = F.shiftrightunsigned(token, 6).bitwiseAND(F.lit(1)) == which
+            one = F.call_function("shiftleft", F.lit(1).cast("long"), token.bitwiseAND(F.lit(63)).cast("int"))
+            return F.when(here, bits.bitwiseXOR(one)).otherwise(bits)
+
+        return F.aggregate(tokens, F.lit(0).cast("long"), flip)
+
+    return [half(0).alias("b0"), half(1).alias("b1")]
+
+
 def _prefix_size(n: Column) -> Column:
     return n - F.ceil(n * PERCENT / 100).cast("int") + 1
 
 
 def _could_match(x: str, y: str) -> Column:
-    """Length and positional filters on a pair that shares a token at places ``at``."""
+    """Filters on a pair that shares a token at places ``at``: length, short prefix, position, bitmap."""
     n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
-    rest = F.least(n - F.col(f"{x}.at"), m - F.col(f"{y}.at"))
-    before = F.least(F.col(f"{x}.at"), F.col(f"{y}.at"))
-    return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & ((100 + PERCENT) * (rest + before) >= PERCENT * (n + m))
+    at, place = F.col(f"{x}.at"), F.col(f"{y}.at")
+    near = 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
+    # Both sets are at least as large as the smaller one, so the overlap is 2t / (1 + t) of it.
+    early = (100 + PERCENT) * (F.least(n, m) - F.when(n <= m, at).otherwise(place)) >= 2 * PERCENT * F.least(n, m)
+    early |= (n == m) & ((100 + PERCENT) * (m - place) >= 2 * PERCENT * m)
+    most = F.least(n - at, m - place) + F.least(at, place)
+    apart = sum(F.bit_count(F.col(f"{x}.{b}").bitwiseXOR(F.col(f"{y}.{b}"))) for b in ("b0", "b1"))
+    most = F.least(2 * most, n + m - apart)
+    return near & early & ((100 + PERCENT) * most >= 2 * PERCENT * (n + m))
 
 
 def near_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -86,31 +112,33 @@ def near_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     lower-cased and their order and number ignored.  Rows that repeat an id have
     their lines at the same places; of those the result has each line.
     """
-    ranks = token_ranks(texts(docs, id_column, text_column))
-    rows = lines_of(docs, id_column, text_column).withColumn("tokens", token_set(F.col("line"), ranks)).drop("line")
-    keyed = rows.select("doc_id", "line_no", F.size("tokens").alias("n"), "tokens", *_keys("tokens"))
+    rows = lines_of(docs, id_column, text_column).withColumn("tokens", token_set(F.col("line"))).drop("line")
+    keyed = rows.select("doc_id", "line_no", F.size("tokens").alias("n"), "tokens", *_keys("tokens"), *_bitmap("tokens"))
+    # Every later step reads the sets from this table instead of making them again.
+    table = new_folder(docs.sparkSession, "lines")
+    keyed.write.parquet(table)
+    keyed = docs.sparkSession.read.parquet(table)
     place = F.struct("doc_id", "line_no")
-    prefix = F.slice("tokens", 1, _prefix_size(F.col("n")))
+    prefix = F.slice(rarest_first("tokens", token_ranks(keyed)), 1, _prefix_size(F.col("n")))
     classes = keyed.withColumn("prefix", prefix).groupBy("k1", "k2").agg(
-        F.min(place).alias("first"), F.first("n").alias("n"), F.first("prefix").alias("prefix")
+        F.min(place).alias("first"), *[F.first(c).alias(c) for c in ("n", "b0", "b1", "prefix")]
     )
     classes = cut(classes.withColumn("node", F.monotonically_increasing_id()))
 
-    spread = classes.select("node", "first", "n", F.posexplode_outer("prefix").alias("at", "token"))
-    entry = F.struct("first", "node", "n", "at").alias("entry")
+    spread = classes.select("node", "first", "n", "b0", "b1", F.posexplode_outer("prefix").alias("at", "token"))
+    entry = F.struct("first", "node", "n", "at", "b0", "b1")
     leaders = spread.groupBy("token").agg(F.min(entry).alias("y"), F.count("*").alias("users")).where("users > 1")
-    met = spread.join(leaders, "token").select("token", entry.alias("x"), "y")
-    crowd = cut(met)
-    near = crowd.where("x.node <> y.node").where(_could_match("x", "y"))
+    near = spread.select("token", entry.alias("x")).join(leaders, "token")
+    near = near.where("x.node <> y.node").where(_could_match("x", "y"))
     pairs = cut(near.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
-    found = _verified(docs, keyed, classes, pairs, id_column, text_column)
+    found = _verified(keyed, classes, pairs)
 
     # Classes that are not yet known to go meet all earlier ones at their tokens.
-    left = crowd.select("token", "x", F.col("x.node").alias("a")).join(found.select("a").distinct(), "a", "left_anti")
-    every = crowd.select("token", F.col("x").alias("y"))
-    more = left.join(every, "token").where("y.first < x.first").where(_could_match("x", "y"))
+    left = spread.join(found.select(F.col("a").alias("node")).distinct(), "node", "left_anti").select("token", entry.alias("x"))
+    more = left.join(spread.select("token", entry.alias("y")), "token")
+    more = more.where("y.first < x.first").where(_could_match("x", "y"))
     more = more.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    found = found.unionAll(_verified(docs, keyed, classes, cut(more), id_column, text_column))
+    found = found.unionAll(_verified(keyed, classes, cut(more)))
 
     matched = found.groupBy("a").agg(F.min("b_first").alias("match"))
     named = classes.join(matched, classes["node"] == matched["a"], "left").select("k1", "k2", "first", "match")
@@ -124,7 +152,7 @@ def near_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     )
 
 
-def _verified(docs: DataFrame, keyed: DataFrame, classes: DataFrame, pairs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+def _verified(keyed: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs whose full sets are similar enough, as ``a, b_first``; ``b`` is earlier."""
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = classes.join(wanted, "node", "left_semi").select(
