@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+# Both formats, their words, brackets and separators.
+
 
 def event_text(key: str, cmpkey: str, ts_ms: str, event: str, num: str) -> str:
     return f"format_string('EventRecord(%s, %s, %d, %s, %d)', {key}, {cmpkey}, {ts_ms}, {event}, {num})"

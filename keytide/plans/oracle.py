@@ -35,7 +35,15 @@ _LINE = f"""
   event_type || ':' || {_CMPKEY} || case when event_id % 50 = 0 then '||' else '|' end
   || {_DATA.replace(_ISO, "strftime(date_trunc('UNIT', ts), '%Y-%m-%dT%H:%M:%SZ')")}
   || case when event_id % 50 = 1 then 'x' else '' end"""
-_SECOND_LINE = _LINE.replace("UNIT", "second")
+_SECOND_LINE, _DAY_LINE = _LINE.replace("UNIT", "second"), _LINE.replace("UNIT", "day")
+
+
+def _set_aside(line: str) -> str:
+    return f"""
+      select event_id as seq, case event_id % 50 when 0 then 'bad_shape' else 'bad_field' end as status,
+        {line} as line
+      from events where event_id % 50 < 2"""
+
 
 _DAY_CURRENT = _current(_DAY)
 _ORDER_PAIRS = "select o_orderkey as key, o_orderpriority as value from orders"
@@ -106,11 +114,12 @@ ORACLE: dict[str, str] = {
         format('(key: {:,}, val: {})', o_orderkey, o_orderpriority) as text
       from orders""",
     "event_compact": _DAY_CURRENT,
+    "event_replay": _DAY_CURRENT,
+    "event_batch_then_stream": _DAY_CURRENT,
+    "event_stream_restart": _DAY_CURRENT,
     "event_stream_upsert": _DAY_CURRENT,
-    "event_stream_quarantine": f"""
-      select event_id as seq, case event_id % 50 when 0 then 'bad_shape' else 'bad_field' end as status,
-        {_SECOND_LINE} as line
-      from events where event_id % 50 < 2""",
+    "event_stream_limited": _set_aside(_DAY_LINE),
+    "event_stream_quarantine": _set_aside(_SECOND_LINE),
     "stream_preview": f"""
       select cast(0 as bigint) as batch_id, event_id as seq, {_VALUES} from ({_accepted(_SECOND)})
       order by event_id limit 10""",

@@ -14,7 +14,7 @@ from keytide.operators.report import compare_copies, count_rows, first_rows
 from keytide.operators.upsert import append_batch, compact, write_partition
 from keytide.operators.wire import accept, encode_events, parse_lines, set_aside
 from keytide.plans import inputs
-from keytide.schemas import EVENT_RECORD, event_table, pair_table
+from keytide.schemas import EVENT_RECORD, TableSpec, event_table, pair_table
 from keytide.session import namespace_dir, scratch_namespace
 from keytide.sources.streams import as_records, read_stream
 from keytide.sources.tables import (
@@ -26,11 +26,12 @@ from keytide.sources.tables import (
     scan_records,
     use_namespace,
 )
-from keytide.streaming.ingest import ingest
+from keytide.streaming.ingest import create_quarantine, ingest
 
 EVENT_KEY = ["key", "cmpkey", "ts_ms"]
 SEED_TIME_MS = 1412684408000
 SLICES = 3
+FILES = 64  # of a micro-batch
 
 
 # Keyed tables
@@ -198,6 +199,29 @@ def _slices(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return [events.where(part) for part in inputs.id_slices(events, "event_id", SLICES)]
 
 
+def _write_slice(events: DataFrame, spec: TableSpec, epoch: int | None, batch_id: int, replay: bool = False) -> None:
+    lines = inputs.damaged_lines(inputs.to_event_records(events, wire.DAY_MS))
+    batch = accept(parse_lines(lines, keep=["event_id"]), "default", "drop", keep=["event_id"])
+    append_batch(batch.withColumnRenamed("event_id", "seq"), spec, epoch, batch_id, replay)
+
+
+def _arrive(events: DataFrame, base: str) -> None:
+    arriving = inputs.damaged_records(inputs.to_event_records(events, wire.DAY_MS))
+    arriving.write.mode("append").parquet(f"{base}/arrivals")
+
+
+def _ingest_arrivals(spark: SparkSession, spec: TableSpec, base: str, checkpoint: str) -> None:
+    stream = as_records(read_stream(spark, "parquet", f"{base}/arrivals", start="earliest", limit=FILES), "parquet")
+    ingest(
+        stream,
+        spec,
+        checkpoint=f"{base}/{checkpoint}",
+        on_bad_shape="default",
+        on_bad_field="drop",
+        available_now=True,
+    ).awaitTermination()
+
+
 def event_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches 0 and 1, compaction, batch 2: snapshot and later writes together."""
     spec = _fresh_events(spark, "event_compact")
@@ -205,10 +229,46 @@ def event_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     for batch_id, events in enumerate(slices):
         if batch_id == len(slices) - 1:
             compact(spark, spec)
-        lines = inputs.damaged_lines(inputs.to_event_records(events, wire.DAY_MS))
-        parsed = parse_lines(lines, keep=["event_id"])
-        batch = accept(parsed, "default", "drop", keep=["event_id"])
-        append_batch(batch.withColumnRenamed("event_id", "seq"), spec, epoch=0, batch_id=batch_id)
+        _write_slice(events, spec, epoch=0, batch_id=batch_id)
+    return scan_records(spark, spec)
+
+
+def event_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each batch is delivered twice, the first one a third time when it is compacted already."""
+    spec = _fresh_events(spark, "event_replay")
+    slices = _slices(spark, sf_dir)
+    for batch_id, events in enumerate(slices):
+        for replay in (False, True):
+            _write_slice(events, spec, 0, batch_id, replay)
+        if batch_id == 0:
+            compact(spark, spec)
+    if slices:
+        _write_slice(slices[0], spec, 0, 0, True)
+    return scan_records(spark, spec)
+
+
+def event_batch_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first part is written as a batch, the rest arrives by stream: both writers own an epoch."""
+    spec = _fresh_events(spark, "event_batch_then_stream")
+    base = namespace_dir(spark, spec.namespace)
+    for part, events in enumerate(_slices(spark, sf_dir)):
+        if part == 0:
+            _write_slice(events, spec, None, 0)
+        else:
+            _arrive(events, base)
+            _ingest_arrivals(spark, spec, base, "checkpoint")
+    return scan_records(spark, spec)
+
+
+def event_stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """After compaction a new checkpoint reads the same records and new ones."""
+    spec = _fresh_events(spark, "event_stream_restart")
+    base = namespace_dir(spark, spec.namespace)
+    for part, events in enumerate(_slices(spark, sf_dir)):
+        _arrive(events, base)
+        if part > 0:
+            _ingest_arrivals(spark, spec, base, f"checkpoint_{part}")
+            compact(spark, spec)
     return scan_records(spark, spec)
 
 
@@ -217,26 +277,31 @@ def event_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = _fresh_events(spark, "event_stream_upsert")
     base = namespace_dir(spark, spec.namespace)
     for events in _slices(spark, sf_dir):
-        arriving = inputs.damaged_records(inputs.to_event_records(events, wire.DAY_MS))
-        arriving.write.mode("append").parquet(f"{base}/arrivals")
-        stream = as_records(read_stream(spark, "parquet", f"{base}/arrivals", start="earliest"), "parquet")
-        ingest(
-            stream,
-            spec,
-            checkpoint=f"{base}/checkpoint",
-            on_bad_shape="default",
-            on_bad_field="drop",
-            available_now=True,
-        ).awaitTermination()
+        _arrive(events, base)
+        _ingest_arrivals(spark, spec, base, "checkpoint")
     return scan_records(spark, spec)
 
 
+def event_stream_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is set aside of records that arrive in several files, one file a micro-batch, in one start."""
+    spec = _fresh_events(spark, "event_stream_limited")
+    base = namespace_dir(spark, spec.namespace)
+    create_quarantine(spark, spec)
+    slices = _slices(spark, sf_dir)
+    for events in slices:
+        _arrive(events, base)
+    if slices:
+        stream = as_records(read_stream(spark, "parquet", f"{base}/arrivals", start="earliest", limit=1), "parquet")
+        ingest(stream, spec, f"{base}/checkpoint", available_now=True).awaitTermination()
+    return scan(spark, spec.quarantine, ["seq", "status", "line"])
+
+
 def _arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table itself as a stream of records."""
     schema = inputs.table(spark, sf_dir, "events").schema
     # As a pattern, the path may be one file or a folder of files.
     path = f"{sf_dir}/events.parque[t]"
-    events = read_stream(spark, "parquet", path, start="earliest", schema=schema)
+    events = read_stream(spark, "parquet", path, start="earliest", limit=FILES, schema=schema)
     return inputs.damaged_records(inputs.to_event_records(events, wire.SECOND_MS))
 
 
@@ -314,7 +379,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         record_text_event,
         record_text_pair,
         event_compact,
+        event_replay,
+        event_batch_then_stream,
+        event_stream_restart,
         event_stream_upsert,
+        event_stream_limited,
         event_stream_quarantine,
         stream_preview,
         canary_report,
