@@ -36,7 +36,7 @@ from keytide.llm.text_arrays import mix, powers, shingles, signed, word_slices
 SHINGLE = 5
 PERCENT = 75
 TREES, MIN_DEPTH, DEPTH, OWN = 24, 3, 8, 4
-REACH = (1, 12)
+REACH = (12,)
 K = TREES * OWN
 AGREE = 50
 
@@ -256,8 +256,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     sketches = classes.select("node", "signature").mapInArrow(_sketches, "node long, sketch binary")
     for reach in REACH:
         more = _confirmed(_apart(crowded, sketches, roots, reach, held))
-        links = links.unionAll(more)
-        roots = components(links)
+        # A component's star stands for the links that made it.
+        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(more))
 
     named = classes.select("node", "digest", "doc_id").join(roots, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
