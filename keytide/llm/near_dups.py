@@ -8,8 +8,8 @@
    neighbours with the longest common prefix: where many classes crowd, the
    order goes on into later values, so depth follows each region's density.
 3. Each class is compared with the first class of most of its regions.  What
-   that joins needs no further test; neighbours still apart are compared next,
-   side by side and then, for what is left, up to twelve places away.  Where
+   that joins needs no further test; neighbours up to twelve places away and
+   still apart are compared next.  Where
    fewer than ``AGREE`` of the ``K`` signature values agree in their low bytes,
    texts are not fetched: a pair at the threshold agrees in 72 on average and
    in fewer than 50 about once in 2.8 million.
@@ -36,7 +36,7 @@ from keytide.llm.text_arrays import mix, powers, shingles, signed, word_slices
 SHINGLE = 5
 PERCENT = 75
 TREES, MIN_DEPTH, DEPTH, OWN = 24, 3, 8, 4
-REACH = (12,)
+REACH = 12
 K = TREES * OWN
 AGREE = 50
 
@@ -252,12 +252,10 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     links = _confirmed(stars.join(heads, "b"))
     roots = components(links)
 
-    # Neighbours still apart: first those side by side, then, for what is left, farther ones.
     sketches = classes.select("node", "signature").mapInArrow(_sketches, "node long, sketch binary")
-    for reach in REACH:
-        more = _confirmed(_apart(crowded, sketches, roots, reach, held))
-        # A component's star stands for the links that made it.
-        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(more))
+    more = _confirmed(_apart(crowded, sketches, roots, REACH, held))
+    # A component's star stands for the links that made it.
+    roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(more))
 
     named = classes.select("node", "digest", "doc_id").join(roots, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
