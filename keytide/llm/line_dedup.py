@@ -10,10 +10,10 @@
    ``n - ceil(2t / (1 + t) * n) + 1``.  Classes meet by such tokens; the length and
    positional filters drop pairs that cannot reach the overlap, and so does a
    bitmap of 128 parities: two sets differ in at least as many tokens as bits.
-4. Each class first meets the earliest class at each of its prefix tokens.  What
-   that proves a later match is done; only the others meet every earlier class
-   at their tokens.  No group of like lines is expanded into its pairs.
-5. Jaccard on the full sets decides.
+4. Every class meets every other at its prefix tokens.  A token of more than
+   ``HOT`` classes is cut into parts of about that many, which meet all of them.
+5. Jaccard on the full sets decides.  All links are found, so a group of like
+   lines costs as many pairs as it has links, and equal lines cost none.
 
 Only DataFrame functions are used.
 """
@@ -28,6 +28,7 @@ from keytide.llm.storage import new_folder
 
 PERCENT = 75
 BUCKETS = 1 << 16
+HOT = 256  # classes at a token, or in a part of one
 
 
 def lines_of(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -102,13 +103,42 @@ def _could_match(x: str, y: str) -> Column:
     return near & early & ((100 + PERCENT) * most >= 2 * PERCENT * (n + m))
 
 
-def near_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``doc_id, line_no, class_doc, class_line, match_doc, match_line, removed`` of every line with a word.
+def _meetings(spread: DataFrame) -> DataFrame:
+    """``a, b``: classes that meet at a token and pass the filters; ``a`` is the lesser node."""
+    entry = F.struct("node", "n", "at", "b0", "b1")
+    hot = spread.groupBy("token").agg(F.count("*").alias("users")).where(f"users > {HOT}")
+    hot = cut(hot.select("token", F.ceil(F.col("users") / HOT).cast("int").alias("parts")))
+    few = spread.join(hot, "token", "left_anti")
+    few = few.select("token", entry.alias("x")).join(few.select("token", entry.alias("y")), "token")
+    many = spread.join(hot, "token")
+    parts = many.select("token", F.pmod(F.hash("node"), F.col("parts")).alias("part"), entry.alias("x"))
+    every = many.select("token", entry.alias("y"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    met = few.select("x", "y").unionAll(parts.join(every, ["token", "part"]).select("x", "y"))
+    met = met.where("x.node < y.node").where(_could_match("x", "y"))
+    return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+
+def _classes_and_links(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The classes with ``node, first, lines``, and all links ``a, b`` between their nodes."""
+    prefix = F.slice(rarest_first("tokens", token_ranks(keyed)), 1, _prefix_size(F.col("n")))
+    classes = keyed.withColumn("prefix", prefix).groupBy("k1", "k2").agg(
+        F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("lines"),
+        *[F.first(c).alias(c) for c in ("n", "b0", "b1", "prefix")],
+    )
+    classes = cut(classes.withColumn("node", F.monotonically_increasing_id()))
+    spread = classes.select("node", "n", "b0", "b1", F.posexplode_outer("prefix").alias("at", "token"))
+    return classes, _verified(keyed, classes, cut(_meetings(spread)))
+
 
-    ``class_*`` is the first line with the same token set, ``match_*`` an earlier
-    line of another set with similarity ``PERCENT`` or more, if there is one.  A
-    line is removed if it is not its class's first or has such a match.  Order is
-    by document id, nulls first, then line; words are compared with A-Z
+def near_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``doc_id, line_no, class_doc, class_line, match_doc, match_line, removed, n_links`` of every line with a word.
+
+    ``class_*`` is the first line with the same token set, ``match_*`` the first
+    earlier line of another set with similarity ``PERCENT`` or more, if there is
+    one.  A line is removed if it is not its class's first or has such a match.
+    ``n_links`` is how many other lines, earlier or later, have similarity
+    ``PERCENT`` or more with it; lines of the same set count.  Order is by
+    document id, nulls first, then line; words are compared with A-Z
     lower-cased and their order and number ignored.  Rows that repeat an id have
     their lines at the same places; of those the result has each line.
     """
@@ -118,56 +148,42 @@ def near_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     table = new_folder(docs.sparkSession, "lines")
     keyed.write.parquet(table)
     keyed = docs.sparkSession.read.parquet(table)
-    place = F.struct("doc_id", "line_no")
-    prefix = F.slice(rarest_first("tokens", token_ranks(keyed)), 1, _prefix_size(F.col("n")))
-    classes = keyed.withColumn("prefix", prefix).groupBy("k1", "k2").agg(
-        F.min(place).alias("first"), *[F.first(c).alias(c) for c in ("n", "b0", "b1", "prefix")]
-    )
-    classes = cut(classes.withColumn("node", F.monotonically_increasing_id()))
-
-    spread = classes.select("node", "first", "n", "b0", "b1", F.posexplode_outer("prefix").alias("at", "token"))
-    entry = F.struct("first", "node", "n", "at", "b0", "b1")
-    leaders = spread.groupBy("token").agg(F.min(entry).alias("y"), F.count("*").alias("users")).where("users > 1")
-    near = spread.select("token", entry.alias("x")).join(leaders, "token")
-    near = near.where("x.node <> y.node").where(_could_match("x", "y"))
-    pairs = cut(near.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
-    found = _verified(keyed, classes, pairs)
-
-    # Classes that are not yet known to go meet all earlier ones at their tokens.
-    left = spread.join(found.select(F.col("a").alias("node")).distinct(), "node", "left_anti").select("token", entry.alias("x"))
-    more = left.join(spread.select("token", entry.alias("y")), "token")
-    more = more.where("y.first < x.first").where(_could_match("x", "y"))
-    more = more.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    found = found.unionAll(_verified(keyed, classes, cut(more)))
-
-    matched = found.groupBy("a").agg(F.min("b_first").alias("match"))
-    named = classes.join(matched, classes["node"] == matched["a"], "left").select("k1", "k2", "first", "match")
+    classes, found = _classes_and_links(keyed)
+
+    ends = found.select("a", "b").unionAll(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = classes.select(F.col("node").alias("b"), F.col("first").alias("other"), F.col("lines").alias("others"))
+    linked = ends.join(others, "b").groupBy("a").agg(F.min("other").alias("least"), F.sum("others").alias("others"))
+    named = classes.join(linked, classes["node"] == linked["a"], "left").select(
+        "k1", "k2", "first", F.when(F.col("least") < F.col("first"), F.col("least")).alias("match"),
+        (F.col("lines") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
+    )
     out = keyed.select("doc_id", "line_no", "k1", "k2").join(named, ["k1", "k2"])
-    later = ~place.eqNullSafe(F.col("first"))
+    later = ~F.struct("doc_id", "line_no").eqNullSafe(F.col("first"))
     return out.select(
         "doc_id", "line_no",
         F.col("first.doc_id").alias("class_doc"), F.col("first.line_no").alias("class_line"),
         F.col("match.doc_id").alias("match_doc"), F.col("match.line_no").alias("match_line"),
         (later | F.col("match").isNotNull()).alias("removed"),
+        "n_links",
     )
 
 
 def _verified(keyed: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs whose full sets are similar enough, as ``a, b_first``; ``b`` is earlier."""
+    """The pairs ``a, b`` whose full sets are similar enough."""
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = classes.join(wanted, "node", "left_semi").select(
-        "node", "k1", "k2", F.col("first.doc_id").alias("_doc"), F.col("first.line_no").alias("_line"), "first"
+        "node", "k1", "k2", F.col("first.doc_id").alias("_doc"), F.col("first.line_no").alias("_line")
     )
     # Sets are taken from the class's first line, met by its place; the keys tell repeated ids apart.
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("line_no") == F.col("_line"))
     sets = keyed.withColumnsRenamed({"k1": "_k1", "k2": "_k2"}).join(wanted, same)
-    sets = cut(sets.where("k1 = _k1 and k2 = _k2").select("node", "first", "tokens").dropDuplicates(["node"]))
+    sets = cut(sets.where("k1 = _k1 and k2 = _k2").select("node", "tokens").dropDuplicates(["node"]))
     a = sets.select(F.col("node").alias("a"), F.col("tokens").alias("a_tokens"))
-    b = sets.select(F.col("node").alias("b"), F.col("tokens").alias("b_tokens"), F.col("first").alias("b_first"))
+    b = sets.select(F.col("node").alias("b"), F.col("tokens").alias("b_tokens"))
     tested = pairs.join(a, "a").join(b, "b")
     both = F.size(F.array_intersect("a_tokens", "b_tokens"))
-    tested = tested.select("a", "b_first", both.alias("both"), (F.size("a_tokens") + F.size("b_tokens")).alias("sum"))
-    return cut(tested.where(f"{100 + PERCENT} * both >= {PERCENT} * sum").select("a", "b_first"))
+    tested = tested.select("a", "b", both.alias("both"), (F.size("a_tokens") + F.size("b_tokens")).alias("sum"))
+    return cut(tested.where(f"{100 + PERCENT} * both >= {PERCENT} * sum").select("a", "b"))
 
 
 def drop_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -89,7 +89,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line with a word: its class, an earlier match, and whether it goes."""
+    """Every line with a word: its class, its first earlier match, whether it goes, and its links."""
     return line_dedup.near_lines(load(spark, sf_dir, "documents"))
 
 

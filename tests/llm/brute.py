@@ -113,3 +113,19 @@ def later_lines(docs):
         s for n, s in enumerate(order) if any(100 * len(s & o) >= 75 * len(s | o) for o in order[:n])
     }
     return {p: first[s] != p or s in hit for p, s in lines.items()}
+
+
+def line_links(docs):
+    """``(doc_id, line_no) -> (other lines alike, first line of the first class before its own that is alike)``."""
+    lines = {(i, k): s for i, t in docs for k, line in enumerate((t or "").split("\n")) if (s := frozenset(low_words(line)))}
+    first = {}
+    for p in sorted(lines):
+        first.setdefault(lines[p], p)
+    alike = lambda s, o: 100 * len(s & o) >= 75 * len(s | o)
+    return {
+        p: (
+            sum(q != p and alike(s, o) for q, o in lines.items()),
+            min((q for o, q in first.items() if o != s and q < first[s] and alike(s, o)), default=None),
+        )
+        for p, s in lines.items()
+    }

@@ -175,6 +175,25 @@ def test_lines(docs, pairs, none, odd):
     assert {r["doc_id"] for r in line_dedup.drop_lines(docs).collect()} == {i for i, _ in got}
 
 
+def test_line_links_are_all_counted(spark, monkeypatch):
+    """Variants of one line, most of them matched by the first already; also with tokens cut into parts."""
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(16)]
+    lines = [" ".join(w if rng.random() < 0.93 else f"v{rng.randrange(5)}" for w in base) for _ in range(60)]
+    lines += lines[:5] + ["other words here", "another line of words"]
+    pairs = [(None if i == 3 else i, "\n".join(lines[i::7])) for i in range(7)]
+    frame = spark.createDataFrame(pairs, "doc_id long, text string")
+    expected = brute.line_links([(-1 if i is None else i, t) for i, t in pairs])
+    for hot in (line_dedup.HOT, 8):
+        monkeypatch.setattr(line_dedup, "HOT", hot)
+        rows = line_dedup.near_lines(frame).collect()
+        got = {(-1 if r["doc_id"] is None else r["doc_id"], r["line_no"]): r for r in rows}
+        assert {p: r["n_links"] for p, r in got.items()} == {p: n for p, (n, _) in expected.items()}
+        match = {p: None if r["match_line"] is None else (-1 if r["match_doc"] is None else r["match_doc"], r["match_line"]) for p, r in got.items()}
+        assert match == {p: m for p, (_, m) in expected.items()}
+    assert max(n for n, _ in expected.values()) > 5
+
+
 def test_mix_meets_targets(spark, none, odd):
     rng = random.Random(7)
     rows = [(i, " ".join(["w"] * rng.choice([3, 5, 5, 5, 20, 90])), rng.choice(["a", "b", "b", "c", None]), None, None, None, None, None) for i in range(600)]
