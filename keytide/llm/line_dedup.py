@@ -72,7 +72,7 @@ def _keys(tokens: str) -> list[Column]:
     return [F.xxhash64(tokens).alias("k1"), F.xxhash64(F.lit(PERCENT), tokens).alias("k2")]
 
 
-def _bitmap(tokens: str) -> list[Column]:
+def bitmap(tokens: str) -> list[Column]:
     """128 bits, each the parity of how many of the set's tokens fall on it."""
     def half(which: int) -> Column:
         def flip(bits: Column, token: Column) -> Column:
@@ -85,7 +85,7 @@ def _bitmap(tokens: str) -> list[Column]:
     return [half(0).alias("b0"), half(1).alias("b1")]
 
 
-def _prefix_size(n: Column) -> Column:
+def prefix_size(n: Column) -> Column:
     return n - F.ceil(n * PERCENT / 100).cast("int") + 1
 
 
@@ -103,9 +103,12 @@ def _could_match(x: str, y: str) -> Column:
     return near & early & ((100 + PERCENT) * most >= 2 * PERCENT * (n + m))
 
 
-def _meetings(spread: DataFrame) -> DataFrame:
-    """``a, b``: classes that meet at a token and pass the filters; ``a`` is the lesser node."""
-    entry = F.struct("node", "n", "at", "b0", "b1")
+def meetings(spread: DataFrame, unlike: str | None = None) -> DataFrame:
+    """``a, b``: classes that meet at a token and pass the filters; ``a`` is the lesser node.
+
+    With ``unlike`` only those that differ in that column.
+    """
+    entry = F.struct("node", "n", "at", "b0", "b1", *[unlike] * (unlike is not None))
     hot = spread.groupBy("token").agg(F.count("*").alias("users")).where(f"users > {HOT}")
     hot = cut(hot.select("token", F.ceil(F.col("users") / HOT).cast("int").alias("parts")))
     few = spread.join(hot, "token", "left_anti")
@@ -114,20 +117,20 @@ def _meetings(spread: DataFrame) -> DataFrame:
     parts = many.select("token", F.pmod(F.hash("node"), F.col("parts")).alias("part"), entry.alias("x"))
     every = many.select("token", entry.alias("y"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     met = few.select("x", "y").unionAll(parts.join(every, ["token", "part"]).select("x", "y"))
-    met = met.where("x.node < y.node").where(_could_match("x", "y"))
+    met = met.where("x.node < y.node").where(f"x.{unlike} <> y.{unlike}" if unlike else "true").where(_could_match("x", "y"))
     return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
 def _classes_and_links(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The classes with ``node, first, lines``, and all links ``a, b`` between their nodes."""
-    prefix = F.slice(rarest_first("tokens", token_ranks(keyed)), 1, _prefix_size(F.col("n")))
+    prefix = F.slice(rarest_first("tokens", token_ranks(keyed)), 1, prefix_size(F.col("n")))
     classes = keyed.withColumn("prefix", prefix).groupBy("k1", "k2").agg(
         F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("lines"),
         *[F.first(c).alias(c) for c in ("n", "b0", "b1", "prefix")],
     )
     classes = cut(classes.withColumn("node", F.monotonically_increasing_id()))
     spread = classes.select("node", "n", "b0", "b1", F.posexplode_outer("prefix").alias("at", "token"))
-    return classes, _verified(keyed, classes, cut(_meetings(spread)))
+    return classes, _verified(keyed, classes, cut(meetings(spread)))
 
 
 def near_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -143,7 +146,7 @@ def near_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     their lines at the same places; of those the result has each line.
     """
     rows = lines_of(docs, id_column, text_column).withColumn("tokens", token_set(F.col("line"))).drop("line")
-    keyed = rows.select("doc_id", "line_no", F.size("tokens").alias("n"), "tokens", *_keys("tokens"), *_bitmap("tokens"))
+    keyed = rows.select("doc_id", "line_no", F.size("tokens").alias("n"), "tokens", *_keys("tokens"), *bitmap("tokens"))
     # Every later step reads the sets from this table instead of making them again.
     table = new_folder(docs.sparkSession, "lines")
     keyed.write.parquet(table)

@@ -13,7 +13,11 @@
    fewer than ``AGREE`` of the ``K`` signature values agree in their low bytes,
    texts are not fetched: a pair at the threshold agrees in 72 on average and
    in fewer than 50 about once in 2.8 million.
-4. Components of the confirmed links.
+4. Regions of more than ``REACH + 1`` classes have pairs that never were
+   neighbours.  Their classes meet by an exact prefix join of their shingle sets,
+   as lines do in ``line_dedup``: all pairs that are similar enough and still in
+   different components are found, whatever the size of the region.
+5. Components of the confirmed links.
 
 No group is ever gathered: regions are combined by a minimum, neighbours are
 read off a range-sorted order that cuts through large regions.
@@ -26,9 +30,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keytide.llm import line_dedup
 from keytide.llm.common import cut, texts
 from keytide.llm.graph import components
 from keytide.llm.text_arrays import mix, powers, shingles, signed, word_slices
@@ -39,6 +45,7 @@ TREES, MIN_DEPTH, DEPTH, OWN = 24, 3, 8, 4
 REACH = 12
 K = TREES * OWN
 AGREE = 50
+PARITIES = 1024
 
 
 def _signatures(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -116,19 +123,21 @@ def _neighbours(reach: int):
     """Likely pairs of different roots up to ``reach`` rows apart in the sorted order of a region.
 
     ``edge`` marks the partition's first and last rows, whose neighbours may lie
-    in the partition before or after it.
+    in the partition before or after it; ``part`` and ``pos`` are their place.
     """
     return lambda batches: _pairs(batches, reach)
 
 
 def _pairs(batches: Iterator[pa.RecordBatch], reach: int) -> Iterator[pa.RecordBatch]:
-    names = ["region", "a", "b", "edge"]
+    names = ["region", "a", "b", "edge", "part", "pos"]
+    part, seen = TaskContext.get().partitionId(), 0
     held, sketches = np.zeros((3, 0), np.int64), np.zeros((0, K), np.uint8)
     head = None
     for batch in batches:
         fresh = held.shape[1]
         rows = np.stack([batch.column(c).to_numpy() for c in ("region", "node", "root")])
         held = np.concatenate([held, rows], axis=1)
+        seen += rows.shape[1]
         sketches = np.concatenate([sketches, _rows(batch.column("sketch"), np.uint8)])
         if head is None or head.shape[1] < reach:
             head = held[:, :reach]
@@ -139,12 +148,12 @@ def _pairs(batches: Iterator[pa.RecordBatch], reach: int) -> Iterator[pa.RecordB
             pair = low + np.flatnonzero((region[x] == region[y]) & (root[x] != root[y]))
             pair = pair[np.count_nonzero(sketches[pair] == sketches[pair + step], axis=1) >= AGREE]
             a, b = node[pair], node[pair + step]
-            columns = [region[pair], np.minimum(a, b), np.maximum(a, b), np.zeros(len(a), np.int64)]
+            columns = [region[pair], np.minimum(a, b), np.maximum(a, b), *np.zeros((3, len(a)), np.int64)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
         held, sketches = held[:, -reach:], sketches[-reach:]
     if head is not None:
-        for edge, rows in ((1, head), (2, held)):
-            columns = [*rows, np.full(rows.shape[1], edge)]
+        for rows, first in ((head, 0), (held, seen - held.shape[1])):
+            columns = [*rows, *(np.full(rows.shape[1], x) for x in (1, part)), first + np.arange(rows.shape[1])]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
 
@@ -183,9 +192,9 @@ def _confirmed(pairs: DataFrame) -> DataFrame:
 
 
 def _boundary_pairs(ends: list, reach: int) -> list[tuple[int, int]]:
-    """Neighbours across partitions, from each partition's first and last rows ``(region, node, root)``."""
+    """Neighbours across partitions, from each partition's first and last rows ``(region, node, root)`` in order."""
     pairs = set()
-    for step in range(1, 2 * reach + 1):
+    for step in range(1, reach + 1):
         for x, y in zip(ends, ends[step:]):
             if x[0] == y[0] and x[2] != y[2]:
                 pairs.add((min(x[1], y[1]), max(x[1], y[1])))
@@ -197,10 +206,10 @@ def _apart(crowded: DataFrame, sketches: DataFrame, roots: DataFrame, reach: int
     known = sketches.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     known = crowded.select("region", "rest", "node").join(known, "node")
     lined = known.repartitionByRange("region", "rest", "node").sortWithinPartitions("region", "rest", "node")
-    lined = lined.select("region", "node", "root", "sketch").mapInArrow(_neighbours(reach), "region long, a long, b long, edge long")
+    lined = lined.select("region", "node", "root", "sketch").mapInArrow(_neighbours(reach), "region long, a long, b long, edge long, part long, pos long")
     lined = cut(lined.distinct())
-    # At most 2 * reach rows per partition, in the order of the regions.
-    ends = lined.where("edge > 0").orderBy("region", F.desc("edge")).collect()
+    # At most 2 * reach rows per partition, in the order they have there; a row that is among the first and the last is one.
+    ends = lined.where("edge > 0").orderBy("part", "pos").collect()
     across = _boundary_pairs([tuple(r)[:3] for r in ends], reach)
     across = crowded.sparkSession.createDataFrame(across, "a long, b long")
     pairs = cut(lined.where("edge = 0").select("a", "b").unionAll(across).distinct())
@@ -208,6 +217,54 @@ def _apart(crowded: DataFrame, sketches: DataFrame, roots: DataFrame, reach: int
     return pairs.join(text("a"), "a").join(text("b"), "b")
 
 
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text's shingle set, and ``PARITIES`` bits: of how many shingles on each the parity."""
+    for batch in batches:
+        for row, to, words in word_slices(batch.column("text"), lower=True):
+            hashes, bounds = shingles(words, SHINGLE)
+            sets = [hashes[a:b] for a, b in zip(bounds, bounds[1:])]
+            odd = [np.bincount((s >> np.uint64(20)).astype(np.int64) % PARITIES, minlength=PARITIES) & 1 for s in sets]
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "node": batch.column("node")[row:to],
+                    "tokens": pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                    "parities": pa.array([np.packbits(o.astype(bool)).tobytes() for o in odd], pa.binary()),
+                }
+            )
+
+
+def _near_parities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs that can be similar enough: two sets differ in at least as many shingles as parities."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, PARITIES // 64) for c in ("parities_a", "parities_b"))
+        total = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+        apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+        keep = np.flatnonzero((100 + PERCENT) * (total - apart) >= 2 * PERCENT * total)
+        yield batch.select(["a", "b"]).take(pa.array(keep))
+
+
+def _exact_links(dense: DataFrame, held: DataFrame, roots: DataFrame) -> DataFrame:
+    """All links ``a, b`` between different components among the classes ``dense(node)``."""
+    sets = cut(held.join(dense, "node").select("node", "text").mapInArrow(_sets, "node long, tokens array<long>, parities binary"))
+    # An id may repeat with the same text.
+    sets = sets.dropDuplicates(["node"]).join(roots, "node", "left")
+    sets = cut(sets.withColumns({"root": F.coalesce("root", "node"), "n": F.size("tokens")}))
+    prefix = F.slice(line_dedup.rarest_first("tokens", line_dedup.token_ranks(sets)), 1, line_dedup.prefix_size(F.col("n")))
+    # The outer form, as a filter on the array's size would make the array a second time.
+    spread = sets.select("node", "root", "n", *line_dedup.bitmap("tokens"), F.posexplode_outer(prefix).alias("at", "token"))
+    pairs = line_dedup.meetings(cut(spread), unlike="root")
+    side = lambda x: sets.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("parities").alias(f"parities_{x}"))
+    pairs = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "parities_a", "parities_b")
+    pairs = cut(pairs.mapInArrow(_near_parities, "a long, b long"))
+    side = lambda x: sets.select(F.col("node").alias(x), F.col("tokens").alias(f"tokens_{x}"))
+    pairs = pairs.join(side("a"), "a").join(side("b"), "b")
+    pairs = pairs.withColumn("both", F.size(F.array_intersect("tokens_a", "tokens_b")))
+    total = F.size("tokens_a") + F.size("tokens_b")
+    return cut(pairs.where((100 + PERCENT) * F.col("both") >= PERCENT * total).select("a", "b"))
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id, n_shingles, digest, component_id, kept``, one row per row of ``docs``.
 
@@ -230,7 +287,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     classes = cut(classes)
     orders = classes.select("signature", "node").mapInArrow(_orders, "region long, rest binary, node long")
     regions = orders.groupBy("region").agg(F.count("*").alias("n"), F.min("node").alias("leader")).where("n > 1")
-    crowded = cut(orders.join(regions, "region").select("region", "rest", "node", "leader"))
+    crowded = cut(orders.join(regions, "region").select("region", "rest", "node", "leader", "n"))
 
     # Each class's leader: the first class of most of its regions.
     votes = crowded.groupBy("node", "leader").agg(F.count("*").alias("votes")).where("leader < node")
@@ -255,7 +312,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     sketches = classes.select("node", "signature").mapInArrow(_sketches, "node long, sketch binary")
     more = _confirmed(_apart(crowded, sketches, roots, REACH, held))
     # A component's star stands for the links that made it.
-    roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(more))
+    stars = lambda: roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    roots = components(stars().unionAll(more))
+
+    dense = cut(crowded.where(f"n > {REACH + 1}").select("node").distinct())
+    if not dense.isEmpty():
+        roots = components(stars().unionAll(_exact_links(dense, held, roots)))
 
     named = classes.select("node", "digest", "doc_id").join(roots, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))

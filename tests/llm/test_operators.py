@@ -92,6 +92,27 @@ def test_near_duplicates(docs, pairs, none, odd):
     assert rows == [(0, 0, True), (0, 1, False), (0, 1, False), (1, 1, True), (1, 1, True), (1, 1, True), (2, 1, False)]
 
 
+def test_large_regions_lose_no_links(spark, monkeypatch):
+    """A group of variants, many alike to a few others only, in regions far larger than the reach."""
+    monkeypatch.setattr(near_dups, "REACH", 1)
+    rng = random.Random(17)
+    base, rows = prose(21, 80).split(), []
+    for i in range(160):
+        made = list(base)
+        for at in rng.sample(range(8, 72), 2):
+            made[at] = f"new{rng.randrange(3)}"
+        rows.append((i, " ".join(made)))
+    got = near_dups.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute.near(rows)
+    assert 1 < len({r["component_id"] for r in got}) < 160
+
+
+def test_partition_ends_keep_their_order():
+    """A region over three partitions; its rows are neighbours only in the order of places."""
+    ends = [(5, node, node) for node in (9, 2, 7, 1)]
+    assert near_dups._boundary_pairs(ends, 1) == [(1, 7), (2, 7), (2, 9)]
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 430)]
