@@ -17,6 +17,7 @@ import brute  # noqa: E402
 
 from keytide.llm import decontaminate, license_scan, line_dedup, line_quality, mixing, near_dups  # noqa: E402
 from keytide.llm import substring, token_codes, url_graph, warc  # noqa: E402
+from keytide.llm.common import cut  # noqa: E402
 from keytide.llm.graph import components  # noqa: E402
 from keytide.llm.queries import tokenizer_path  # noqa: E402
 from keytide.llm.storage import new_folder  # noqa: E402
@@ -139,6 +140,24 @@ def test_leaks(spark, docs, pairs, none, odd):
     assert decontaminate.drop_leaks(odd, benchmark).count() == 3
 
 
+def test_leaks_with_far_fingerprints(spark):
+    """Items with one word of 40 changed whose fingerprints happen to lie over 19 bits apart."""
+    pairs = []
+    for i in range(1500):
+        made = prose(1000 + i, 40).split()
+        pairs.append((i, " ".join(made), " ".join([*made[:20], "changed", *made[21:]])))
+    frame = cut(spark.createDataFrame(pairs, "id long, a string, b string").repartition(4))
+    hashed = [cut(decontaminate.with_hashes(frame.select("id", F.col(c).alias("text")), 5)) for c in ("a", "b")]
+    prints = [h.select("id", decontaminate.fingerprint(F.col("hashes")).alias(c)) for h, c in zip(hashed, ("a", "b"))]
+    far = prints[0].join(prints[1], "id").where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) > 19)
+    far = frame.join(far.select("id"), "id").collect()
+    assert far
+    items = spark.createDataFrame([(r["id"], r["a"]) for r in far], "item_id long, text string")
+    changed = spark.createDataFrame([(r["id"], r["b"]) for r in far], "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontaminate.find_leaks(changed, items).collect()}
+    assert got == pytest.approx({(r["id"], r["id"]): 31 / 41 for r in far})
+
+
 def test_fingerprint_blocks_miss_nothing(spark):
     """Every pair within the radius meets in a block."""
     rng = random.Random(5)
