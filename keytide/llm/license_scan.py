@@ -24,6 +24,7 @@ NAMES = (
     ("bsd-2", "(?:simplified bsd|bsd 2 clause|2 clause bsd|freebsd)"), ("bsd-3", "(?:new bsd|modified bsd|revised bsd|bsd 3 clause|3 clause bsd)"),
     ("bsd-4", "(?:original bsd|bsd 4 clause|4 clause bsd)"), ("bsd-0", "(?:0bsd|zero clause bsd)"), ("bsd", "bsd"),
     ("gpl-1", "(?:gpl|gnu general public license)(?: version| v)? 1(?: 0)?"), ("gpl-2", "(?:gpl|gpl v2|gplv2|gnu general public license)(?: version| v)? 2(?: 0)?"),
+    ("gpl-2", "(?:gplv2|gpl v2|gnu general public license v2)(?: 0)?"), ("gpl-3", "(?:gplv3|gpl v3|gnu general public license v3)(?: 0)?"),
     ("gpl-3", "(?:gpl|gpl v3|gplv3|gnu general public license)(?: version| v)? 3(?: 0)?"), ("gpl", "(?:gpl|gnu general public license)"),
     ("lgpl-2.1", "(?:lgpl|gnu lesser general public license)(?: version| v)? 2 1"), ("lgpl-3", "(?:lgpl|gnu lesser general public license)(?: version| v)? 3(?: 0)?"),
     ("lgpl", "(?:lgpl|gnu (?:lesser|library) general public license)"), ("agpl-3", "(?:agpl|gnu affero general public license)(?: version| v)? 3(?: 0)?"),
@@ -47,10 +48,10 @@ NAMES = (
 # Templates as (priority, weight, keyword, pattern around the name); the least number ranks first.
 TEMPLATES = (
     (0, 1.0, "spdx license identifier", "spdx license identifier {name}(?: only| or later)?"),
-    (1, 0.95, "licensed under", "licen[cs]ed under (?:the )?(?:terms of (?:the )?)?{name}(?: licen[cs]e)?(?: version \\d+)?(?: \\d+)?"),
+    (1, 0.95, "ed under", "licen[cs]ed under (?:the )?(?:terms of (?:the )?)?{name}(?: licen[cs]e)?(?: version \\d+)?(?: \\d+)?"),
     (1, 0.9, " under", "(?:released|distributed|published|available|provided|covered|used) under (?:the )?(?:terms of (?:the )?)?{name} licen[cs]e(?: version \\d+)?(?: \\d+)?"),
     (2, 0.7, " licen", "{name} (?:public )?licen[cs]e(?: version \\d+)?(?: \\d+)?"),
-    (2, 0.6, "license ", "licen[cs]e (?:is |the )?{name}(?: \\d+)?"),
+    (2, 0.6, " licen", "licen[cs]e (?:is |the )?{name}(?: \\d+)?"),
 )
 
 # Rules that need no license name, as (label, weight, pattern); each contains its first word.

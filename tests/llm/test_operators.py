@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 import sys
 import zlib
 from pathlib import Path
@@ -200,6 +201,23 @@ def test_license_rules_hold_their_gates():
         assert any(g in keyword for g in license_scan.GATE) or "licen[cs]e" in pattern or "licen[cs]ed" in pattern
 
 
+@pytest.mark.parametrize("c", "cs")
+def test_license_keywords_lose_no_spelling(c):
+    """Each rule's keyword and one of its literals are in matches of either spelling."""
+    for template in license_scan.TEMPLATES:
+        for _, name in license_scan.NAMES:
+            for option in license_scan.literals(name):
+                text = " " + re.sub(r"\(\?:[^()]*\)\?", "", template[3].replace("(?:terms of (?:the )?)?", "")).replace("[cs]", c) + " "
+                text = re.sub(r"\(\?:released\|[^)]*\)", "released", text).replace("{name}", option.strip())
+                assert template[2] in text and option in text, text
+
+
+def test_license_spellings(spark):
+    texts = ["only licenced under the GPL", "Licence: MIT", "Licensed under GPLv2", "Licensed under GPL v3.0", "GPLv3 licence"]
+    rows = license_scan.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert [r["labels"] for r in sorted(rows, key=lambda r: r["doc_id"])] == ["gpl", "mit", "gpl-2", "gpl-3", "gpl-3"]
+
+
 def test_contained_license_goes(spark):
     text = "distributed under the terms of the GNU General Public License version 3. SPDX-License-Identifier: MIT"
     row = license_scan.scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
