@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keytide.llm import decontaminate, license_scan, line_dedup, line_quality, mixing, near_dups, substring, token_codes, url_graph, warc
-from keytide.llm.common import load
+from keytide.llm import decontaminate, license_scan, line_dedup, line_quality, mixing, near_dups, runs, substring, token_codes, url_graph, warc
+from keytide.llm.common import NOT_BLANK, load, words
 from keytide.llm.storage import new_folder
 
 
@@ -93,6 +93,48 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.near_lines(load(spark, sf_dir, "documents"))
 
 
+def _repeating(docs: DataFrame) -> DataFrame:
+    """A tenth of the documents, by their id, with a tail that repeats: ``doc_id, text``."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    h = F.crc32(F.col("doc_id").cast("string"))
+    n, g = F.size("_words"), F.floor(F.col("_h") / 10)
+    rows = docs.select(F.col("doc_id"), text.alias("text"), h.alias("_h"))
+    chosen = rows.where("_h % 10 = 0").withColumn("_words", words(F.col("text"))).where("size(_words) > 0")
+    chosen = chosen.withColumns({"_n": n, "_a": (g % n).cast("int"), "_g": g})
+    p = F.lit(1) + F.floor((F.col("_n") - F.col("_a")) / (3 + F.col("_g") % 8)).cast("int")
+    chosen = chosen.withColumn("_p", p)
+    tail = F.slice("_words", F.col("_a") + 1, F.col("_p"))
+    times = F.ceil((F.col("_n") - F.col("_a")) / F.col("_p")).cast("int")
+    made = F.concat(F.slice("_words", F.lit(1), F.col("_a")), F.flatten(F.array_repeat(tail, times)))
+    made = chosen.select("doc_id", F.array_join(F.slice(made, F.lit(1), F.col("_n")), " ").alias("text"))
+    same = rows.where(F.expr("_h is null or _h % 10 <> 0") | ~F.col("text").rlike(NOT_BLANK)).select("doc_id", "text")
+    return same.unionAll(made)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's runs, the longest of them, and digests of all runs and of the text without repeats."""
+    found = runs.periodic_runs(_repeating(load(spark, sf_dir, "documents")))
+    order = lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))
+    best = F.array_max(F.transform("runs", order))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    found = found.withColumns({"best": best, "lines": lines})
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length"),
+        (-F.col("best.period")).alias("period"),
+        F.expr("(1000 * best.length) div -best.period").alias("exponent_milli"),
+        F.sha2(F.col("lines").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("kept_text").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_graph, op2_license_scan, op3_decontaminate, op4_warc, op5_substring, op6_line_quality, op7_near_dups, op8_token_codes, op9_mixing, op10_line_dedup)
+    f.__name__: f
+    for f in (
+        op1_url_graph, op2_license_scan, op3_decontaminate, op4_warc, op5_substring, op6_line_quality, op7_near_dups,
+        op8_token_codes, op9_mixing, op10_line_dedup, op13_periodic_runs,
+    )
 }
