@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keytide.llm import decontaminate, license_scan, line_dedup, line_quality, mixing, near_dups, runs, substring, token_codes, url_graph, warc
+from keytide.llm import decontaminate, license_scan, line_dedup, line_quality, mixing, near_dups, runs, substring, token_codes, url_graph, warc, whitening
 from keytide.llm.common import NOT_BLANK, load, words
 from keytide.llm.storage import new_folder
 
@@ -93,6 +93,15 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.near_lines(load(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each usable vector on up to 32 whitened components."""
+    made = whitening.whiten(load(spark, sf_dir, "embeddings"))
+    made = made.select("vec_id", "n", "deviation", "explained", "identity_error", F.posexplode("whitened").alias("at", "whitened"))
+    return made.select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "whitened", F.get("explained", "at").alias("explained"), "identity_error"
+    )
+
+
 def _repeating(docs: DataFrame) -> DataFrame:
     """A tenth of the documents, by their id, with a tail that repeats: ``doc_id, text``."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -135,6 +144,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_url_graph, op2_license_scan, op3_decontaminate, op4_warc, op5_substring, op6_line_quality, op7_near_dups,
-        op8_token_codes, op9_mixing, op10_line_dedup, op13_periodic_runs,
+        op8_token_codes, op9_mixing, op10_line_dedup, op11_whitening, op13_periodic_runs,
     )
 }
