@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keytide.llm import decontaminate, license_scan, line_dedup, line_quality, mixing, near_dups, runs, substring, token_codes, url_graph, warc, whitening
+from keytide.llm import decontaminate, license_scan, line_dedup, line_quality, mixing, near_dups, runs, substring, token_codes, toxicity, url_graph, warc, whitening
 from keytide.llm.common import NOT_BLANK, load, words
 from keytide.llm.storage import new_folder
 
@@ -102,6 +102,14 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity score; a quarter of the ids teaches nothing."""
+    remainder = lambda doc_id: F.coalesce(F.crc32(doc_id.cast("string")) % 4, F.lit(-1))
+    docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
+    scored = toxicity.score(docs, labels, learn_from=lambda doc_id: remainder(doc_id) != 2)
+    return scored.select("doc_id", (remainder(F.col("doc_id")) == 2).alias("held_out"), "score", "predicted")
+
+
 def _repeating(docs: DataFrame) -> DataFrame:
     """A tenth of the documents, by their id, with a tail that repeats: ``doc_id, text``."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -144,6 +152,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_url_graph, op2_license_scan, op3_decontaminate, op4_warc, op5_substring, op6_line_quality, op7_near_dups,
-        op8_token_codes, op9_mixing, op10_line_dedup, op11_whitening, op13_periodic_runs,
+        op8_token_codes, op9_mixing, op10_line_dedup, op11_whitening, op12_toxicity, op13_periodic_runs,
     )
 }
