@@ -54,6 +54,15 @@ _EVENT_TEXT = (
     f"|| event_type || ', ' || cast({_NUM} as varchar) || ')'"
 )
 
+
+def _shard(key: str) -> str:
+    return f"cast((cast('0x' || substr(md5({key}), 1, 8) as bigint) * 8) // 4294967296 as integer)"
+
+
+_SENT_KEY = f"event_type || ':' || {_CMPKEY}"
+_DAMAGED_KEY = f"{_SENT_KEY} || case when event_id % 50 = 0 then '|' else '' end"
+_FIRST_CUT = "(select min(event_id) + (max(event_id) - min(event_id) + 1) // 3 from events)"
+
 ORACLE: dict[str, str] = {
     "kv_select": "select c_custkey as key, c_name as value from customer",
     "kv_count": "select count(*) as n from lineitem",
@@ -118,6 +127,14 @@ ORACLE: dict[str, str] = {
     "event_batch_then_stream": _DAY_CURRENT,
     "event_stream_restart": _DAY_CURRENT,
     "event_stream_upsert": _DAY_CURRENT,
+    "event_stream_state": _DAY_CURRENT,
+    "event_stream_redelivered": f"select event_id as seq, {_SECOND_LINE} as line from events",
+    "event_source_shards": f"select {_shard(_DAMAGED_KEY)} as shard, {_SECOND_LINE} as line from events",
+    "event_source_latest": f"""
+      select {_shard(_DAMAGED_KEY)} as shard, {_SECOND_LINE} as line from events where event_id >= {_FIRST_CUT}""",
+    "event_sink": f"""
+      select {_shard(_SENT_KEY)} as shard, {_SENT_KEY} as partition_key, {_DATA} as data, count(*) as n
+      from events group by all""",
     "event_stream_limited": _set_aside(_DAY_LINE),
     "event_stream_quarantine": _set_aside(_SECOND_LINE),
     "stream_preview": f"""

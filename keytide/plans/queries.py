@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -12,10 +13,11 @@ from keytide.operators.align import event_lines, pair_lines, to_records, to_rows
 from keytide.operators.current import clustered, latest_per_key, newest_per_partition
 from keytide.operators.report import compare_copies, count_rows, first_rows
 from keytide.operators.upsert import append_batch, compact, write_partition
-from keytide.operators.wire import accept, encode_events, parse_lines, set_aside
+from keytide.operators.wire import accept, encode_events, frame, parse_lines, set_aside
 from keytide.plans import inputs
-from keytide.schemas import EVENT_RECORD, TableSpec, event_table, pair_table
+from keytide.schemas import EVENT_RECORD, STREAM_RECORD, TableSpec, event_table, pair_table
 from keytide.session import namespace_dir, scratch_namespace
+from keytide.sources.shards import Log, read_shards, send, send_stream, stream_shards
 from keytide.sources.streams import as_records, read_stream
 from keytide.sources.tables import (
     create_namespace,
@@ -27,11 +29,13 @@ from keytide.sources.tables import (
     use_namespace,
 )
 from keytide.streaming.ingest import create_quarantine, ingest
+from keytide.streaming.state import ingest_latest, once_each, write_once
 
 EVENT_KEY = ["key", "cmpkey", "ts_ms"]
 SEED_TIME_MS = 1412684408000
 SLICES = 3
 FILES = 64  # of a micro-batch
+REMEMBERED = "1 hour"  # how long a record's position is kept
 
 
 # Keyed tables
@@ -282,6 +286,105 @@ def event_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_records(spark, spec)
 
 
+def event_stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records arrive in falling order, one file a micro-batch; the state keeps the greatest write of each key."""
+    spec = _fresh_events(spark, "event_stream_state")
+    base = namespace_dir(spark, spec.namespace)
+    for events in reversed(_slices(spark, sf_dir)):
+        _arrive(events, base)
+        stream = as_records(read_stream(spark, "parquet", f"{base}/arrivals", start="earliest", limit=1), "parquet")
+        ingest_latest(stream, spec, f"{base}/checkpoint", on_bad_shape="default", available_now=True).awaitTermination()
+    return scan_records(spark, spec)
+
+
+def event_stream_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record is delivered twice, the second time with the next part."""
+    namespace = scratch_namespace(spark, "event_stream_redelivered")
+    base, table = namespace_dir(spark, namespace), f"{namespace}.delivered"
+    spark.sql(f"CREATE TABLE {table} (seq BIGINT, line STRING, epoch BIGINT, batch_id BIGINT) USING parquet PARTITIONED BY (epoch, batch_id)")
+    schema = T.StructType([*STREAM_RECORD, T.StructField("arrived", T.TimestampType())])
+    before = None
+    for events in [*_slices(spark, sf_dir), None]:
+        for part in (before, events):
+            if part is not None:
+                records = inputs.damaged_records(inputs.to_event_records(part, wire.SECOND_MS))
+                records.selectExpr("*", f"timestamp_millis({SEED_TIME_MS}L + 1000 * seq) as arrived").write.mode("append").parquet(f"{base}/arrivals")
+        if before is None and events is None:
+            break
+        before = events
+        stream = read_stream(spark, "parquet", f"{base}/arrivals", start="earliest", schema=schema)
+        delivered = frame(once_each(stream, ["seq"], "arrived", REMEMBERED), keep=["seq"])
+        write_once(delivered, table, f"{base}/checkpoint").awaitTermination()
+    return scan(spark, table, ["seq", "line"])
+
+
+def _shard_log(spark: SparkSession, label: str) -> tuple[str, str]:
+    """A folder of its own, and a sharded stream in it."""
+    base = namespace_dir(spark, scratch_namespace(spark, label))
+    return base, f"{base}/shards"
+
+
+def _send(events: DataFrame, log: str) -> None:
+    send(inputs.damaged_records(inputs.to_event_records(events, wire.SECOND_MS)), log)
+
+
+def _consume(spark: SparkSession, base: str, log: str, start: str, limit: int | None = None) -> bool:
+    """Append to ``base/lines`` what one start reads; whether there was anything."""
+    records = stream_shards(spark, log, start, limit, f"{base}/positions")
+    lines = frame(records, keep=["shard", "position"])
+    writer = lines.writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint")
+    query = writer.trigger(availableNow=True).start(f"{base}/lines")
+    query.awaitTermination()
+    return query.lastProgress is not None and query.lastProgress["numInputRows"] > 0
+
+
+def _consumed(spark: SparkSession, base: str) -> DataFrame:
+    lines = spark.read.schema("shard int, position long, line string").parquet(f"{base}/lines")
+    return lines.select("shard", "line")
+
+
+def event_source_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sharded stream read to its end, with a limit per shard and a restart after each batch."""
+    base, log = _shard_log(spark, "event_source_shards")
+    for part, events in enumerate(_slices(spark, sf_dir)):
+        _send(events, log)
+        if part > 0:
+            # Half of what is there, so that any stream takes a few starts.
+            limit = max(Log(log).ends().values(), default=0) // 2 + 1
+            while _consume(spark, base, log, "earliest", limit):
+                pass
+    return _consumed(spark, base)
+
+
+def event_source_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A consumer that starts at the latest position after the first part: it gets the others."""
+    base, log = _shard_log(spark, "event_source_latest")
+    for events in _slices(spark, sf_dir):
+        _send(events, log)
+        _consume(spark, base, log, "latest")
+    return _consumed(spark, base)
+
+
+def event_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records sent by a stream whose last record fails at first; how often each is there after the restart."""
+    base, log = _shard_log(spark, "event_sink")
+    events = inputs.table(spark, sf_dir, "events")
+    last = events.selectExpr("max(event_id)").first()[0]
+    stream = read_stream(spark, "parquet", f"{sf_dir}/events.parque[t]", start="earliest", schema=events.schema)
+    records = encode_events(inputs.to_event_records(stream), keep=["event_id"])
+    broken = records.where(f"if(event_id = {last}, cast(raise_error('not yet') as boolean), true)")
+    for sent in (broken, records) if last is not None else ():
+        try:
+            send_stream(sent.drop("event_id"), log, f"{base}/checkpoint").awaitTermination()
+        except StreamingQueryException as error:
+            if "not yet" not in str(error):
+                raise
+    found = read_shards(spark, log)
+    return found.groupBy("shard", "key", "value").count().selectExpr(
+        "shard", "key as partition_key", f"{wire.utf8_text('value')} as data", "count as n"
+    )
+
+
 def event_stream_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is set aside of records that arrive in several files, one file a micro-batch, in one start."""
     spec = _fresh_events(spark, "event_stream_limited")
@@ -384,6 +487,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         event_stream_restart,
         event_stream_upsert,
         event_stream_limited,
+        event_stream_state,
+        event_stream_redelivered,
+        event_source_shards,
+        event_source_latest,
+        event_sink,
         event_stream_quarantine,
         stream_preview,
         canary_report,

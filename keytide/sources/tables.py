@@ -18,8 +18,9 @@ from keytide.operators.align import to_records
 from keytide.operators.current import greatest_write
 from keytide.schemas import TableSpec
 
-# Where a write stands among the writes to its key, oldest first.
-ARRIVAL = ("epoch", "batch_id", "seq")
+# Where a write stands among the writes to its key, oldest first.  Within a
+# writer's epoch its own order counts before the batches it was cut into.
+ARRIVAL = ("epoch", "seq", "batch_id")
 
 
 def create_namespace(
