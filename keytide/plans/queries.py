@@ -399,12 +399,12 @@ def event_stream_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(spark, spec.quarantine, ["seq", "status", "line"])
 
 
-def _arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _arriving(spark: SparkSession, sf_dir: str, limit: int | None = FILES) -> DataFrame:
     """The events table itself as a stream of records."""
     schema = inputs.table(spark, sf_dir, "events").schema
     # As a pattern, the path may be one file or a folder of files.
     path = f"{sf_dir}/events.parque[t]"
-    events = read_stream(spark, "parquet", path, start="earliest", limit=FILES, schema=schema)
+    events = read_stream(spark, "parquet", path, start="earliest", limit=limit, schema=schema)
     return inputs.damaged_records(inputs.to_event_records(events, wire.SECOND_MS))
 
 
@@ -417,7 +417,7 @@ def event_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First rows of each batch, kept in a table instead of printed."""
+    """First rows of each batch, kept in a table instead of printed; the table arrives as one batch."""
     spec = _fresh_events(spark, "stream_preview")
     shown = f"{spec.namespace}.preview"
     spark.sql(
@@ -425,7 +425,7 @@ def stream_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
         "num INT, epoch BIGINT, batch_id BIGINT) USING parquet PARTITIONED BY (epoch, batch_id)"
     )
     ingest(
-        _arriving(spark, sf_dir),
+        _arriving(spark, sf_dir, limit=None),
         spec,
         checkpoint=f"{namespace_dir(spark, spec.namespace)}/checkpoint",
         on_bad_shape="default",

@@ -6,14 +6,12 @@ import random
 from collections import Counter
 
 import pytest
+from conftest import PAIRS
 
 from keytide.operators.report import collect_all, compare_copies, count_rows, first_rows, print_report
 from keytide.schemas import PAIR_RECORD
 from keytide.sources.tables import literal_rows
 
-WORDS = "One Five Six Seven Nine Ten Twelve Sixteen Nineteen".split()
-PAIRS = list(zip((1, 5, 6, 7, 9, 10, 12, 16, 19), WORDS))
-
 
 def test_count_and_first_rows(spark):
     pairs = literal_rows(spark, PAIRS, PAIR_RECORD)

@@ -7,6 +7,7 @@ import random
 from collections import Counter
 
 import pytest
+from conftest import PAIRS, READINGS
 from pyspark.sql import functions as F
 
 from keytide.operators.current import clustered, latest_per_key, newest_per_partition
@@ -33,19 +34,6 @@ from keytide.sources.tables import (
     use_namespace,
 )
 
-# The sample pairs and the sample readings.
-PAIRS = list(
-    zip(
-        (1, 5, 6, 7, 9, 10, 12, 16, 19),
-        "One Five Six Seven Nine Ten Twelve Sixteen Nineteen".split(),
-    )
-)
-DEGREES = (
-    "89.0 89.0 89.1 89.1 89.2 89.1 89.2 89.3 89.3 89.2 89.3 "
-    "89.3 89.5 89.5 89.8 89.6 89.9 99.0 89.6 89.7 89.7"
-).split()
-FIRST = dt.datetime(2015, 3, 30, 8, 50, 11, tzinfo=dt.timezone.utc)
-
 
 def rows_of(df) -> Counter:
     return Counter(map(tuple, df.collect()))
@@ -81,11 +69,8 @@ def test_pairs_round_trip(spark, namespace):
 def test_readings_newest_first(spark, namespace, zone):
     spec = reading_table(namespace)
     create_table(spark, spec)
-    readings = [
-        (key, FIRST + dt.timedelta(seconds=i), f"{d} F")
-        for i, d in enumerate(DEGREES)
-        for key in (500 + i, 650)
-    ]
+    # Keys 500 to 520 have one reading each, key 650 has all of them.
+    readings = [(key, dt.datetime.fromisoformat(f"{time}Z"), value) for i, (time, value) in enumerate(READINGS) for key in (500 + i, 650)]
     append_batch(literal_rows(spark, readings, spec.schema), spec, epoch=0, batch_id=0)
     current = scan_keyed(spark, spec)
     assert current.count() == 42
