@@ -348,8 +348,20 @@ def test_rank_agrees_with_plain_iteration(spark):
     got = url_graph.spread(spark.createDataFrame(edges, "src string, dst string, weight double"), spark.createDataFrame([("a", 2.0)], "host string, mass double"))
     score = {h: float(h == "a") for h in "abcd"}
     out = {"a": 1.0, "b": 2.0, "c": 2.0}
-    for _ in range(url_graph.STEPS):
+    for _ in range(400):  # until nothing changes any more
         sent = {h: sum(score[s] * w / out[s] for s, d, w in edges if d == h) for h in score}
         back = 0.15 + 0.85 * (1 - sum(sent.values()))
         score = {h: 0.85 * sent[h] + back * (h == "a") for h in score}
-    assert {r["host"]: r["score"] for r in got.collect()} == pytest.approx(score)
+    assert {r["host"]: r["score"] for r in got.collect()} == pytest.approx(score, abs=1e-5)
+
+
+def test_distrust_reaches_far_hosts(spark, monkeypatch):
+    """A chain of thirty hosts that ends at a blocked one."""
+    link = '<a href="http://h{}.net/">x</a>'
+    pages = [(i, f"http://h{i}.net/", link.format(i + 1)) for i in range(29)]
+    pages += [(29, "http://h29.net/", '<a href="http://shop.com/de/">x</a>'), (30, "http://shop.com/de/1", None), (31, "http://calm.net/", None)]
+    got = url_graph.judge_urls(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["verdict"] for r in got} == {**dict.fromkeys(range(31), "block"), 31: "allow"}
+    monkeypatch.setattr(url_graph, "MOST_STEPS", 3)
+    with pytest.raises(RuntimeError, match="within 3 steps"):
+        url_graph.judge_urls(spark.createDataFrame(pages, "page_id long, url string, html string"))
