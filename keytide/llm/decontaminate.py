@@ -8,19 +8,20 @@
 2. Those windows and the items get 64-bit SimHash fingerprints over their
    shingles, each counted as often as it occurs.
 3. Fingerprints are cut into blocks.  Two within ``RADIUS`` bits differ by at most
-   ``RADIUS // BLOCKS`` bits in some block, so an item is listed under every value
-   that close to each of its blocks, and a window looks up its own: none within
-   the radius is missed.  A pair at the limit differs in a bit with a chance of
+   ``RADIUS // BLOCKS`` bits in some block: a window looks up the blocks of the
+   items it shares shingles with, and one with such a block goes on, so none
+   within the radius is missed.  A pair at the limit differs in a bit with a chance of
    up to 0.171 (simulated, 7 to 140 shingles), so by the binomial about 3 in 100
    million such pairs lie beyond the radius and are lost; more similar ones less.
 4. The similarity of the two multisets of shingles decides.
 
 Only DataFrame functions are used.  The benchmark's side is broadcast while its
-row count is under ``BROADCAST_ROWS`` and joined by shuffle beyond that.
+bytes, counted, are under ``BROADCAST_BYTES`` and joined by shuffle beyond that.
 """
 
 from __future__ import annotations
 
+import functools
 import itertools
 
 from pyspark.sql import Column, DataFrame
@@ -31,7 +32,8 @@ from keytide.llm.common import ascii_lower, cut, texts, words
 SHINGLE = 5
 PERCENT = 75
 RADIUS, BLOCKS = 29, 10
-BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
+ROW_BYTES = 64  # of a broadcast row besides its arrays
 
 
 def shingle_hashes(text: Column, size: int) -> Column:
@@ -72,24 +74,19 @@ def blocks() -> list[tuple[int, int]]:
     return list(zip(itertools.accumulate([0, *widths]), widths))
 
 
-def _block_value(fingerprint: str, first: int, width: int) -> Column:
-    return F.shiftrightunsigned(fingerprint, first).bitwiseAND((1 << width) - 1).cast("int")
+def share_a_block(x: Column, y: Column) -> Column:
+    """Whether two fingerprints are within their share of the radius in some block.
 
-
-def block_rows(rows: DataFrame, near: bool) -> DataFrame:
-    """A row per block and value; with ``near``, per value within the block's share of the radius."""
-    entries = []
-    for index, (first, width) in enumerate(blocks()):
-        value = _block_value("fingerprint", first, width)
-        flips = range(RADIUS // BLOCKS + 1) if near else (0,)
-        masks = [sum(1 << b for b in bits) for n in flips for bits in itertools.combinations(range(width), n)]
-        entries += [F.struct(F.lit(index).alias("block"), value.bitwiseXOR(F.lit(m)).alias("value")) for m in masks]
-    return rows.select("*", F.inline(F.array(*entries)))
+    Two within the radius always are: if each of the blocks differed in more bits, so would all of them together.
+    """
+    apart = x.bitwiseXOR(y)
+    near = [F.bit_count(F.shiftrightunsigned(apart, first).bitwiseAND(F.lit((1 << width) - 1))) <= RADIUS // BLOCKS for first, width in blocks()]
+    return functools.reduce(Column.__or__, near)
 
 
-def bounded(rows: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """The rows with a broadcast hint if they are few, counted, else as they are."""
-    few = rows.limit(limit + 1).count() <= limit
+def bounded(rows: DataFrame, size: Column, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """The rows with a broadcast hint if their bytes, counted, are few, else as they are; ``size`` is that of a row."""
+    few = (rows.agg(F.sum(size)).first()[0] or 0) <= limit
     return F.broadcast(rows) if few else rows
 
 
@@ -109,7 +106,8 @@ def _leaks(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
     listed = with_hashes(items, size).withColumn("n", F.size("hashes"))
     listed = cut(listed.withColumn("fingerprint", fingerprint(F.col("hashes"))).withColumn("hashes", F.sort_array("hashes")))
     listed = listed.withColumn("tokens", weighted("hashes"))
-    shared = bounded(listed.select("item_id", "n", F.explode(F.array_distinct("hashes")).alias("hash")))
+    shared = listed.select("item_id", "n", F.explode(F.array_distinct("hashes")).alias("hash"))
+    shared = bounded(shared, F.lit(ROW_BYTES))
 
     # The outer form, as a filter on the array's size would pull its making into a loop per word.
     met = with_hashes(_keyed(docs), size)
@@ -119,8 +117,9 @@ def _leaks(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
     need = F.ceil(F.col("n") * PERCENT / 100).cast("int")
     reached = lambda p, i: F.coalesce(F.get("places", i + F.col("need") - 1) - p < F.col("n"), F.lit(False))
     starts = places.withColumn("need", need).withColumn("starts", F.filter("places", reached))
-    starts = starts.select("doc_id", "text_key", "n", F.explode("starts").alias("start")).distinct()
-    starts = starts.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("n", "start")).alias("windows"))
+    # A window and the item it may hold; nothing else is compared.
+    pairs = cut(starts.select("doc_id", "text_key", "item_id", "n", F.explode("starts").alias("start")))
+    starts = pairs.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("n", "start")).alias("windows"))
     starts = starts.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "windows")
 
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
@@ -129,16 +128,16 @@ def _leaks(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
     windows = windows.withColumn("hashes", F.sort_array(F.slice("hashes", F.col("start") + 1, F.col("n")))).distinct()
     windows = cut(windows.withColumn("fingerprint", fingerprint(F.col("hashes"))))
 
-    near = bounded(block_rows(listed.select("item_id", "n", "fingerprint"), near=True).select("item_id", "n", "block", "value"))
-    looked = block_rows(windows.select("doc_id", "text_key", "n", "start", "fingerprint"), near=False)
-    found = looked.join(near, ["n", "block", "value"]).select("doc_id", "text_key", "n", "start", "item_id").distinct()
-    found = found.withColumnsRenamed({"doc_id": "_id", "text_key": "_key", "n": "_n", "start": "_start"})
+    pairs = pairs.withColumnsRenamed({"doc_id": "_id", "text_key": "_key", "n": "_n", "start": "_start"})
     same = same & (F.col("n") == F.col("_n")) & (F.col("start") == F.col("_start"))
-    tested = windows.join(found, same)
-    tested = tested.withColumn("window_tokens", weighted("hashes")).withColumnRenamed("fingerprint", "window_fingerprint")
-    tested = tested.join(bounded(listed.select("item_id", "fingerprint", "tokens", "length")), "item_id")
-    tested = tested.withColumn("distance", F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("window_fingerprint"))))
-    tested = tested.where(F.col("distance") <= RADIUS)
+    listed = listed.select("item_id", "n", "length", "tokens", F.col("fingerprint").alias("item_fingerprint"))
+    listed = bounded(listed, ROW_BYTES + 8 * F.size("tokens"))
+    prints = windows.select("doc_id", "text_key", "n", "start", "fingerprint").join(pairs, same).drop("_id", "_key", "_n", "_start")
+    tested = windows.select("doc_id", "text_key", "n", "start", "hashes")
+    met = prints.join(listed, ["item_id", "n"]).where(share_a_block(F.col("fingerprint"), F.col("item_fingerprint")))
+    met = met.withColumn("distance", F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_fingerprint")))).where(F.col("distance") <= RADIUS)
+    met = met.withColumnsRenamed({"doc_id": "_id", "text_key": "_key", "n": "_n", "start": "_start"})
+    tested = tested.join(met, same).withColumn("window_tokens", weighted("hashes"))
     tested = tested.withColumn("both", F.size(F.array_intersect("tokens", "window_tokens")))
     union = F.size("tokens") + F.size("window_tokens") - F.col("both")
     tested = tested.withColumn("union", union).where(f"100 * both >= {PERCENT} * union")

@@ -160,7 +160,7 @@ def test_leaks_with_far_fingerprints(spark):
 
 
 def test_fingerprint_blocks_miss_nothing(spark):
-    """Every pair within the radius meets in a block."""
+    """Every pair within the radius meets in a block; few pairs of chance do."""
     rng = random.Random(5)
     base = rng.getrandbits(64)
     flipped = [base]
@@ -171,9 +171,25 @@ def test_fingerprint_blocks_miss_nothing(spark):
         flipped.append(x)
     values = [(i, x - (1 << 64) if x >= 1 << 63 else x) for i, x in enumerate(flipped)]
     rows = spark.createDataFrame(values, "id long, fingerprint long")
-    near = decontaminate.block_rows(rows.where("id = 0"), near=True).select("block", "value")
-    met = decontaminate.block_rows(rows, near=False).join(near, ["block", "value"]).select("id").distinct()
-    assert met.count() == len(flipped)
+    meets = decontaminate.share_a_block(F.col("fingerprint"), F.lit(values[0][1]))
+    assert rows.where(meets).count() == len(flipped)
+    # A pair that differs in three bits of each block meets in none.
+    apart = base ^ sum(0b111 << first for first, _ in decontaminate.blocks())
+    rows = spark.createDataFrame([(0, apart - (1 << 64) if apart >= 1 << 63 else apart)], "id long, fingerprint long")
+    assert rows.where(meets).count() == 0
+
+
+def test_only_shared_shingles_are_compared(spark, monkeypatch):
+    """Windows meet the items they share shingles with, and no others of their length."""
+    items = [(i, prose(100 + i, 30)) for i in range(40)]
+    texts = [(i, prose(500 + i, 60) + "\n" + t) for i, t in items]
+    cuts = []
+    monkeypatch.setattr(decontaminate, "cut", lambda rows, real=decontaminate.cut: cuts.append(real(rows)) or cuts[-1])
+    schema = "doc_id long, text string"
+    leaks = decontaminate.find_leaks(spark.createDataFrame(texts, schema), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in leaks.collect()} == {(i, i) for i, _ in items}
+    pairs = next(c for c in cuts if "start" in c.columns and "item_id" in c.columns)
+    assert pairs.where("doc_id <> item_id").count() == 0
 
 
 def test_repeats(docs, pairs, none, odd):
