@@ -8,11 +8,13 @@
    neighbours with the longest common prefix: where many classes crowd, the
    order goes on into later values, so depth follows each region's density.
 3. Each class is compared with the first class of most of its regions.  What
-   that joins needs no further test; neighbours up to twelve places away and
-   still apart are compared next.  Where
-   fewer than ``AGREE`` of the ``K`` signature values agree in their low bytes,
+   that joins needs no further test; neighbours still apart are compared next,
+   up to ``REACH`` places away, which is all of a small region, and up to ``CLOSE``
+   in a larger one, whose nearest are likely alike.  Where
+   fewer than ``AGREE`` of the ``K`` signature values agree in their low bytes, or
+   the parities of the sets differ in too many bits,
    texts are not fetched: a pair at the threshold agrees in 72 on average and
-   in fewer than 50 about once in 2.8 million.
+   in fewer than 50 about once in 2.8 million; parities lose none.
 4. Regions of more than ``REACH + 1`` classes have pairs that never were
    neighbours.  Their classes meet by an exact prefix join of their shingle sets,
    as lines do in ``line_dedup``: all pairs that are similar enough and still in
@@ -43,6 +45,7 @@ SHINGLE = 5
 PERCENT = 75
 TREES, MIN_DEPTH, DEPTH, OWN = 24, 3, 8, 4
 REACH = 12
+CLOSE = 2  # of regions that the exact join looks through anyway
 K = TREES * OWN
 AGREE = 50
 PARITIES = 1024
@@ -131,21 +134,24 @@ def _neighbours(reach: int):
 def _pairs(batches: Iterator[pa.RecordBatch], reach: int) -> Iterator[pa.RecordBatch]:
     names = ["region", "a", "b", "edge", "part", "pos"]
     part, seen = TaskContext.get().partitionId(), 0
-    held, sketches = np.zeros((3, 0), np.int64), np.zeros((0, K), np.uint8)
+    held, sketches = np.zeros((4, 0), np.int64), np.zeros((0, K), np.uint8)
     head = None
     for batch in batches:
         fresh = held.shape[1]
-        rows = np.stack([batch.column(c).to_numpy() for c in ("region", "node", "root")])
+        rows = np.stack([batch.column(c).to_numpy() for c in ("region", "node", "root", "dense")])
         held = np.concatenate([held, rows], axis=1)
         seen += rows.shape[1]
         sketches = np.concatenate([sketches, _rows(batch.column("sketch"), np.uint8)])
         if head is None or head.shape[1] < reach:
             head = held[:, :reach]
-        region, node, root = held
+        region, node, root, dense = held
         for step in range(1, min(reach, len(region) - 1) + 1):
             low = max(fresh - step, 0)
             x, y = slice(low, len(region) - step), slice(low + step, None)
-            pair = low + np.flatnonzero((region[x] == region[y]) & (root[x] != root[y]))
+            pair = (region[x] == region[y]) & (root[x] != root[y])
+            if step > CLOSE:
+                pair &= dense[x] == 0
+            pair = low + np.flatnonzero(pair)
             pair = pair[np.count_nonzero(sketches[pair] == sketches[pair + step], axis=1) >= AGREE]
             a, b = node[pair], node[pair + step]
             columns = [region[pair], np.minimum(a, b), np.maximum(a, b), *np.zeros((3, len(a)), np.int64)]
@@ -153,7 +159,7 @@ def _pairs(batches: Iterator[pa.RecordBatch], reach: int) -> Iterator[pa.RecordB
         held, sketches = held[:, -reach:], sketches[-reach:]
     if head is not None:
         for rows, first in ((head, 0), (held, seen - held.shape[1])):
-            columns = [*rows, *(np.full(rows.shape[1], x) for x in (1, part)), first + np.arange(rows.shape[1])]
+            columns = [*rows[:3], *(np.full(rows.shape[1], x) for x in (1, part)), first + np.arange(rows.shape[1])]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
 
@@ -201,22 +207,37 @@ def _boundary_pairs(ends: list, reach: int) -> list[tuple[int, int]]:
     return sorted(pairs)
 
 
-def _apart(crowded: DataFrame, sketches: DataFrame, roots: DataFrame, reach: int, held: DataFrame) -> DataFrame:
-    """Neighbouring classes of different components and like sketches, with their texts."""
+def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs that can be similar enough by the parities of their sets."""
+    side = lambda x: sets.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("parities").alias(f"parities_{x}"))
+    pairs = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "parities_a", "parities_b")
+    return pairs.mapInArrow(_near_parities, "a long, b long")
+
+
+def _apart(crowded: DataFrame, sketches: DataFrame, roots: DataFrame, reach: int, held: DataFrame, parities: DataFrame) -> DataFrame:
+    """Neighbouring classes of different components, like sketches and like parities, with their texts."""
     known = sketches.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    known = crowded.select("region", "rest", "node").join(known, "node")
+    dense = (F.col("n") > REACH + 1).cast("long").alias("dense")
+    known = crowded.select("region", "rest", "node", dense).join(known, "node")
     lined = known.repartitionByRange("region", "rest", "node").sortWithinPartitions("region", "rest", "node")
-    lined = lined.select("region", "node", "root", "sketch").mapInArrow(_neighbours(reach), "region long, a long, b long, edge long, part long, pos long")
+    lined = lined.select("region", "node", "root", "dense", "sketch").mapInArrow(_neighbours(reach), "region long, a long, b long, edge long, part long, pos long")
     lined = cut(lined.distinct())
     # At most 2 * reach rows per partition, in the order they have there; a row that is among the first and the last is one.
     ends = lined.where("edge > 0").orderBy("part", "pos").collect()
     across = _boundary_pairs([tuple(r)[:3] for r in ends], reach)
     across = crowded.sparkSession.createDataFrame(across, "a long, b long")
-    pairs = cut(lined.where("edge = 0").select("a", "b").unionAll(across).distinct())
+    pairs = cut(_alike(lined.where("edge = 0").select("a", "b").unionAll(across).distinct(), parities))
     text = lambda side: held.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}"))
     return pairs.join(text("a"), "a").join(text("b"), "b")
 
 
+def _parities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sizes of the texts' shingle sets, and their parities."""
+    for batch in _sets(batches):
+        sizes = batch.column("tokens").value_lengths().cast(pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column("node"), sizes, batch.column("parities")], ["node", "n", "parities"])
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each text's shingle set, and ``PARITIES`` bits: of how many shingles on each the parity."""
     for batch in batches:
@@ -254,10 +275,7 @@ def _exact_links(dense: DataFrame, held: DataFrame, roots: DataFrame) -> DataFra
     prefix = F.slice(line_dedup.rarest_first("tokens", line_dedup.token_ranks(sets)), 1, line_dedup.prefix_size(F.col("n")))
     # The outer form, as a filter on the array's size would make the array a second time.
     spread = sets.select("node", "root", "n", *line_dedup.bitmap("tokens"), F.posexplode_outer(prefix).alias("at", "token"))
-    pairs = line_dedup.meetings(cut(spread), unlike="root")
-    side = lambda x: sets.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("parities").alias(f"parities_{x}"))
-    pairs = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "parities_a", "parities_b")
-    pairs = cut(pairs.mapInArrow(_near_parities, "a long, b long"))
+    pairs = cut(_alike(line_dedup.meetings(cut(spread), unlike="root"), sets))
     side = lambda x: sets.select(F.col("node").alias(x), F.col("tokens").alias(f"tokens_{x}"))
     pairs = pairs.join(side("a"), "a").join(side("b"), "b")
     pairs = pairs.withColumn("both", F.size(F.array_intersect("tokens_a", "tokens_b")))
@@ -310,7 +328,9 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     roots = components(links)
 
     sketches = classes.select("node", "signature").mapInArrow(_sketches, "node long, sketch binary")
-    more = _confirmed(_apart(crowded, sketches, roots, REACH, held))
+    # An id may repeat with the same text.
+    parities = cut(held.select("node", "text").mapInArrow(_parities, "node long, n long, parities binary").dropDuplicates(["node"]))
+    more = _confirmed(_apart(crowded, sketches, roots, REACH, held, parities))
     # A component's star stands for the links that made it.
     stars = lambda: roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
     roots = components(stars().unionAll(more))
