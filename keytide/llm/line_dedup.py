@@ -20,6 +20,8 @@ Only DataFrame functions are used.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +31,7 @@ from keytide.llm.storage import new_folder
 PERCENT = 75
 BUCKETS = 1 << 16
 HOT = 256  # classes at a token, or in a part of one
+BITS = ("b0", "b1")
 
 
 def lines_of(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -89,7 +92,7 @@ def prefix_size(n: Column) -> Column:
     return n - F.ceil(n * PERCENT / 100).cast("int") + 1
 
 
-def _could_match(x: str, y: str) -> Column:
+def _could_match(x: str, y: str, bits: Sequence[str]) -> Column:
     """Filters on a pair that shares a token at places ``at``: length, short prefix, position, bitmap."""
     n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
     at, place = F.col(f"{x}.at"), F.col(f"{y}.at")
@@ -98,26 +101,27 @@ def _could_match(x: str, y: str) -> Column:
     early = (100 + PERCENT) * (F.least(n, m) - F.when(n <= m, at).otherwise(place)) >= 2 * PERCENT * F.least(n, m)
     early |= (n == m) & ((100 + PERCENT) * (m - place) >= 2 * PERCENT * m)
     most = F.least(n - at, m - place) + F.least(at, place)
-    apart = sum(F.bit_count(F.col(f"{x}.{b}").bitwiseXOR(F.col(f"{y}.{b}"))) for b in ("b0", "b1"))
+    apart = sum(F.bit_count(F.col(f"{x}.{b}").bitwiseXOR(F.col(f"{y}.{b}"))) for b in bits)
     most = F.least(2 * most, n + m - apart)
     return near & early & ((100 + PERCENT) * most >= 2 * PERCENT * (n + m))
 
 
-def meetings(spread: DataFrame, unlike: str | None = None) -> DataFrame:
+def meetings(spread: DataFrame, unlike: str | None = None, bits: Sequence[str] = BITS, part: int = HOT) -> DataFrame:
     """``a, b``: classes that meet at a token and pass the filters; ``a`` is the lesser node.
 
-    With ``unlike`` only those that differ in that column.
+    With ``unlike`` only those that differ in that column.  ``bits`` are the
+    bitmap's columns, and tokens of more than ``part`` classes are cut into parts of that many.
     """
-    entry = F.struct("node", "n", "at", "b0", "b1", *[unlike] * (unlike is not None))
-    hot = spread.groupBy("token").agg(F.count("*").alias("users")).where(f"users > {HOT}")
-    hot = cut(hot.select("token", F.ceil(F.col("users") / HOT).cast("int").alias("parts")))
+    entry = F.struct("node", "n", "at", *bits, *[unlike] * (unlike is not None))
+    hot = spread.groupBy("token").agg(F.count("*").alias("users")).where(f"users > {part}")
+    hot = cut(hot.select("token", F.ceil(F.col("users") / part).cast("int").alias("parts")))
     few = spread.join(hot, "token", "left_anti")
     few = few.select("token", entry.alias("x")).join(few.select("token", entry.alias("y")), "token")
     many = spread.join(hot, "token")
     parts = many.select("token", F.pmod(F.hash("node"), F.col("parts")).alias("part"), entry.alias("x"))
     every = many.select("token", entry.alias("y"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     met = few.select("x", "y").unionAll(parts.join(every, ["token", "part"]).select("x", "y"))
-    met = met.where("x.node < y.node").where(f"x.{unlike} <> y.{unlike}" if unlike else "true").where(_could_match("x", "y"))
+    met = met.where("x.node < y.node").where(f"x.{unlike} <> y.{unlike}" if unlike else "true").where(_could_match("x", "y", bits))
     return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 

@@ -49,6 +49,8 @@ CLOSE = 2  # of regions that the exact join looks through anyway
 K = TREES * OWN
 AGREE = 50
 PARITIES = 1024
+BITS = tuple(f"b{i}" for i in range(PARITIES // 2 // 64))
+PART = 2048  # classes at a shingle that meet without being cut into parts
 
 
 def _signatures(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -250,10 +252,16 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     "node": batch.column("node")[row:to],
                     "tokens": pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
                     "parities": pa.array([np.packbits(o.astype(bool)).tobytes() for o in odd], pa.binary()),
+                    "bits": pa.array([_folded(o) for o in odd], pa.list_(pa.int64())),
                 }
             )
 
 
+def _folded(odd: np.ndarray) -> np.ndarray:
+    """The parities of half as many classes of shingles, in as many numbers as ``BITS`` has columns."""
+    return np.packbits((odd[: PARITIES // 2] ^ odd[PARITIES // 2 :]).astype(bool)).view(np.int64)
+
+
 def _near_parities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs that can be similar enough: two sets differ in at least as many shingles as parities."""
     for batch in batches:
@@ -268,14 +276,17 @@ def _near_parities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def _exact_links(dense: DataFrame, held: DataFrame, roots: DataFrame) -> DataFrame:
     """All links ``a, b`` between different components among the classes ``dense(node)``."""
-    sets = cut(held.join(dense, "node").select("node", "text").mapInArrow(_sets, "node long, tokens array<long>, parities binary"))
+    sets = cut(held.join(dense, "node").select("node", "text").mapInArrow(_sets, "node long, tokens array<long>, parities binary, bits array<long>"))
     # An id may repeat with the same text.
     sets = sets.dropDuplicates(["node"]).join(roots, "node", "left")
-    sets = cut(sets.withColumns({"root": F.coalesce("root", "node"), "n": F.size("tokens")}))
+    sets = sets.withColumns({"root": F.coalesce("root", "node"), "n": F.size("tokens")})
+    # By number, as ranking a set takes more time than its bytes suggest.
+    sets = cut(sets.repartition(int(held.sparkSession.conf.get("spark.sql.shuffle.partitions")), "node"))
     prefix = F.slice(line_dedup.rarest_first("tokens", line_dedup.token_ranks(sets)), 1, line_dedup.prefix_size(F.col("n")))
     # The outer form, as a filter on the array's size would make the array a second time.
-    spread = sets.select("node", "root", "n", *line_dedup.bitmap("tokens"), F.posexplode_outer(prefix).alias("at", "token"))
-    pairs = cut(_alike(line_dedup.meetings(cut(spread), unlike="root"), sets))
+    bits = [F.get("bits", i).alias(b) for i, b in enumerate(BITS)]
+    spread = cut(sets.select("node", "root", "n", *bits, F.posexplode_outer(prefix).alias("at", "token")))
+    pairs = cut(_alike(line_dedup.meetings(spread, "root", BITS, PART), sets))
     side = lambda x: sets.select(F.col("node").alias(x), F.col("tokens").alias(f"tokens_{x}"))
     pairs = pairs.join(side("a"), "a").join(side("b"), "b")
     pairs = pairs.withColumn("both", F.size(F.array_intersect("tokens_a", "tokens_b")))
