@@ -336,19 +336,20 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     heads = held.where("leads").select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     stars = held.where("leader is not null").select(F.col("node").alias("a"), F.col("leader").alias("b"), F.col("text").alias("text_a"))
     links = _confirmed(stars.join(heads, "b"))
-    roots = components(links)
+    # A confirmed leader stands for the component until all neighbours are known.
+    led = links.select(F.col("a").alias("node"), F.col("b").alias("root")).distinct()
 
     sketches = classes.select("node", "signature").mapInArrow(_sketches, "node long, sketch binary")
     # An id may repeat with the same text.
     parities = cut(held.select("node", "text").mapInArrow(_parities, "node long, n long, parities binary").dropDuplicates(["node"]))
-    more = _confirmed(_apart(crowded, sketches, roots, REACH, held, parities))
-    # A component's star stands for the links that made it.
-    stars = lambda: roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    roots = components(stars().unionAll(more))
+    more = _confirmed(_apart(crowded, sketches, led, REACH, held, parities))
+    roots = components(links.unionAll(more))
 
     dense = cut(crowded.where(f"n > {REACH + 1}").select("node").distinct())
     if not dense.isEmpty():
-        roots = components(stars().unionAll(_exact_links(dense, held, roots)))
+        # A component's star stands for the links that made it.
+        stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        roots = components(stars.unionAll(_exact_links(dense, held, roots)))
 
     named = classes.select("node", "digest", "doc_id").join(roots, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
