@@ -151,8 +151,15 @@ ORACLE: dict[str, str] = {
           (select count(*) from (from expected except all from actual)) as missing_n,
           (select count(*) from (from actual except all from expected)) as unexpected_n)
       select *, missing_n = 0 and unexpected_n = 0 as passed from counts""",
+    "canary_orders": """
+      select count(*) as expected_n, count(*) as actual_n,
+        count(*) filter (where o_orderkey between 500 and 599) as missing_n,
+        count(*) filter (where o_orderkey between 500 and 599) as unexpected_n,
+        count(*) filter (where o_orderkey between 500 and 599) = 0 as passed
+      from orders""",
     "canary_roundtrip": """
       select count(*) as expected_n, count(*) as actual_n, cast(0 as bigint) as missing_n,
         cast(0 as bigint) as unexpected_n, true as passed
       from orders""",
 }
+ORACLE["canary_ranges"] = ORACLE["canary_report"]

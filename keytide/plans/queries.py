@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from keytide.functions import wire
 from keytide.operators.align import event_lines, pair_lines, to_records, to_rows
 from keytide.operators.current import clustered, latest_per_key, newest_per_partition
+from keytide.operators.ranges import compare_ranges
 from keytide.operators.report import compare_copies, count_rows, first_rows
 from keytide.operators.upsert import append_batch, compact, write_partition
 from keytide.operators.wire import accept, encode_events, frame, parse_lines, set_aside
@@ -444,13 +445,29 @@ def _customer_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customer.selectExpr("c_custkey as key", "c_name as value", "c_acctbal", "c_mktsegment")
 
 
-def canary_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A copy that lost one segment and changed the customers in debt."""
+def _customer_copies(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The customers, and a copy that lost one segment and changed those in debt."""
     expected = _customer_pairs(spark, sf_dir)
     actual = expected.where("c_mktsegment <> 'MACHINERY'").selectExpr(
         "key", "if(c_acctbal < 0, upper(value), value) as value"
     )
-    return compare_copies(expected.select("key", "value"), actual)
+    return expected.select("key", "value"), actual
+
+
+def canary_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_copies(*_customer_copies(spark, sf_dir))
+
+
+def canary_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same comparison by key ranges; as the copies differ everywhere, one reading settles no range."""
+    return compare_ranges(*_customer_copies(spark, sf_dir), key="key")
+
+
+def canary_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose copy differs in one stretch of a hundred keys, found by key ranges."""
+    expected = _order_pairs(spark, sf_dir)
+    actual = expected.selectExpr("key", "if(key between 500 and 599, lower(value), value) as value")
+    return compare_ranges(expected, actual, key="key")
 
 
 def canary_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -495,6 +512,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         event_stream_quarantine,
         stream_preview,
         canary_report,
+        canary_ranges,
+        canary_orders,
         canary_roundtrip,
     )
 }
