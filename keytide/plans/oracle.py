@@ -163,3 +163,11 @@ ORACLE: dict[str, str] = {
       from orders""",
 }
 ORACLE["canary_ranges"] = ORACLE["canary_report"]
+ORACLE["kv_lookup"] = "select o_custkey, o_orderkey, o_orderpriority from orders where o_custkey = 37"
+ORACLE["kv_pages"] = """
+      with numbered as (
+        select o_orderkey as key, (row_number() over (order by o_orderkey) - 1) // 1000 as page from orders)
+      select page, count(*) as n, min(key) as low_key, max(key) as high_key from numbered group by page"""
+ORACLE["event_key_lookup"] = f"""
+      select event_type as key, {_CMPKEY} as cmpkey, {_MS} as ts_ms, event_id, {_NUM} as num
+      from events where event_type = 'purchase' and user_id % 10 = 3"""

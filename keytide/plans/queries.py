@@ -18,6 +18,7 @@ from keytide.operators.wire import accept, encode_events, frame, parse_lines, se
 from keytide.plans import inputs
 from keytide.schemas import EVENT_RECORD, STREAM_RECORD, TableSpec, event_table, pair_table
 from keytide.session import namespace_dir, scratch_namespace
+from keytide.sources.ordered import lookup, page_starts, write_ordered
 from keytide.sources.shards import Log, read_shards, send, send_stream, stream_shards
 from keytide.sources.streams import as_records, read_stream
 from keytide.sources.tables import (
@@ -35,6 +36,8 @@ from keytide.streaming.state import ingest_latest, once_each, write_once
 EVENT_KEY = ["key", "cmpkey", "ts_ms"]
 SEED_TIME_MS = 1412684408000
 SLICES = 3
+PAGE = 1000  # rows
+LOOKED_UP = 37  # a customer
 FILES = 64  # of a micro-batch
 REMEMBERED = "1 hour"  # how long a record's position is kept
 
@@ -94,9 +97,30 @@ def kv_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_keyed(spark, spec).select("key", "value")
 
 
+def _ordered_copy(spark: SparkSession, rows: DataFrame, label: str, key: list[str]) -> DataFrame:
+    return write_ordered(rows, f"{namespace_dir(spark, scratch_namespace(spark, label))}/ordered", key)
+
+
+def kv_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders of one customer, from a copy in order of customers."""
+    orders = inputs.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderpriority")
+    return lookup(_ordered_copy(spark, orders, "kv_lookup", ["o_custkey", "o_orderkey"]), o_custkey=LOOKED_UP)
+
+
+def kv_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages in which all orders can be read in key order: first and last key, number of rows."""
+    return page_starts(_ordered_copy(spark, _order_pairs(spark, sf_dir), "kv_pages", ["key"]), ["key"], PAGE)
+
+
 # Events
 
 
+def event_key_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events of one partition key, from a copy in clustering order."""
+    records = inputs.event_records(spark, sf_dir).select("key", "cmpkey", "ts_ms", "event_id", "num")
+    return lookup(_ordered_copy(spark, records, "event_key_lookup", ["key", "cmpkey", "ts_ms", "event_id"]), key="purchase", cmpkey="3")
+
+
 def event_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four start-up events per customer, one millisecond apart."""
     customer = inputs.table(spark, sf_dir, "customer")
@@ -484,6 +508,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         kv_take,
         kv_roundtrip,
         kv_overwrite,
+        kv_lookup,
+        kv_pages,
+        event_key_lookup,
         event_seed,
         event_encode,
         event_frame,
