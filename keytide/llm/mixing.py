@@ -1,10 +1,12 @@
 """Mixing sources to token targets by entropy balancing.
 
-Among all document rates that meet each source's targets, entropy balancing
-takes those closest to one copy per document; they have the form
-``exp(a + b * z)`` for a document of standardised size ``z``, and the source's
-``(a, b)`` are the minimum of a convex dual.  Both the tokens and the number of
-documents are balanced, so that a source is not filled up with long documents.
+Among all document rates of at most ``most`` that give each source its target in
+words, entropy balancing takes those closest to one copy per document.  They are
+tilted exponentially by size: ``min(most, exp(b * z))`` for a document of ``z``
+times the source's mean size.  A source that gets more than it has gets it by its
+longer documents, one that gets less gives up those first, and an empty document
+stays.  ``b`` is the minimum of the source's convex dual, whose gradient is the
+words taken less the target.
 
 The dual depends on the documents only through how many of each size a source
 has.  That histogram is made once; each Newton step is one aggregation of it.
@@ -17,7 +19,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keytide.llm.common import cut, word_count
@@ -25,8 +27,8 @@ from keytide.llm.common import cut, word_count
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 MAX_RATE = 2.0
-STEPS, TOLERANCE = 30, 1e-9
-OFFSETS = 64  # rounding offsets tried per source
+STEPS, TOLERANCE = 200, 1e-9  # steps until an error, and how near the tokens must come
+OFFSETS = 64  # rounding offsets tried per source and octave of sizes
 RANKED = 1000  # documents of one size and source that are ranked together
 
 
@@ -39,8 +41,6 @@ class SourcePlan:
     sizes: np.ndarray
     targets: np.ndarray
     mean: np.ndarray
-    spread: np.ndarray
-    a: np.ndarray
     b: np.ndarray
 
 
@@ -71,76 +71,105 @@ def measured(docs: DataFrame, keep: Sequence[str], source_column: str, text_colu
     )
 
 
-
 def plan_sources(cells: DataFrame, weights: Sequence[float], share: float, most: float) -> SourcePlan:
     """Targets and Newton's solution from the histogram ``source, size, n``."""
-    size, n = F.col("size").cast("double"), F.col("n")
     rows = (
         cells.groupBy("source")
-        .agg(F.sum("n").alias("docs"), F.sum(n * F.col("size")).alias("size"), F.sum(n * size * size).alias("square"))
+        .agg(F.sum(F.when(F.col("size") > 0, F.col("n")).otherwise(0)).alias("docs"), F.sum(F.col("n") * F.col("size")).alias("size"))
         .orderBy(F.col("source").asc_nulls_last())
         .collect()
     )
     docs = np.array([r["docs"] for r in rows], dtype=float)
     sizes = np.array([r["size"] for r in rows], dtype=float)
-    mean = sizes / np.maximum(docs, 1)
-    spread = np.sqrt(np.maximum(np.array([r["square"] for r in rows]) / np.maximum(docs, 1) - mean**2, 0))
-    spread = np.where(spread > 0, spread, 1.0)
     cycle = [weights[i % len(weights)] for i in range(len(rows))]
     plan = SourcePlan(
-        [r["source"] for r in rows], docs, sizes, targets(sizes, cycle, share, most), mean, spread,
-        np.zeros(len(rows)), np.zeros(len(rows)),
+        [r["source"] for r in rows], docs, sizes, targets(sizes, cycle, share, most),
+        np.where(docs > 0, sizes / np.maximum(docs, 1), 1.0), np.zeros(len(rows)),
     )
-    _newton(cells, plan)
+    _newton(cells, plan, most)
     return plan
 
 
 def source_table(cells: DataFrame, plan: SourcePlan) -> DataFrame:
-    schema = "source string, source_size long, target double, mean double, spread double, a double, b double"
-    columns = zip(plan.names, plan.sizes.astype(int), plan.targets, plan.mean, plan.spread, plan.a, plan.b, strict=True)
+    schema = "source string, source_size long, target double, mean double, b double"
+    columns = zip(plan.names, plan.sizes.astype(int), plan.targets, plan.mean, plan.b, strict=True)
     rows = [(c[0], int(c[1]), *map(float, c[2:])) for c in columns]
     return cells.sparkSession.createDataFrame(rows, schema)
 
 
+def tilted(most: float) -> Column:
+    """A document's rate by its source's ``b``."""
+    limit = float(np.log(most))
+    power = F.col("b") * F.col("size") / F.col("mean")
+    return F.when(power >= limit, F.lit(float(most))).otherwise(F.exp(power))
+
+
 def with_sources(rows: DataFrame, table: DataFrame) -> DataFrame:
     """Each row with its source's numbers; a null source is a source."""
     table = table.withColumnRenamed("source", "_source")
     return rows.join(table, rows["source"].eqNullSafe(table["_source"])).drop("_source")
 
 
-def _newton(cells: DataFrame, plan: SourcePlan) -> None:
-    """Minimise each source's dual ``sum n*exp(a + b*z) - a*N - b*Z``.
+def _newton(cells: DataFrame, plan: SourcePlan, most: float) -> None:
+    """Minimise each source's dual; raises if a source is not at its target after ``STEPS``.
 
-    ``N`` is the wanted number of copies and ``Z`` the wanted sum of ``z``; with
-    both in proportion to the token target, the tokens meet it.
+    A step is Newton's on the logarithm of the words taken, which is straight in
+    ``b`` for documents of one size.  One that leaves the interval the solution
+    is known to lie in is replaced by the interval's middle.
     """
     live = (plan.sizes > 0) & (plan.targets > 0)
-    ratio = np.where(live, plan.targets / np.maximum(plan.sizes, 1), 1.0)
-    want = plan.docs * ratio
+    full = live & (plan.targets >= most * plan.sizes * (1 - TOLERANCE))
+    # Here even a document of one word is at the limit.
+    end = 2 * np.log(most) * plan.mean
+    plan.b = np.where(full, end, 0.0)
+    live &= ~full
+    low = np.where(plan.targets < plan.sizes, -np.inf, 0.0)
+    high = np.where(plan.targets < plan.sizes, 0.0, end)
     for _ in range(STEPS):
-        z = (F.col("size") - F.col("mean")) / F.col("spread")
-        weight = F.col("n") * F.exp(F.col("a") + F.col("b") * z)
         sums = (
             with_sources(cells, source_table(cells, plan))
-            .withColumns({"w": weight, "z": z})
+            .withColumn("rate", tilted(most))
+            .withColumn("words", F.col("n") * F.col("size") * F.col("rate"))
+            .withColumn("slope", F.when(F.col("rate") < most, F.col("words") * F.col("size") / F.col("mean")).otherwise(0.0))
             .groupBy("source")
-            .agg(F.sum("w").alias("w"), F.sum(F.col("w") * F.col("z")).alias("wz"), F.sum(F.col("w") * F.col("z") ** 2).alias("wzz"))
+            .agg(F.sum("words").alias("words"), F.sum("slope").alias("slope"))
             .collect()
         )
         by_name = {r["source"]: r for r in sums}
-        w, wz, wzz = (np.array([by_name[s][k] for s in plan.names]) for k in ("w", "wz", "wzz"))
-        first, second = np.where(live, w - want, 0.0), np.where(live, wz, 0.0)  # the wanted sum of z is 0
-        off = np.maximum(np.abs(first), np.abs(second)) / np.maximum(plan.docs, 1)
-        if not len(off) or off.max() < TOLERANCE:
-            break
-        det = w * wzz - wz**2
-        flat = det <= 1e-12 * w * w  # all documents of one size: only ``a`` is free
-        safe = np.where(flat, 1.0, det)
-        step_a = np.where(flat, first / w, (wzz * first - wz * second) / safe)
-        step_b = np.where(flat, 0.0, (w * second - wz * first) / safe)
-        damp = np.minimum(1.0, 2.0 / np.maximum(np.abs(step_a) + np.abs(step_b), 1e-300))
-        plan.a -= damp * step_a
-        plan.b -= damp * step_b
+        taken, slope = (np.array([by_name[s][k] for s in plan.names], dtype=float) for k in ("words", "slope"))
+        off = np.where(live, taken / np.where(live, plan.targets, 1.0) - 1, 0.0)
+        if not (np.abs(off) > TOLERANCE).any():
+            # Sums of doubles differ in their last digits from run to run.
+            plan.b = np.array([float(f"{b:.10g}") for b in plan.b])
+            return
+        high, low = np.where(off > 0, np.minimum(high, plan.b), high), np.where(off < 0, np.maximum(low, plan.b), low)
+        good = live & (taken > 0) & (slope > 0)
+        ratio = np.where(good, np.maximum(1 + off, 1e-300), 1.0)
+        to = plan.b - np.log(ratio) * np.where(good, taken, 0.0) / np.where(good, slope, 1.0)
+        inside = good & (to > low) & (to < high)
+        middle = np.where(np.isfinite(low), (np.where(np.isfinite(low), low, 0.0) + high) / 2, 2 * np.minimum(plan.b, -1.0))
+        plan.b = np.where(live, np.where(inside, to, middle), plan.b)
+    raise RuntimeError(f"sources are not at their targets after {STEPS} steps")
+
+
+def _offsets(tried: DataFrame) -> DataFrame:
+    """``source, octave, try``: from the longest documents to the shortest, the offset that brings the words so far nearest.
+
+    ``tried`` has how many words too many each offset of each octave takes; a
+    source has at most 64 octaves of ``OFFSETS``.
+    """
+    octaves = tried.groupBy("source", "octave").agg(F.collect_list(F.struct("try", "over")).alias("tries"))
+    lists = octaves.groupBy("source").agg(F.sort_array(F.collect_list(F.struct("octave", "tries")), asc=False).alias("octaves"))
+    near = "array_min(transform(o.tries, t -> struct(abs(done.over + t.over) as off, t.try as try, t.over as over)))"
+    picks = f"""
+      aggregate(
+        octaves,
+        named_struct('over', 0D, 'picks', cast(array() as array<struct<octave:int,try:int>>)),
+        (done, o) -> named_struct(
+          'over', done.over + {near}.over,
+          'picks', concat(done.picks, array(named_struct('octave', o.octave, 'try', {near}.try)))),
+        done -> done.picks)"""
+    return lists.select("source", F.explode(F.expr(picks)).alias("pick")).select("source", "pick.octave", "pick.try")
 
 
 def mix(
@@ -156,12 +185,13 @@ def mix(
 
     Sources are ordered by code point, null last, and take ``weights`` in turn.
     Rates become whole copies by systematic rounding over each source's
-    documents in order of size, so a run of similar documents gets its sum of
-    rates to within one copy; the offset is the one of ``OFFSETS`` that brings
-    the tokens nearest to the target.  The order within a size is a hash of the
+    documents of one octave in order of size, so a run of similar documents gets
+    its sum of rates to within one copy.  Of ``OFFSETS`` offsets an octave takes
+    the one that makes good what the longer ones took too much or too little.
+    The order within a size is a hash of the
     row, hence the same on every run; rows that repeat share it.
 
-    Empty documents get copies by their rate and change no sum; an empty table
+    Empty documents have one copy and change no sum; an empty table
     gives no rows.
     """
     rows = measured(docs, docs.columns if keep is None else keep, source_column, text_column)
@@ -176,11 +206,10 @@ def mix(
         F.col("source").eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_n")),
     ).drop("_s", "_n")
     rows = parts.withColumn("part", F.pmod("hash", "parts")).drop("parts")
-    z = (F.col("size") - F.col("mean")) / F.col("spread")
-    rate = F.least(F.exp(F.col("a") + F.col("b") * z), F.lit(most))
+    octave = F.length(F.bin("size")).alias("octave")
     counts = cut(rows.groupBy("source", "size", "part").agg(F.count("*").alias("n")))
-    counts = with_sources(counts, table).withColumn("rate", rate)
-    order = Window.partitionBy("source").orderBy("size", "part")
+    counts = with_sources(counts, table).withColumns({"rate": tilted(most), "octave": octave})
+    order = Window.partitionBy("source", "octave").orderBy("size", "part")
     before = F.coalesce(F.sum(F.col("n") * F.col("rate")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
     counts = cut(counts.withColumn("before", before))
 
@@ -189,12 +218,12 @@ def mix(
         return F.least(upto(F.col("before") + F.col("n") * F.col("rate")) - upto(F.col("before")), F.ceil(F.col("n") * most))
 
     tries = F.explode(F.sequence(F.lit(0), F.lit(OFFSETS - 1))).alias("try")
-    tried = counts.select("source", "target", "size", "n", "rate", "before", tries)
-    tried = tried.withColumn("taken", copies(F.col("try") / OFFSETS) * F.col("size"))
-    tried = tried.groupBy("source", "try").agg(F.abs(F.sum("taken") - F.first("target")).alias("off"))
-    best = tried.groupBy("source").agg(F.min(F.struct("off", "try"))["try"].alias("try"))
-    best = best.withColumnRenamed("source", "_b")
-    chosen = counts.join(best, counts["source"].eqNullSafe(best["_b"])).withColumn("cell_copies", copies(F.col("try") / OFFSETS))
+    tried = counts.select("source", "octave", "size", "n", "rate", "before", tries)
+    over = (copies(F.col("try") / OFFSETS) - F.col("n") * F.col("rate")) * F.col("size")
+    tried = tried.groupBy("source", "octave", "try").agg(F.round(F.sum(over), 3).alias("over"))
+    best = _offsets(tried).withColumnsRenamed({"source": "_b", "octave": "_o"})
+    same = counts["source"].eqNullSafe(best["_b"]) & (counts["octave"] == best["_o"])
+    chosen = counts.join(best, same).withColumn("cell_copies", copies(F.col("try") / OFFSETS))
     chosen = chosen.select(
         F.col("source").alias("_c"), F.col("size").alias("_n"), F.col("part").alias("_p"), "n", "source_size", "target", "rate", "cell_copies"
     )

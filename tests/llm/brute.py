@@ -129,3 +129,17 @@ def line_links(docs):
         )
         for p, s in lines.items()
     }
+
+
+def tilted_rates(sizes, target, most=2.0):
+    """Rates ``min(most, exp(b * size))`` that take ``target`` words, by halving."""
+    import math
+
+    rate = lambda b, s: most if b * s >= math.log(most) else math.exp(b * s)
+    if target >= most * sum(sizes):
+        return [most if s else 1.0 for s in sizes]
+    low, high = -100.0, 100.0
+    for _ in range(200):
+        b = (low + high) / 2
+        low, high = (b, high) if sum(s * rate(b, s) for s in sizes) < target else (low, b)
+    return [rate(low, s) for s in sizes]

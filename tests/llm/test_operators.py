@@ -284,6 +284,31 @@ def test_mix_meets_targets(spark, none, odd):
     assert mixing.mix(none).count() == 0 and mixing.mix(odd).count() == 7
 
 
+@pytest.mark.parametrize("long", [0, 40_000])
+def test_mix_is_tilted_by_size(spark, long):
+    """Rates of five sources, among them empty documents and one that holds most of its source."""
+    rng = random.Random(long)
+    rows = [(i, " ".join(["w"] * rng.choice([0, 1, 5, 30, 31, 200])), rng.choice("abcd"), None, None, None, None, None) for i in range(400)]
+    rows += [(1000, "w " * long, "b", None, None, None, None, None), (1001, "", "empty", None, None, None, None, None)]
+    got = mixing.mix(spark.createDataFrame(rows, SCHEMA), keep=["doc_id", "source"]).select("row.*", "size", "target", "rate", "copies").collect()
+    varied = 0
+    for source in ("a", "b", "c", "d", "empty"):
+        mine = [r for r in got if r["source"] == source]
+        plain = brute.tilted_rates([r["size"] for r in mine], mine[0]["target"])
+        assert [r["rate"] for r in mine] == pytest.approx(plain, abs=1e-6)
+        assert sum(r["rate"] * r["size"] for r in mine) == pytest.approx(mine[0]["target"])
+        varied += len({r["rate"] for r in mine}) > 2
+    # The others are at their limit of two copies if one source holds nearly all.
+    assert varied >= (1 if long else 2) and all(abs(r["copies"] - r["rate"]) < 1 + 1e-6 for r in got)
+
+
+def test_mix_of_a_whole_table_is_near_its_targets(spark):
+    got = mixing.mix(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), keep=["source"])
+    sources = got.groupBy("row.source").agg(F.sum(F.col("copies") * F.col("size")).alias("taken"), F.first("target").alias("target"))
+    for r in sources.collect():
+        assert r["taken"] == pytest.approx(r["target"], rel=0.005)
+
+
 @pytest.mark.parametrize("sizes", [[10, 10, 10], [1000, 1, 1], [0, 5, 5], [1, 1000, 3, 3]])
 def test_targets(sizes):
     weights = [(3, 1, 2)[i % 3] for i in range(len(sizes))]
