@@ -2,9 +2,9 @@
 
 1. A line is the set of its tokens' 64-bit hashes.  Equal sets are one class,
    represented by their first line.
-2. Tokens are ordered by rarity: how many lines have each of 65,536 hash buckets
-   ranks the buckets, and a token's number is its bucket's rank followed by the
-   rest of its hash.  Numbers stand for hashes one to one.
+2. Tokens are ordered by rarity: how many words of all texts have each of 65,536
+   hash buckets ranks the buckets, and a token's number is its bucket's rank followed
+   by the rest of its hash.  Numbers stand for hashes one to one.
 3. Two sets of Jaccard similarity ``PERCENT`` or more share a token among the
    first ``n - ceil(t * n) + 1`` of each, and the smaller has it among its first
    ``n - ceil(2t / (1 + t) * n) + 1``.  Classes meet by such tokens; the length and
@@ -12,10 +12,14 @@
    bitmap of 128 parities: two sets differ in at least as many tokens as bits.
 4. Every class meets every other at its prefix tokens.  A token of more than
    ``HOT`` classes is cut into parts of about that many, which meet all of them.
-5. Jaccard on the full sets decides.  All links are found, so a group of like
+   The tokens meet in ``ROUNDS`` rounds, by their hash, so that the disk holds that
+   part of the prefixes' entries at a time.
+5. Jaccard on the full sets decides.  Only the sets of classes that met are made
+   again, from their first lines.  All links are found, so a group of like
    lines costs as many pairs as it has links, and equal lines cost none.
 
-Only DataFrame functions are used.
+Each step is written to the shared folder and its shuffle files are dropped then; the
+steps' tables go as soon as the next one has been written.  Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -25,34 +29,42 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keytide.llm.common import NOT_BLANK, ascii_lower, cut, texts, words
-from keytide.llm.storage import new_folder
+from keytide.llm.common import NOT_BLANK, ascii_lower, cut, texts
+from keytide.llm.storage import new_folder, remove
+from keytide.session import setting
 
 PERCENT = 75
 BUCKETS = 1 << 16
 HOT = 256  # classes at a token, or in a part of one
 BITS = ("b0", "b1")
+ROUNDS = 4
+BLANKS = "\t\x0b\x0c\r"  # white space within a line, other than the space
+# Spark drops an execution's shuffle files when it ends.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def lines_of(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``doc_id, line_no, line`` of every line with a word, numbered from 0."""
-    split = F.split(F.col("text"), "\n")
-    rows = texts(docs, id_column, text_column).select("doc_id", F.posexplode_outer(split).alias("line_no", "line"))
-    return rows.where(F.col("line").rlike(NOT_BLANK))
+def plain(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``doc_id, text`` with A-Z lower-cased and spaces for all white space but line ends.
 
+    A split at one plain character is twice as fast as one at a pattern.
+    """
+    text = F.col("text")
+    spaced = F.when(F.rlike(text, F.lit(f"[{BLANKS}]")), F.translate(text, BLANKS, " " * len(BLANKS))).otherwise(text)
+    return texts(docs, id_column, text_column).select("doc_id", ascii_lower(spaced).alias("text"))
 
-def _bucket(hashed: Column) -> Column:
-    return F.shiftrightunsigned(hashed, 48).cast("int")
 
+def lines_of(rows: DataFrame) -> DataFrame:
+    """``doc_id, line_no, line`` of every line with a word, numbered from 0; ``rows`` are ``plain`` ones."""
+    split = rows.select("doc_id", F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line"))
+    return split.where(F.col("line").rlike(NOT_BLANK))
 
-def token_set(line: Column) -> Column:
-    """Hashes of a line's distinct tokens, in their own order."""
-    return F.sort_array(F.array_distinct(F.transform(words(ascii_lower(line)), lambda word: F.xxhash64(word))))
 
+def _bucket(hashed: Column) -> Column:
+    return F.shiftrightunsigned(hashed, 48).cast("int")
 
-def token_ranks(sets: DataFrame) -> Column:
-    """Rank of each token bucket by how many lines' sets have it, as a literal array of ``BUCKETS`` numbers."""
-    tokens = sets.select(F.explode("tokens").alias("token"))
+
+def _ranks(tokens: DataFrame) -> Column:
+    """Rank of each bucket by its number of rows ``token``, as a literal array of ``BUCKETS`` numbers."""
     counts = tokens.groupBy(_bucket(F.col("token")).alias("bucket")).count().collect()  # at most BUCKETS rows
     often = dict.fromkeys(range(BUCKETS), 0) | {r["bucket"]: r["count"] for r in counts}
     ranks = [0] * BUCKETS
@@ -61,13 +73,31 @@ def token_ranks(sets: DataFrame) -> Column:
     return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<int>")
 
 
+def token_ranks(sets: DataFrame) -> Column:
+    """Rank of each token bucket by how many sets ``tokens`` have it."""
+    return _ranks(sets.select(F.explode("tokens").alias("token")))
+
+
+def word_ranks(rows: DataFrame) -> Column:
+    """Rank of each token bucket by how many words of the ``plain`` rows have it."""
+    found = rows.select(F.explode(F.split(F.translate("text", "\n", " "), " ")).alias("word"))
+    return _ranks(found.select(F.xxhash64("word").alias("token")))
+
+
+def _number(token: Column, ranks: Column) -> Column:
+    rank = F.get(ranks, _bucket(token)).cast("long") - (BUCKETS >> 1)
+    return F.shiftleft(rank, 48).bitwiseOR(token.bitwiseAND(F.lit((1 << 48) - 1)))
+
+
 def rarest_first(tokens: str, ranks: Column) -> Column:
     """A set's tokens as numbers, in the order of their buckets' ranks."""
-    def number(token: Column) -> Column:
-        rank = F.get(ranks, _bucket(token)).cast("long") - (BUCKETS >> 1)
-        return F.shiftleft(rank, 48).bitwiseOR(token.bitwiseAND(F.lit((1 << 48) - 1)))
+    return F.sort_array(F.transform(tokens, lambda token: _number(token, ranks)))
+
 
-    return F.sort_array(F.transform(tokens, number))
+def numbers(line: Column, ranks: Column) -> Column:
+    """The numbers of a ``plain`` line's distinct tokens, rarest first."""
+    split = F.array_remove(F.split(line, " "), "")
+    return F.sort_array(F.array_distinct(F.transform(split, lambda word: _number(F.xxhash64(word), ranks))))
 
 
 def _keys(tokens: str) -> list[Column]:
@@ -125,16 +155,36 @@ def meetings(spread: DataFrame, unlike: str | None = None, bits: Sequence[str] =
     return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
-def _classes_and_links(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The classes with ``node, first, lines``, and all links ``a, b`` between their nodes."""
-    prefix = F.slice(rarest_first("tokens", token_ranks(keyed)), 1, prefix_size(F.col("n")))
-    classes = keyed.withColumn("prefix", prefix).groupBy("k1", "k2").agg(
+class _Steps:
+    """Tables of the steps in the shared folder."""
+
+    def __init__(self, docs: DataFrame):
+        self.spark, self.folder = docs.sparkSession, new_folder(docs.sparkSession, "lines")
+
+    def write(self, rows: DataFrame, name: str) -> DataFrame:
+        rows.write.parquet(f"{self.folder}/{name}")
+        return self.spark.read.parquet(f"{self.folder}/{name}")
+
+    def remove(self, *names: str) -> None:
+        for name in names:
+            remove(f"{self.folder}/{name}")
+
+
+def _classes(keyed: DataFrame) -> DataFrame:
+    """``node, first, lines`` of each class, with what the join needs of it."""
+    classes = keyed.groupBy("k1", "k2").agg(
         F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("lines"),
         *[F.first(c).alias(c) for c in ("n", "b0", "b1", "prefix")],
     )
-    classes = cut(classes.withColumn("node", F.monotonically_increasing_id()))
-    spread = classes.select("node", "n", "b0", "b1", F.posexplode_outer("prefix").alias("at", "token"))
-    return classes, _verified(keyed, classes, cut(meetings(spread)))
+    return classes.withColumn("node", F.monotonically_increasing_id())
+
+
+def _met(classes: DataFrame, steps: _Steps) -> DataFrame:
+    """Candidates ``a, b`` of all rounds."""
+    spread = classes.select("node", "n", "b0", "b1", F.posexplode("prefix").alias("at", "token"))
+    for number in range(ROUNDS):
+        steps.write(meetings(spread.where(F.pmod("token", F.lit(ROUNDS)) == number)), f"met/round={number}")
+    return steps.spark.read.parquet(f"{steps.folder}/met").select("a", "b").distinct()
 
 
 def near_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -149,21 +199,21 @@ def near_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     lower-cased and their order and number ignored.  Rows that repeat an id have
     their lines at the same places; of those the result has each line.
     """
-    rows = lines_of(docs, id_column, text_column).withColumn("tokens", token_set(F.col("line"))).drop("line")
-    keyed = rows.select("doc_id", "line_no", F.size("tokens").alias("n"), "tokens", *_keys("tokens"), *bitmap("tokens"))
-    # Every later step reads the sets from this table instead of making them again.
-    table = new_folder(docs.sparkSession, "lines")
-    keyed.write.parquet(table)
-    keyed = docs.sparkSession.read.parquet(table)
-    classes, found = _classes_and_links(keyed)
-
-    ends = found.select("a", "b").unionAll(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    others = classes.select(F.col("node").alias("b"), F.col("first").alias("other"), F.col("lines").alias("others"))
-    linked = ends.join(others, "b").groupBy("a").agg(F.min("other").alias("least"), F.sum("others").alias("others"))
-    named = classes.join(linked, classes["node"] == linked["a"], "left").select(
-        "k1", "k2", "first", F.when(F.col("least") < F.col("first"), F.col("least")).alias("match"),
-        (F.col("lines") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
-    )
+    spark = docs.sparkSession
+    steps = _Steps(docs)
+    with setting(spark, FREE_SHUFFLES, "true"):
+        rows = plain(docs, id_column, text_column)
+        ranks = word_ranks(rows)
+        lines = lines_of(rows)
+        sets = lines.select("doc_id", "line_no", numbers(F.col("line"), ranks).alias("tokens"))
+        n = F.size("tokens")
+        prefix = F.slice("tokens", 1, prefix_size(n))
+        keyed = sets.select("doc_id", "line_no", n.alias("n"), prefix.alias("prefix"), *_keys("tokens"), *bitmap("tokens"))
+        keyed = steps.write(keyed, "keyed")
+        classes = steps.write(_classes(keyed), "classes")
+        links = _verified(lines, ranks, classes, steps.write(_met(classes, steps), "pairs"), steps)
+        named = steps.write(_named(classes, links), "named")
+        steps.remove("met", "pairs", "sets", "links", "classes")
     out = keyed.select("doc_id", "line_no", "k1", "k2").join(named, ["k1", "k2"])
     later = ~F.struct("doc_id", "line_no").eqNullSafe(F.col("first"))
     return out.select(
@@ -175,22 +225,34 @@ def near_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     )
 
 
-def _verified(keyed: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+def _named(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``k1, k2, first, match, n_links`` of each class."""
+    ends = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = classes.select(F.col("node").alias("b"), F.col("first").alias("other"), F.col("lines").alias("others"))
+    linked = ends.join(others, "b").groupBy("a").agg(F.min("other").alias("least"), F.sum("others").alias("others"))
+    return classes.join(linked, classes["node"] == linked["a"], "left").select(
+        "k1", "k2", "first", F.when(F.col("least") < F.col("first"), F.col("least")).alias("match"),
+        (F.col("lines") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
+    )
+
+
+def _verified(lines: DataFrame, ranks: Column, classes: DataFrame, pairs: DataFrame, steps: _Steps) -> DataFrame:
     """The pairs ``a, b`` whose full sets are similar enough."""
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = classes.join(wanted, "node", "left_semi").select(
-        "node", "k1", "k2", F.col("first.doc_id").alias("_doc"), F.col("first.line_no").alias("_line")
+        "node", F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("first.doc_id").alias("_doc"), F.col("first.line_no").alias("_line")
     )
-    # Sets are taken from the class's first line, met by its place; the keys tell repeated ids apart.
+    # Sets are made from the class's first line, met by its place; the keys tell repeated ids apart.
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("line_no") == F.col("_line"))
-    sets = keyed.withColumnsRenamed({"k1": "_k1", "k2": "_k2"}).join(wanted, same)
-    sets = cut(sets.where("k1 = _k1 and k2 = _k2").select("node", "tokens").dropDuplicates(["node"]))
+    sets = lines.join(wanted, same).select("node", "_k1", "_k2", numbers(F.col("line"), ranks).alias("tokens"))
+    sets = sets.select("node", "_k1", "_k2", "tokens", *_keys("tokens")).where("k1 = _k1 and k2 = _k2")
+    sets = steps.write(sets.select("node", "tokens").dropDuplicates(["node"]), "sets")
     a = sets.select(F.col("node").alias("a"), F.col("tokens").alias("a_tokens"))
     b = sets.select(F.col("node").alias("b"), F.col("tokens").alias("b_tokens"))
     tested = pairs.join(a, "a").join(b, "b")
     both = F.size(F.array_intersect("a_tokens", "b_tokens"))
     tested = tested.select("a", "b", both.alias("both"), (F.size("a_tokens") + F.size("b_tokens")).alias("sum"))
-    return cut(tested.where(f"{100 + PERCENT} * both >= {PERCENT} * sum").select("a", "b"))
+    return steps.write(tested.where(f"{100 + PERCENT} * both >= {PERCENT} * sum").select("a", "b"), "links")
 
 
 def drop_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
