@@ -136,15 +136,23 @@ def _could_match(x: str, y: str, bits: Sequence[str]) -> Column:
     return near & early & ((100 + PERCENT) * most >= 2 * PERCENT * (n + m))
 
 
-def meetings(spread: DataFrame, unlike: str | None = None, bits: Sequence[str] = BITS, part: int = HOT) -> DataFrame:
+def hot_tokens(spread: DataFrame, part: int) -> DataFrame:
+    """``token, parts`` of tokens that more than ``part`` classes have."""
+    hot = spread.groupBy("token").agg(F.count("*").alias("users")).where(f"users > {part}")
+    return hot.select("token", F.ceil(F.col("users") / part).cast("int").alias("parts"))
+
+
+def meetings(
+    spread: DataFrame, unlike: str | None = None, bits: Sequence[str] = BITS, part: int = HOT, hot: DataFrame | None = None
+) -> DataFrame:
     """``a, b``: classes that meet at a token and pass the filters; ``a`` is the lesser node.
 
     With ``unlike`` only those that differ in that column.  ``bits`` are the
-    bitmap's columns, and tokens of more than ``part`` classes are cut into parts of that many.
+    bitmap's columns, and tokens of more than ``part`` classes are cut into parts of that many;
+    ``hot`` are those tokens if they are known.
     """
     entry = F.struct("node", "n", "at", *bits, *[unlike] * (unlike is not None))
-    hot = spread.groupBy("token").agg(F.count("*").alias("users")).where(f"users > {part}")
-    hot = cut(hot.select("token", F.ceil(F.col("users") / part).cast("int").alias("parts")))
+    hot = cut(hot_tokens(spread, part)) if hot is None else hot
     few = spread.join(hot, "token", "left_anti")
     few = few.select("token", entry.alias("x")).join(few.select("token", entry.alias("y")), "token")
     many = spread.join(hot, "token")
@@ -182,8 +190,9 @@ def _classes(keyed: DataFrame) -> DataFrame:
 def _met(classes: DataFrame, steps: _Steps) -> DataFrame:
     """Candidates ``a, b`` of all rounds."""
     spread = classes.select("node", "n", "b0", "b1", F.posexplode("prefix").alias("at", "token"))
+    hot = steps.write(hot_tokens(spread, HOT), "hot")
     for number in range(ROUNDS):
-        steps.write(meetings(spread.where(F.pmod("token", F.lit(ROUNDS)) == number)), f"met/round={number}")
+        steps.write(meetings(spread.where(F.pmod("token", F.lit(ROUNDS)) == number), part=HOT, hot=hot), f"met/round={number}")
     return steps.spark.read.parquet(f"{steps.folder}/met").select("a", "b").distinct()
 
 
@@ -213,7 +222,7 @@ def near_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
         classes = steps.write(_classes(keyed), "classes")
         links = _verified(lines, ranks, classes, steps.write(_met(classes, steps), "pairs"), steps)
         named = steps.write(_named(classes, links), "named")
-        steps.remove("met", "pairs", "sets", "links", "classes")
+        steps.remove("hot", "met", "pairs", "wanted", "sets", "links", "classes")
     out = keyed.select("doc_id", "line_no", "k1", "k2").join(named, ["k1", "k2"])
     later = ~F.struct("doc_id", "line_no").eqNullSafe(F.col("first"))
     return out.select(
@@ -242,9 +251,13 @@ def _verified(lines: DataFrame, ranks: Column, classes: DataFrame, pairs: DataFr
     wanted = classes.join(wanted, "node", "left_semi").select(
         "node", F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("first.doc_id").alias("_doc"), F.col("first.line_no").alias("_line")
     )
+    # A table, so that the join knows its size.
+    wanted = steps.write(wanted, "wanted")
     # Sets are made from the class's first line, met by its place; the keys tell repeated ids apart.
+    # The generator keeps the keys' comparison above the join, where sets would be made of all lines.
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("line_no") == F.col("_line"))
-    sets = lines.join(wanted, same).select("node", "_k1", "_k2", numbers(F.col("line"), ranks).alias("tokens"))
+    made = F.struct("node", "_k1", "_k2", numbers(F.col("line"), ranks).alias("tokens"))
+    sets = lines.join(wanted, same).select(F.inline(F.array(made)))
     sets = sets.select("node", "_k1", "_k2", "tokens", *_keys("tokens")).where("k1 = _k1 and k2 = _k2")
     sets = steps.write(sets.select("node", "tokens").dropDuplicates(["node"]), "sets")
     a = sets.select(F.col("node").alias("a"), F.col("tokens").alias("a_tokens"))
