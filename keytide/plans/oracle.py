@@ -164,6 +164,8 @@ ORACLE: dict[str, str] = {
 }
 ORACLE["canary_ranges"] = ORACLE["canary_report"]
 ORACLE["kv_lookup"] = "select o_custkey, o_orderkey, o_orderpriority from orders where o_custkey = 37"
+ORACLE["kv_store_scan"] = _ORDER_PAIRS
+ORACLE["kv_store_get"] = ORACLE["kv_lookup"]
 ORACLE["kv_pages"] = """
       with numbered as (
         select o_orderkey as key, (row_number() over (order by o_orderkey) - 1) // 1000 as page from orders)

@@ -20,6 +20,7 @@ from keytide.schemas import EVENT_RECORD, STREAM_RECORD, TableSpec, event_table,
 from keytide.session import namespace_dir, scratch_namespace
 from keytide.sources.ordered import lookup, page_starts, write_ordered
 from keytide.sources.shards import Log, read_shards, send, send_stream, stream_shards
+from keytide.sources.store import export, scan_files
 from keytide.sources.streams import as_records, read_stream
 from keytide.sources.tables import (
     create_namespace,
@@ -101,6 +102,22 @@ def _ordered_copy(spark: SparkSession, rows: DataFrame, label: str, key: list[st
     return write_ordered(rows, f"{namespace_dir(spark, scratch_namespace(spark, label))}/ordered", key)
 
 
+def kv_store_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders through a store's client."""
+    pairs = _order_pairs(spark, sf_dir)
+    path = f"{namespace_dir(spark, scratch_namespace(spark, 'kv_store_scan'))}/store"
+    export(pairs, path, "key")
+    return scan_files(spark, path, pairs.schema, "key")
+
+
+def kv_store_get(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders of one customer through a store's client, which gets the key."""
+    orders = inputs.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderpriority")
+    path = f"{namespace_dir(spark, scratch_namespace(spark, 'kv_store_get'))}/store"
+    export(orders, path, "o_custkey")
+    return scan_files(spark, path, orders.schema, "o_custkey", [LOOKED_UP])
+
+
 def kv_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All orders of one customer, from a copy in order of customers."""
     orders = inputs.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderpriority")
@@ -508,6 +525,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         kv_take,
         kv_roundtrip,
         kv_overwrite,
+        kv_store_scan,
+        kv_store_get,
         kv_lookup,
         kv_pages,
         event_key_lookup,
