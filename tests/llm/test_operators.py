@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import random
 import re
 import sys
@@ -366,6 +367,57 @@ def test_archives(spark):
     assert warc.read_archives(spark, empty).count() == 0
 
 
+def foreign_records() -> list[bytes]:
+    """Records as other programs write them: names in any case, ids of their own, blocks without HTTP."""
+    http = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n"
+    blocks = [
+        ("warcinfo", "application/warc-fields", b"software: x\r\n"), ("response", "application/http; msgtype=response", http + b"<p>one</p>\r\n\r\nrest"),
+        ("request", "application/http; msgtype=request", b"GET / HTTP/1.1\r\n\r\n"), ("resource", "text/plain", "é".encode() * 90_000),
+        ("response", "application/http; msgtype=response", http),
+    ]
+    return [
+        f"WARC/1.0\r\nwarc-type: {kind}\r\nWARC-Record-Id: <urn:uuid:{i}-ab>\r\nWARC-Target-URI:http://a/{i}\r\ncontent-type: {media}\r\nContent-LENGTH: {len(block)}\r\n\r\n".encode()
+        + block + b"\r\n\r\n"
+        for i, (kind, media, block) in enumerate(blocks)
+    ]
+
+
+@pytest.mark.parametrize("kind", ["members", "one member", "plain", "after its own"])
+def test_foreign_archives(spark, kind):
+    records, folder = foreign_records(), new_folder(spark, "test-warc")
+    own = [warc.member(warc.record(9, "u", b"mine", warc.digest(b"mine"), None))] if kind == "after its own" else []
+    parts = {"plain": records, "one member": [gzip.compress(b"".join(records))]}.get(kind) or [*own, *map(gzip.compress, records)]
+    warc.write_whole(f"{folder}/a.warc" + ".gz" * (kind != "plain"), parts)
+    got = {r["record_id"]: r for r in warc.read_archives(spark, folder).collect()}
+    sizes = {f"<urn:uuid:{i}-ab>": n for i, n in enumerate([13, 18, 0, 180_000, 0])}
+    assert {i: r["payload_bytes"] for i, r in got.items()} == sizes | ({"<urn:page:9>": 4} if own else {})
+    assert got["<urn:uuid:1-ab>"]["payload"] == b"<p>one</p>\r\n\r\nrest" and got["<urn:uuid:1-ab>"]["url"] == "http://a/1"
+    assert got["<urn:uuid:3-ab>"]["payload_digest"] == warc.digest("é".encode() * 90_000) and got["<urn:uuid:2-ab>"]["payload"] is None
+    some = warc.read_archives(spark, folder, where={"record_type": ["response", "warcinfo"], "payload_bytes": [18, 13]})
+    assert sorted(r["record_id"][10] for r in some.collect()) == ["0", "1"]
+    assert warc.read_archives(spark, folder, payload="false").where("payload is null").count() == len(got)
+
+
+def test_broken_archives(spark):
+    mine = warc.member(warc.record(9, "u", b"mine" * 999, warc.digest(b"mine" * 999), None))
+    for parts, name in (([mine[:-20]], "a.warc.gz"), ([gzip.compress(foreign_records()[3][:-99])], "a.warc.gz"), ([b"no record\r\n\r\n"], "a.warc"), ([mine[:16] + bytes(4) + mine[20:]], "a.warc.gz")):
+        folder = new_folder(spark, "test-warc")
+        warc.write_whole(f"{folder}/{name}", parts)
+        with pytest.raises(ValueError):
+            list(warc.WarcReader({"path": folder}).read(warc.Part([f"{folder}/{name}"])))
+
+
+def test_filters_on_one_frame_of_archives(spark):
+    folder = new_folder(spark, "test-warc")
+    warc.write_archives(spark.range(50).selectExpr("id as page_id", "'u' as url", "cast(id % 5 as string) as html"), folder)
+    got = warc.read_archives(spark, folder)
+    assert got.where("page_id = 3").unionAll(got.where("page_id = 48")).count() == 2 and got.count() == 50
+    assert warc.read_archives(spark, folder, where={"record_type": ["response"]}).count() == 5
+    assert warc.read_archives(spark, folder, pushdown=True).where("page_id in (3, 48) and record_type = 'response'").count() == 1
+    reader = warc.PushedWarcReader({"path": folder})
+    assert list(reader.pushFilters([warc.EqualTo(("page_id",), 3)])) == [] and reader.tests == [("page_id", (3,))]
+
+
 def test_urls(spark):
     link = '<a href="{}">x</a>'
     rows = [
