@@ -1,8 +1,8 @@
 """License detections by ordered signature rules.
 
 A rule is a pattern over a text's normalised words, with a label, a priority and
-a keyword that every match contains.  The rules come from license names times
-phrase templates.  Per text: one gate that few texts pass, then only the rules
+a keyword that every match contains.  Rules are license names within phrase templates, and
+hand-written ones for what names a license without such a phrase.  Per text: one gate that few texts pass, then only the rules
 whose keyword occurs; of their matches, one that lies inside a match of the same
 or a higher priority is dropped.  All of it is expressions over one row.
 """
@@ -62,9 +62,78 @@ PLAIN = (
     ("copyright", 0.3, "copyright (?:c )?(?:19|20)\\d\\d"),
 )
 PLAIN_KEYWORDS = {"cc": "creative commons", "public-domain": "public domain", "proprietary": "all rights reserved", "copyright": "copyright"}
+
+# Names that stand alone, as (label, weight, keyword, pattern); every match contains the keyword.
+HAND = (
+    ("agpl", 0.6, " agpl ", "(?:gnu )?agpl"),
+    ("agpl", 0.6, "affero general public licen", "(?:gnu )?affero general public licen[cs]e"),
+    ("agpl-3", 0.8, " agpl", "(?:gnu )?agpl(?: version| ?v)? ?3(?: 0)?(?: only| or later)?"),
+    ("agpl-3", 0.8, "affero general public licen", "(?:gnu )?affero general public licen[cs]e(?: version| v)? ?3(?: 0)?(?: or (?:any )?later(?: version)?)?"),
+    ("apache-1.1", 0.8, " apache", "apache(?: software)?(?: licen[cs]e)?(?: version| v)? 1 1"),
+    ("apache-2", 0.8, " apache", "apache(?: software)?(?: licen[cs]e)?(?: version| v)? ?2 0"),
+    ("apache-2", 0.7, " asl", "asl(?: version| ?v)? ?2(?: 0)?"),
+    ("apache-2", 0.8, "apache org licenses licen", "apache org licenses licen[cs]e 2 0"),
+    ("artistic-2", 0.8, "artistic licen", "(?:the )?artistic licen[cs]e(?: version| v)? ?2(?: 0)?"),
+    ("bsd-0", 0.8, "bsd", "(?:0bsd|bsd zero clause|zero clause bsd)"),
+    ("bsd-2", 0.8, "bsd", "(?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd)"),
+    ("bsd-3", 0.8, "bsd", "(?:bsd 3 clause|3 clause bsd|three clause bsd|modified bsd|revised bsd)"),
+    ("bsd-4", 0.8, "bsd", "(?:bsd 4 clause|4 clause bsd|four clause bsd|original bsd)"),
+    ("bsl-1.1", 0.7, "business source licen", "business source licen[cs]e(?: version| v)?(?: 1 1)?"),
+    ("boost-1", 0.8, "boost software licen", "boost software licen[cs]e(?: version| v)?(?: 1 0)?"),
+    ("cc-by", 0.6, "creativecommons org licenses by ", "creativecommons org licenses by [1-4] [05]"),
+    ("cc-by-nc", 0.6, "creativecommons org licenses by nc", "creativecommons org licenses by nc [1-4] [05]"),
+    ("cc-by-nc-nd", 0.6, "creativecommons org licenses by nc nd", "creativecommons org licenses by nc nd [1-4] [05]"),
+    ("cc-by-nc-sa", 0.6, "creativecommons org licenses by nc sa", "creativecommons org licenses by nc sa [1-4] [05]"),
+    ("cc-by-nd", 0.6, "creativecommons org licenses by nd", "creativecommons org licenses by nd [1-4] [05]"),
+    ("cc-by-sa", 0.6, "creativecommons org licenses by sa", "creativecommons org licenses by sa [1-4] [05]"),
+    ("cc0", 0.7, " cc0", "cc0(?: 1 0)?(?: universal)?"),
+    ("cc0", 0.7, "creativecommons org publicdomain zero", "creativecommons org publicdomain zero 1 0"),
+    ("cddl-1", 0.7, "common development and distribution licen", "common development and distribution licen[cs]e(?: version| v)?(?: 1 [01])?"),
+    ("cddl-1", 0.7, " cddl", "cddl(?: version| ?v)? ?1(?: [01])?"),
+    ("epl", 0.6, "eclipse public licen", "eclipse public licen[cs]e"),
+    ("epl-1", 0.8, "eclipse public licen", "eclipse public licen[cs]e(?: version| v)? ?1(?: 0)?"),
+    ("epl-2", 0.8, "eclipse public licen", "eclipse public licen[cs]e(?: version| v)? ?2(?: 0)?"),
+    ("eupl", 0.6, "european union public licen", "european union public licen[cs]e"),
+    ("eupl-1.2", 0.8, "european union public licen", "european union public licen[cs]e(?: version| v)? ?1 2"),
+    ("eupl-1.2", 0.8, " eupl", "eupl(?: version| ?v)? ?1 2"),
+    ("fdl", 0.6, "free documentation licen", "(?:gnu )?free documentation licen[cs]e"),
+    ("fdl-1.3", 0.8, "free documentation licen", "(?:gnu )?free documentation licen[cs]e(?: version| v)? ?1 3"),
+    ("gpl", 0.6, " gpl ", "(?:gnu )?gpl"),
+    ("gpl", 0.6, "general public licen", "(?:gnu )?general public licen[cs]e"),
+    ("gpl-2", 0.8, " gpl", "(?:gnu )?gpl(?: version| ?v)? ?2(?: 0)?(?: only| or later)?"),
+    ("gpl-2", 0.8, "general public licen", "(?:gnu )?general public licen[cs]e(?: version| v)? ?2(?: 0)?(?: or (?:any )?later(?: version)?)?"),
+    ("gpl-3", 0.8, " gpl", "(?:gnu )?gpl(?: version| ?v)? ?3(?: 0)?(?: only| or later)?"),
+    ("gpl-3", 0.8, "general public licen", "(?:gnu )?general public licen[cs]e(?: version| v)? ?3(?: 0)?(?: or (?:any )?later(?: version)?)?"),
+    ("isc", 0.7, "released under ", "released under (?:the )?(?:terms of (?:the )?)?isc"),
+    ("lgpl", 0.6, " lgpl ", "(?:gnu )?lgpl"),
+    ("lgpl", 0.6, "er general public licen", "(?:gnu )?lesser general public licen[cs]e"),
+    ("lgpl-2.1", 0.8, " lgpl", "(?:gnu )?lgpl(?: version| ?v)? ?2 1(?: only| or later)?"),
+    ("lgpl-2.1", 0.8, "er general public licen", "(?:gnu )?lesser general public licen[cs]e(?: version| v)? ?2 1"),
+    ("lgpl-3", 0.8, " lgpl", "(?:gnu )?lgpl(?: version| ?v)? ?3(?: 0)?(?: only| or later)?"),
+    ("lgpl-3", 0.8, "er general public licen", "(?:gnu )?lesser general public licen[cs]e(?: version| v)? ?3(?: 0)?"),
+    ("mit", 0.7, "released under ", "released under (?:the )?(?:terms of (?:the )?)?mit"),
+    ("mit", 0.7, "distributed under ", "distributed under (?:the )?(?:terms of (?:the )?)?mit"),
+    ("mit", 0.7, "available under ", "available under (?:the )?(?:terms of (?:the )?)?mit"),
+    ("mit", 0.8, "opensource org licenses mit", "opensource org licenses mit"),
+    ("mit", 0.6, "permission is hereby granted free of charge to any person obtaining a copy", "permission is hereby granted free of charge to any person obtaining a copy"),
+    ("mpl", 0.6, "mozilla public licen", "mozilla public licen[cs]e"),
+    ("mpl-1.1", 0.8, "mozilla public licen", "mozilla public licen[cs]e(?: version| v)? ?1 1"),
+    ("mpl-2", 0.8, "mozilla public licen", "mozilla public licen[cs]e(?: version| v)? ?2(?: 0)?"),
+    ("mpl-2", 0.8, " mpl", "mpl(?: version| ?v)? ?2(?: 0)?"),
+    ("ms-pl", 0.7, "microsoft public licen", "microsoft public licen[cs]e"),
+    ("odbl-1", 0.7, "open database licen", "open database licen[cs]e(?: version| v)?(?: 1 0)?"),
+    ("ofl-1.1", 0.7, "open font licen", "(?:sil )?open font licen[cs]e(?: version| v)?(?: 1 1)?"),
+    ("python-2", 0.7, "python ", "python(?: software foundation)? licen[cs]e(?: version| v)?(?: 2(?: 0)?)?"),
+    ("sspl-1", 0.7, "server side public licen", "server side public licen[cs]e(?: version| v)?(?: 1(?: 0)?)?"),
+    ("unlicense", 0.7, "unlicen", "(?:the )?unlicen[cs]e"),
+    ("zpl-2", 0.7, "zope public licen", "zope public licen[cs]e(?: version| v)?(?: 2 [01])?"),
+)
 LEVELS = 4
 # Every match of every rule contains one of these.
-GATE = ("licen", "public domain", "creative commons", "all rights reserved", "copyright", "cc by")
+GATE = (
+    "licen", "public domain", "creative commons", "all rights reserved", "copyright", "cc by", "creativecommons org", " cc0", " apache", " asl", "bsd",
+    " gpl", " agpl", " lgpl", " mpl", " cddl", " eupl", "released under ", "distributed under ", "available under ", "permission is hereby granted",
+)
 
 
 def literals(name: str) -> list[str]:
@@ -81,6 +150,7 @@ def rules() -> list[tuple[str, int, float, str, str, list[str]]]:
         for label, name in NAMES
     ]
     made += [(label, LEVELS - 1, weight, PLAIN_KEYWORDS[label], pattern, [""]) for label, weight, pattern in PLAIN]
+    made += [(label, 2, weight, keyword, pattern, [""]) for label, weight, keyword, pattern in HAND]
     return sorted(made, key=lambda r: r[1])
 
 

@@ -235,6 +235,59 @@ def test_license_spellings(spark):
     assert [r["labels"] for r in sorted(rows, key=lambda r: r["doc_id"])] == ["gpl", "mit", "gpl-2", "gpl-3", "gpl-3"]
 
 
+def test_licenses_named_alone(spark):
+    """Names without a phrase around them, in either spelling."""
+    expected = {
+        "Mozilla Public License Version 2.0": "mpl-2", "The European Union Public License 1.2": "eupl-1.2", "GNU GPL": "gpl",
+        "BSD-3-Clause": "bsd-3", "Apache-2.0": "apache-2", "released under MIT": "mit", "The Python License": "python-2",
+        "GNU General Public Licence v3 or later": "gpl-3", "GPL-2.0-only": "gpl-2", "(LGPL-2.1)": "lgpl-2.1", "AGPLv3": "agpl-3",
+        "see creativecommons.org/licenses/by-nc-sa/4.0": "cc-by-nc-sa", "CC0": "cc0", "Eclipse Public Licence 2.0": "epl-2",
+    }
+    rows = license_scan.scan_licenses(spark.createDataFrame(list(enumerate(expected)), "doc_id long, text string")).collect()
+    assert {list(expected)[r["doc_id"]]: r["labels"] for r in rows} == expected
+    clean = ["a mit of wool under the bridge", "the bsdetector and gplaces", "an apache helicopter", "he made it available under pressure"]
+    rows = license_scan.scan_licenses(spark.createDataFrame(list(enumerate(clean)), "doc_id long, text string")).collect()
+    assert {r["labels"] for r in rows} == {""}
+
+
+@pytest.mark.parametrize("rule", license_scan.HAND, ids=lambda r: r[3][:40])
+def test_hand_written_rules_contain_their_keywords(rule):
+    """Every text a pattern describes, by its parts taken and left out."""
+    label, _, keyword, pattern = rule
+
+    def spelled(p):
+        """All texts of a pattern of groups, optional parts and classes."""
+        done = [""]
+        while p:
+            if p.startswith("(?:"):
+                depth, end = 0, 0
+                for end, c in enumerate(p):
+                    depth += (c == "(") - (c == ")")
+                    if depth == 0:
+                        break
+                inner, p, options, part, depth = p[3:end], p[end + 1 :], [], "", 0
+                for c in inner:
+                    depth += (c == "(") - (c == ")")
+                    if c == "|" and depth == 0:
+                        options, part = [*options, part], ""
+                    else:
+                        part += c
+                texts = [t for o in [*options, part] for t in spelled(o)]
+            elif p[0] == "[":
+                inner, _, p = p[1:].partition("]")
+                texts = list(inner.replace("-", ""))
+            else:
+                texts, p = [p[0]], p[1:]
+            if p.startswith("?"):
+                texts, p = ["", *texts], p[1:]
+            done = [d + t for d in done for t in texts]
+        return done
+
+    for text in spelled(pattern):
+        assert re.fullmatch(pattern, text) and keyword in f" {text} "
+        assert any(g in f" {text} " for g in license_scan.GATE)
+
+
 def test_contained_license_goes(spark):
     text = "distributed under the terms of the GNU General Public License version 3. SPDX-License-Identifier: MIT"
     row = license_scan.scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
