@@ -38,7 +38,7 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC records and read back."""
     folder = new_folder(spark, "warc")
     warc.write_archives(load(spark, sf_dir, "pages"), folder)
-    return warc.read_archives(spark, folder).drop("payload")
+    return warc.read_archives(spark, folder).drop("payload", "record_id")
 
 
 def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
