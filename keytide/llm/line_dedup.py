@@ -143,15 +143,33 @@ def hot_tokens(spread: DataFrame, part: int) -> DataFrame:
 
 
 def meetings(
-    spread: DataFrame, unlike: str | None = None, bits: Sequence[str] = BITS, part: int = HOT, hot: DataFrame | None = None
+    spread: DataFrame,
+    unlike: str | None = None,
+    bits: Sequence[str] = BITS,
+    part: int = HOT,
+    hot: DataFrame | None = None,
+    before: str | None = None,
 ) -> DataFrame:
-    """``a, b``: classes that meet at a token and pass the filters; ``a`` is the lesser node.
+    """``a, b``: classes that meet at a token and pass the filters, each pair once; ``a`` is the lesser node.
 
     With ``unlike`` only those that differ in that column.  ``bits`` are the
     bitmap's columns, and tokens of more than ``part`` classes are cut into parts of that many;
-    ``hot`` are those tokens if they are known.
+    ``hot`` are those tokens if they are known.  ``before`` names a column of tokens that
+    stand before an entry's own in its prefix.
     """
-    entry = F.struct("node", "n", "at", *bits, *[unlike] * (unlike is not None))
+    return entries_met(spread, unlike, bits, part, hot, before).distinct()
+
+
+def entries_met(
+    spread: DataFrame, unlike: str | None, bits: Sequence[str], part: int, hot: DataFrame | None, before: str | None
+) -> DataFrame:
+    """``meetings`` with a row for each token at which a pair meets.
+
+    The filters hold at a similar pair's first common token, so with ``before`` a pair
+    that has met at a token in both entries' columns is left out: each stretch of
+    common tokens counts once, not each of its tokens.
+    """
+    entry = F.struct("node", "n", "at", *bits, *[c for c in (unlike, before) if c is not None])
     hot = cut(hot_tokens(spread, part)) if hot is None else hot
     few = spread.join(hot, "token", "left_anti")
     few = few.select("token", entry.alias("x")).join(few.select("token", entry.alias("y")), "token")
@@ -160,7 +178,8 @@ def meetings(
     every = many.select("token", entry.alias("y"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     met = few.select("x", "y").unionAll(parts.join(every, ["token", "part"]).select("x", "y"))
     met = met.where("x.node < y.node").where(f"x.{unlike} <> y.{unlike}" if unlike else "true").where(_could_match("x", "y", bits))
-    return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    met = met.where(f"not arrays_overlap(x.{before}, y.{before})" if before else "true")
+    return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
 class _Steps:

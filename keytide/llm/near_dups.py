@@ -40,6 +40,7 @@ from keytide.llm import line_dedup
 from keytide.llm.common import cut, texts
 from keytide.llm.graph import components
 from keytide.llm.text_arrays import mix, powers, shingles, signed, word_slices
+from keytide.session import setting
 
 SHINGLE = 5
 PERCENT = 75
@@ -51,6 +52,7 @@ AGREE = 50
 PARITIES = 1024
 BITS = tuple(f"b{i}" for i in range(PARITIES // 2 // 64))
 PART = 2048  # classes at a shingle that meet without being cut into parts
+BEFORE = 4  # shingles before an entry's own that it carries
 
 
 def _signatures(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -274,6 +276,17 @@ def _near_parities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield batch.select(["a", "b"]).take(pa.array(keep))
 
 
+def _spread(sets: DataFrame) -> DataFrame:
+    """An entry for each shingle of a set's prefix, with the ``BEFORE`` shingles before it."""
+    prefix = F.slice(line_dedup.rarest_first("tokens", line_dedup.token_ranks(sets)), 1, line_dedup.prefix_size(F.col("n")))
+    bits = [F.get("bits", i).alias(b) for i, b in enumerate(BITS)]
+    rows = sets.select("node", "root", "n", *bits, prefix.alias("prefix"))
+    # The outer form, as a filter on the array's size would make the array a second time.
+    rows = rows.select("*", F.posexplode_outer("prefix").alias("at", "token"))
+    before = F.slice("prefix", F.greatest(F.col("at") - (BEFORE - 1), F.lit(1)), F.least("at", F.lit(BEFORE)))
+    return rows.select("node", "root", "n", *BITS, "at", "token", before.alias("before"))
+
+
 def _exact_links(dense: DataFrame, held: DataFrame, roots: DataFrame) -> DataFrame:
     """All links ``a, b`` between different components among the classes ``dense(node)``."""
     sets = cut(held.join(dense, "node").select("node", "text").mapInArrow(_sets, "node long, tokens array<long>, parities binary, bits array<long>"))
@@ -282,11 +295,8 @@ def _exact_links(dense: DataFrame, held: DataFrame, roots: DataFrame) -> DataFra
     sets = sets.withColumns({"root": F.coalesce("root", "node"), "n": F.size("tokens")})
     # By number, as ranking a set takes more time than its bytes suggest.
     sets = cut(sets.repartition(int(held.sparkSession.conf.get("spark.sql.shuffle.partitions")), "node"))
-    prefix = F.slice(line_dedup.rarest_first("tokens", line_dedup.token_ranks(sets)), 1, line_dedup.prefix_size(F.col("n")))
-    # The outer form, as a filter on the array's size would make the array a second time.
-    bits = [F.get("bits", i).alias(b) for i, b in enumerate(BITS)]
-    spread = cut(sets.select("node", "root", "n", *bits, F.posexplode_outer(prefix).alias("at", "token")))
-    pairs = cut(_alike(line_dedup.meetings(spread, "root", BITS, PART), sets))
+    spread = cut(_spread(sets))
+    pairs = cut(_alike(line_dedup.meetings(spread, "root", BITS, PART, before="before"), sets))
     side = lambda x: sets.select(F.col("node").alias(x), F.col("tokens").alias(f"tokens_{x}"))
     pairs = pairs.join(side("a"), "a").join(side("b"), "b")
     pairs = pairs.withColumn("both", F.size(F.array_intersect("tokens_a", "tokens_b")))
@@ -294,16 +304,8 @@ def _exact_links(dense: DataFrame, held: DataFrame, roots: DataFrame) -> DataFra
     return cut(pairs.where((100 + PERCENT) * F.col("both") >= PERCENT * total).select("a", "b"))
 
 
-def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, digest, component_id, kept``, one row per row of ``docs``.
-
-    A text without words has no shingles and is its own component; a null text
-    counts as one.  ``component_id`` is the least id of the component, nulls
-    left out; a row is kept if it has that id, so rows that repeat an id stand
-    or fall together and a null id is kept only where no other id is in reach.
-    Other columns are not read.
-    """
-    docs = texts(docs, id_column, text_column)
+def _roots(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The documents with their digests, the classes ``node, digest, doc_id``, and each linked class's root."""
     signed_docs = cut(
         docs.mapInArrow(_sign, "doc_id long, n_shingles long, digest binary, signature binary")
     )
@@ -350,7 +352,22 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         # A component's star stands for the links that made it.
         stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
         roots = components(stars.unionAll(_exact_links(dense, held, roots)))
+    return signed_docs, classes, roots
+
+
+def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``doc_id, n_shingles, digest, component_id, kept``, one row per row of ``docs``.
 
+    A text without words has no shingles and is its own component; a null text
+    counts as one.  ``component_id`` is the least id of the component, nulls
+    left out; a row is kept if it has that id, so rows that repeat an id stand
+    or fall together and a null id is kept only where no other id is in reach.
+    Other columns are not read.
+    """
+    docs = texts(docs, id_column, text_column)
+    # Each step is a table; the shuffle files that made it go with it.
+    with setting(docs.sparkSession, line_dedup.FREE_SHUFFLES, "true"):
+        signed_docs, classes, roots = _roots(docs)
     named = classes.select("node", "digest", "doc_id").join(roots, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))

@@ -110,6 +110,17 @@ def test_large_regions_lose_no_links(spark, monkeypatch):
     assert 1 < len({r["component_id"] for r in got}) < 160
 
 
+def test_sets_meet_once_a_stretch_of_shingles(spark):
+    """Two sets with many shingles in common make few rows before they are told apart."""
+    rng = random.Random(23)
+    draw = lambda n: [rng.randrange(-(1 << 63), 1 << 63) for _ in range(n)]
+    common = draw(300)
+    rows = [(node, node, 360, common + draw(60), [0] * len(near_dups.BITS)) for node in range(2)]
+    sets = cut(spark.createDataFrame(rows, "node long, root long, n int, tokens array<long>, bits array<long>"))
+    met = line_dedup.entries_met(near_dups._spread(sets), "root", near_dups.BITS, near_dups.PART, None, "before").collect()
+    assert {tuple(r) for r in met} == {(0, 1)} and len(met) < 10
+
+
 def test_partition_ends_keep_their_order():
     """A region over three partitions; its rows are neighbours only in the order of places."""
     ends = [(5, node, node) for node in (9, 2, 7, 1)]
