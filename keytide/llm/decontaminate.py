@@ -5,14 +5,16 @@
    the item's shingles, and moving its start to its first such shingle only
    raises the similarity; so the windows that start at a shared shingle, with
    enough of them in reach, are all that can match.
-2. Those windows and the items get 64-bit SimHash fingerprints over their
+2. Those windows and the items get ``PRINTS`` 64-bit SimHash fingerprints over their
    shingles, each counted as often as it occurs.
-3. Fingerprints are cut into blocks.  Two within ``RADIUS`` bits differ by at most
-   ``RADIUS // BLOCKS`` bits in some block: a window looks up the blocks of the
-   items it shares shingles with, and one with such a block goes on, so none
+3. Two within ``WIDE_RADIUS`` bits over all prints differ by at most
+   ``WIDE_RADIUS // PRINTS`` bits in some print: a window looks up the prints of the
+   items it shares shingles with, and one with such a print goes on, so none
    within the radius is missed.  A pair at the limit differs in a bit with a chance of
-   up to 0.171 (simulated, 7 to 140 shingles), so by the binomial about 3 in 100
+   up to 0.171 (simulated, 7 to 140 shingles), so by the binomial about 2 in 100
    million such pairs lie beyond the radius and are lost; more similar ones less.
+   Of unlike pairs 3 in 1,000 meet in a print, and 4 in 10 billion lie within the radius.
+   (One print in ``BLOCKS`` blocks with ``RADIUS`` let 97 in 100 of them meet.)
 4. The similarity of the two multisets of shingles decides.
 
 Only DataFrame functions are used.  The benchmark's side is broadcast while its
@@ -23,6 +25,7 @@ from __future__ import annotations
 
 import functools
 import itertools
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +34,8 @@ from keytide.llm.common import ascii_lower, cut, texts, words
 
 SHINGLE = 5
 PERCENT = 75
-RADIUS, BLOCKS = 29, 10
+RADIUS, BLOCKS = 29, 10  # of one fingerprint
+WIDE_RADIUS, PRINTS = 79, 4  # of all of them
 BROADCAST_BYTES = 64 << 20
 ROW_BYTES = 64  # of a broadcast row besides its arrays
 
@@ -74,16 +78,39 @@ def blocks() -> list[tuple[int, int]]:
     return list(zip(itertools.accumulate([0, *widths]), widths))
 
 
-def share_a_block(x: Column, y: Column) -> Column:
-    """Whether two fingerprints are within their share of the radius in some block.
+def share_a_block(x: Column, y: Column, parts: Sequence[tuple[int, int]] | None = None, most: int = RADIUS // BLOCKS) -> Column:
+    """Whether two fingerprints differ by at most ``most`` bits in some block of ``parts``, their first bits and widths.
 
-    Two within the radius always are: if each of the blocks differed in more bits, so would all of them together.
+    Two within the radius always do: if each of the blocks differed in more bits, so would all of them together.
     """
     apart = x.bitwiseXOR(y)
-    near = [F.bit_count(F.shiftrightunsigned(apart, first).bitwiseAND(F.lit((1 << width) - 1))) <= RADIUS // BLOCKS for first, width in blocks()]
+    mask = lambda width: F.lit((1 << width) - 1 if width < 64 else -1).cast("long")
+    near = [F.bit_count(F.shiftrightunsigned(apart, first).bitwiseAND(mask(width))) <= most for first, width in parts or blocks()]
     return functools.reduce(Column.__or__, near)
 
 
+def _rehash(seed: int) -> Callable[[Column], Column]:
+    return lambda h: F.xxhash64(h, F.lit(seed))
+
+
+def with_prints(rows: DataFrame, name: str) -> DataFrame:
+    """``PRINTS`` fingerprints of ``hashes`` as an array: of the hashes themselves, then of these hashed again."""
+    again = {f"_again{k}": F.transform("hashes", _rehash(k)) for k in range(1, PRINTS)}
+    made = rows.withColumns(again)
+    return made.withColumn(name, F.array(*[fingerprint(F.col(c)) for c in ("hashes", *again)])).drop(*again)
+
+
+def share_a_print(x: Column, y: Column) -> Column:
+    """Whether two arrays of fingerprints are within their share of ``WIDE_RADIUS`` in some place."""
+    most = WIDE_RADIUS // PRINTS
+    return functools.reduce(Column.__or__, [share_a_block(x[i], y[i], [(0, 64)], most) for i in range(PRINTS)])
+
+
+def bits_apart(x: Column, y: Column) -> Column:
+    """In how many bits two arrays of fingerprints differ."""
+    return functools.reduce(Column.__add__, [F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(PRINTS)])
+
+
 def bounded(rows: DataFrame, size: Column, limit: int = BROADCAST_BYTES) -> DataFrame:
     """The rows with a broadcast hint if their bytes, counted, are few, else as they are; ``size`` is that of a row."""
     few = (rows.agg(F.sum(size)).first()[0] or 0) <= limit
@@ -104,7 +131,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def _leaks(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
     """Leaks of the items whose shingles have ``size`` words."""
     listed = with_hashes(items, size).withColumn("n", F.size("hashes"))
-    listed = cut(listed.withColumn("fingerprint", fingerprint(F.col("hashes"))).withColumn("hashes", F.sort_array("hashes")))
+    listed = cut(with_prints(listed, "prints").withColumn("hashes", F.sort_array("hashes")))
     listed = listed.withColumn("tokens", weighted("hashes"))
     shared = listed.select("item_id", "n", F.explode(F.array_distinct("hashes")).alias("hash"))
     shared = bounded(shared, F.lit(ROW_BYTES))
@@ -126,16 +153,18 @@ def _leaks(docs: DataFrame, items: DataFrame, size: int) -> DataFrame:
     held = with_hashes(_keyed(docs).join(starts, same).drop("_id", "_key"), size)
     windows = held.select("doc_id", "text_key", "hashes", F.inline_outer("windows"))
     windows = windows.withColumn("hashes", F.sort_array(F.slice("hashes", F.col("start") + 1, F.col("n")))).distinct()
-    windows = cut(windows.withColumn("fingerprint", fingerprint(F.col("hashes"))))
+    windows = cut(with_prints(windows, "prints"))
 
     pairs = pairs.withColumnsRenamed({"doc_id": "_id", "text_key": "_key", "n": "_n", "start": "_start"})
     same = same & (F.col("n") == F.col("_n")) & (F.col("start") == F.col("_start"))
-    listed = listed.select("item_id", "n", "length", "tokens", F.col("fingerprint").alias("item_fingerprint"))
-    listed = bounded(listed, ROW_BYTES + 8 * F.size("tokens"))
-    prints = windows.select("doc_id", "text_key", "n", "start", "fingerprint").join(pairs, same).drop("_id", "_key", "_n", "_start")
+    listed = listed.select("item_id", "n", "length", "tokens", F.col("prints").alias("item_prints"))
+    listed = bounded(listed, ROW_BYTES + 8 * PRINTS + 8 * F.size("tokens"))
+    prints = windows.select("doc_id", "text_key", "n", "start", "prints").join(pairs, same).drop("_id", "_key", "_n", "_start")
     tested = windows.select("doc_id", "text_key", "n", "start", "hashes")
-    met = prints.join(listed, ["item_id", "n"]).where(share_a_block(F.col("fingerprint"), F.col("item_fingerprint")))
-    met = met.withColumn("distance", F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_fingerprint")))).where(F.col("distance") <= RADIUS)
+    x, y = F.col("prints"), F.col("item_prints")
+    met = prints.join(listed, ["item_id", "n"]).where(share_a_print(x, y)).where(bits_apart(x, y) <= WIDE_RADIUS)
+    # As before there were more prints, the distance is that of the first.
+    met = met.withColumn("distance", F.bit_count(x[0].bitwiseXOR(y[0])))
     met = met.withColumnsRenamed({"doc_id": "_id", "text_key": "_key", "n": "_n", "start": "_start"})
     tested = tested.join(met, same).withColumn("window_tokens", weighted("hashes"))
     tested = tested.withColumn("both", F.size(F.array_intersect("tokens", "window_tokens")))

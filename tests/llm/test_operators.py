@@ -193,6 +193,22 @@ def test_fingerprint_blocks_miss_nothing(spark):
     assert rows.where(meets).count() == 0
 
 
+def test_prints_part_unlike_texts(spark):
+    """Texts with one word of 40 changed are within the radius and meet; few of chance do."""
+    made = [prose(3000 + i, 40).split() for i in range(60)]
+    rows = [(i, " ".join(m), " ".join([*m[:20], "changed", *m[21:]])) for i, m in enumerate(made)]
+    frame = spark.createDataFrame(rows, "id long, a string, b string")
+    sides = []
+    for c in ("a", "b"):
+        hashed = decontaminate.with_hashes(frame.select("id", F.col(c).alias("text")), 5)
+        sides.append(cut(decontaminate.with_prints(hashed, f"{c}_prints").select(F.col("id").alias(c), f"{c}_prints")))
+    x, y = F.col("a_prints"), F.col("b_prints")
+    meets = sides[0].crossJoin(sides[1]).where(decontaminate.share_a_print(x, y))
+    meets = meets.select("a", "b", decontaminate.bits_apart(x, y).alias("apart")).collect()
+    assert {r["a"] for r in meets if r["a"] == r["b"] and r["apart"] <= decontaminate.WIDE_RADIUS} == set(range(60))
+    assert len(meets) < 60 + 60 * 59 // 20
+
+
 def test_only_shared_shingles_are_compared(spark, monkeypatch):
     """Windows meet the items they share shingles with, and no others of their length."""
     items = [(i, prose(100 + i, 30)) for i in range(40)]
