@@ -14,7 +14,7 @@
    ``HOT`` classes is cut into parts of about that many, which meet all of them.
    The tokens meet in ``ROUNDS`` rounds, by their hash, so that the disk holds that
    part of the prefixes' entries at a time.
-5. Jaccard on the full sets decides.  Only the sets of classes that met are made
+5. Jaccard on the full sets decides, in as many rounds by the pair's first class.  Only the sets of classes that met are made
    again, from their first lines.  All links are found, so a group of like
    lines costs as many pairs as it has links, and equal lines cost none.
 
@@ -239,10 +239,15 @@ def near_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
         keyed = sets.select("doc_id", "line_no", n.alias("n"), prefix.alias("prefix"), *_keys("tokens"), *bitmap("tokens"))
         keyed = steps.write(keyed, "keyed")
         classes = steps.write(_classes(keyed), "classes")
-        links = _verified(lines, ranks, classes, steps.write(_met(classes, steps), "pairs"), steps)
+        places = steps.write(keyed.select("doc_id", "line_no", "k1", "k2"), "places")
+        steps.remove("keyed")
+        pairs = steps.write(_met(classes, steps), "pairs")
+        steps.remove("hot", "met")
+        links = _verified(lines, ranks, classes, pairs, steps)
+        steps.remove("pairs", "wanted", "sets")
         named = steps.write(_named(classes, links), "named")
-        steps.remove("hot", "met", "pairs", "wanted", "sets", "links", "classes")
-    out = keyed.select("doc_id", "line_no", "k1", "k2").join(named, ["k1", "k2"])
+        steps.remove("links", "classes")
+    out = places.join(named, ["k1", "k2"])
     later = ~F.struct("doc_id", "line_no").eqNullSafe(F.col("first"))
     return out.select(
         "doc_id", "line_no",
@@ -281,10 +286,14 @@ def _verified(lines: DataFrame, ranks: Column, classes: DataFrame, pairs: DataFr
     sets = steps.write(sets.select("node", "tokens").dropDuplicates(["node"]), "sets")
     a = sets.select(F.col("node").alias("a"), F.col("tokens").alias("a_tokens"))
     b = sets.select(F.col("node").alias("b"), F.col("tokens").alias("b_tokens"))
-    tested = pairs.join(a, "a").join(b, "b")
     both = F.size(F.array_intersect("a_tokens", "b_tokens"))
-    tested = tested.select("a", "b", both.alias("both"), (F.size("a_tokens") + F.size("b_tokens")).alias("sum"))
-    return steps.write(tested.where(f"{100 + PERCENT} * both >= {PERCENT} * sum").select("a", "b"), "links")
+    for number in range(ROUNDS):
+        # The sets move with their pairs; a round has those of a part of the first ones.
+        here = F.pmod("a", F.lit(ROUNDS)) == number
+        tested = pairs.where(here).join(a.where(here), "a").join(b, "b")
+        tested = tested.select("a", "b", both.alias("both"), (F.size("a_tokens") + F.size("b_tokens")).alias("sum"))
+        steps.write(tested.where(f"{100 + PERCENT} * both >= {PERCENT} * sum").select("a", "b"), f"links/round={number}")
+    return steps.spark.read.parquet(f"{steps.folder}/links").select("a", "b")
 
 
 def drop_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

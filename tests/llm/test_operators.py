@@ -351,6 +351,15 @@ def test_line_links_are_all_counted(spark, monkeypatch):
     assert max(n for n, _ in expected.values()) > 5
 
 
+def test_line_steps_leave_little(spark, docs, monkeypatch):
+    """Places without prefixes and the named classes are all that stays of the steps."""
+    folder = new_folder(spark, "test-lines")
+    monkeypatch.setattr(line_dedup, "new_folder", lambda *_: folder)
+    rows = line_dedup.near_lines(docs)
+    assert {p.name for p in Path(folder.removeprefix("file://")).iterdir()} == {"places", "named"}
+    assert spark.read.parquet(f"{folder}/places").columns == ["doc_id", "line_no", "k1", "k2"] and rows.count() > 0
+
+
 def test_mix_meets_targets(spark, none, odd):
     rng = random.Random(7)
     rows = [(i, " ".join(["w"] * rng.choice([3, 5, 5, 5, 20, 90])), rng.choice(["a", "b", "b", "c", None]), None, None, None, None, None) for i in range(600)]
