@@ -10,13 +10,20 @@
    ``n - ceil(2t / (1 + t) * n) + 1``.  Classes meet by such tokens; the length and
    positional filters drop pairs that cannot reach the overlap, and so does a
    bitmap of 128 parities: two sets differ in at least as many tokens as bits.
-4. Every class meets every other at its prefix tokens.  A token of more than
+4. Classes that share a token with many go into groups, each by the class of most
+   lines at its tokens; a group's centre is the set of tokens that most of its classes have.
+   Sets of ``n`` and ``m`` tokens that differ in ``d`` are alike if ``d`` is at most
+   ``(1 - t) / (1 + t) * (n + m)``, and ``d`` is at most what both differ from the
+   centre.  So each class has a slack, and two whose slacks make up for each other
+   are linked: running sums by slack count these links and find the first line among
+   them, without a row for a pair.  Other links of a group are between sets that
+   differ from the centre in a common token, by which they are joined.  Any grouping is right.
+5. Every class meets those of other groups at its prefix tokens, if another class has them.  A token of more than
    ``HOT`` classes is cut into parts of about that many, which meet all of them.
    The tokens meet in ``ROUNDS`` rounds, by their hash, so that the disk holds that
    part of the prefixes' entries at a time.
-5. Jaccard on the full sets decides, in as many rounds by the pair's first class.  Only the sets of classes that met are made
-   again, from their first lines.  All links are found, so a group of like
-   lines costs as many pairs as it has links, and equal lines cost none.
+6. Jaccard on the full sets decides, in as many rounds by the pair's first class.  Only the sets of classes in groups and of
+   those that met are made again, from their first lines.  All links are found, and equal lines cost no pairs.
 
 Each step is written to the shared folder and its shuffle files are dropped then; the
 steps' tables go as soon as the next one has been written.  Only DataFrame functions are used.
@@ -26,7 +33,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keytide.llm.common import NOT_BLANK, ascii_lower, cut, texts
@@ -36,6 +43,9 @@ from keytide.session import setting
 PERCENT = 75
 BUCKETS = 1 << 16
 HOT = 256  # classes at a token, or in a part of one
+DENSE = 8  # classes at a token, or in a group, beyond which they are grouped
+LOOSE = 65  # similarity, by the bitmaps, of a class and its group's first one
+FAR = 44  # bits, of 128, that any two unlike sets differ in
 BITS = ("b0", "b1")
 ROUNDS = 4
 BLANKS = "\t\x0b\x0c\r"  # white space within a line, other than the space
@@ -171,15 +181,20 @@ def entries_met(
     """
     entry = F.struct("node", "n", "at", *bits, *[c for c in (unlike, before) if c is not None])
     hot = cut(hot_tokens(spread, part)) if hot is None else hot
+    met = _faced(spread, entry, hot)
+    met = met.where("x.node < y.node").where(f"x.{unlike} <> y.{unlike}" if unlike else "true").where(_could_match("x", "y", bits))
+    met = met.where(f"not arrays_overlap(x.{before}, y.{before})" if before else "true")
+    return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+
+
+def _faced(spread: DataFrame, entry: Column, hot: DataFrame) -> DataFrame:
+    """``token, x, y``: each two entries of a token; those of the ``hot`` ones in parts."""
     few = spread.join(hot, "token", "left_anti")
     few = few.select("token", entry.alias("x")).join(few.select("token", entry.alias("y")), "token")
     many = spread.join(hot, "token")
     parts = many.select("token", F.pmod(F.hash("node"), F.col("parts")).alias("part"), entry.alias("x"))
     every = many.select("token", entry.alias("y"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    met = few.select("x", "y").unionAll(parts.join(every, ["token", "part"]).select("x", "y"))
-    met = met.where("x.node < y.node").where(f"x.{unlike} <> y.{unlike}" if unlike else "true").where(_could_match("x", "y", bits))
-    met = met.where(f"not arrays_overlap(x.{before}, y.{before})" if before else "true")
-    return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    return few.select("token", "x", "y").unionAll(parts.join(every, ["token", "part"]).select("token", "x", "y"))
 
 
 class _Steps:
@@ -206,12 +221,99 @@ def _classes(keyed: DataFrame) -> DataFrame:
     return classes.withColumn("node", F.monotonically_increasing_id())
 
 
-def _met(classes: DataFrame, steps: _Steps) -> DataFrame:
-    """Candidates ``a, b`` of all rounds."""
-    spread = classes.select("node", "n", "b0", "b1", F.posexplode("prefix").alias("at", "token"))
-    hot = steps.write(hot_tokens(spread, HOT), "hot")
+def _spread(classes: DataFrame, *columns: str) -> DataFrame:
+    return classes.select("node", "n", "b0", "b1", *columns, F.posexplode("prefix").alias("at", "token"))
+
+
+def _here(column: str, number: int) -> Column:
+    return F.pmod(column, F.lit(ROUNDS)) == number
+
+
+def _shared_tokens(classes: DataFrame) -> DataFrame:
+    """``token, users, first`` of tokens of two classes or more; ``first`` is the class of most lines, by its ``weight``."""
+    hashed = F.xxhash64("node").bitwiseAND(F.lit((1 << 40) - 1))
+    weight = F.shiftleft(F.least("lines", F.lit(1 << 22)), 40).bitwiseOR(hashed)
+    spread = classes.select("node", weight.alias("weight"), F.explode("prefix").alias("token"))
+    found = spread.groupBy("token").agg(F.count("*").alias("users"), F.max_by("node", "weight").alias("first"), F.max("weight").alias("weight"))
+    return found.where("users > 1")
+
+
+def _groups(classes: DataFrame, shared: DataFrame, steps: _Steps) -> DataFrame:
+    """``node, hub``: classes in groups of more than ``DENSE``, by the first class of most weight at their tokens."""
+    firsts = classes.select(F.col("node").alias("first"), *[F.col(c).alias(f"first_{c}") for c in ("n", "b0", "b1")])
+    dense = steps.write(shared.where(f"users > {DENSE}").join(firsts, "first"), "dense")
+    both = F.col("n") + F.col("first_n")
+    apart = sum(F.bit_count(F.col(b).bitwiseXOR(F.col(f"first_{b}"))) for b in BITS)
+    close = ((100 - LOOSE) * both >= (100 + LOOSE) * apart) & (apart < FAR)
+    for number in range(ROUNDS):
+        entries = _spread(classes).where(_here("token", number))
+        # A class and one that is like it share a token of the smaller one's short prefix.
+        entries = entries.where((100 + PERCENT) * (F.col("n") - F.col("at")) >= 2 * PERCENT * F.col("n"))
+        near = entries.join(dense.where(_here("token", number)), "token").where(close & (F.col("first") != F.col("node")))
+        steps.write(near.groupBy("node").agg(F.max_by("first", "weight").alias("hub"), F.max("weight").alias("weight")), f"led/round={number}")
+    led = steps.spark.read.parquet(f"{steps.folder}/led").groupBy("node").agg(F.max_by("hub", "weight").alias("hub"))
+    led = steps.write(led, "groups")
+    firsts = led.select(F.col("hub").alias("node")).distinct().join(led, "node", "left_anti")
+    every = led.unionAll(firsts.select("node", F.col("node").alias("hub")))
+    large = every.groupBy("hub").count().where(f"count > {DENSE}").select("hub")
+    return every.join(large, "hub", "left_semi").select("node", "hub")
+
+
+def _members(grouped: DataFrame, classes: DataFrame, sets: DataFrame, steps: _Steps) -> DataFrame:
+    """``node, hub, n, first, lines, apart, other, slack`` of the classes that a group can count links of.
+
+    ``other`` are the ``apart`` tokens in which a class differs from the centre.
+    """
+    grouped = steps.write(grouped.join(sets, "node"), "grouped")
+    # A centre is any set; that of the tokens in most of the sets differs least from them in all.
+    often = grouped.select("hub", F.explode("tokens").alias("token")).groupBy("hub", "token").agg(F.count("*").alias("often"))
+    often = often.join(grouped.groupBy("hub").agg(F.count("*").alias("size")), "hub").where("2 * often > size")
+    centres = steps.write(often.groupBy("hub").agg(F.collect_list("token").alias("centre")), "centres")
+    other = F.concat(F.array_except("tokens", "centre"), F.array_except("centre", "tokens"))
+    rows = grouped.join(centres, "hub").join(classes.select("node", "n", "first", "lines"), "node")
+    rows = rows.select("node", "hub", "n", "first", "lines", F.sort_array(other).alias("other")).withColumn("apart", F.size("other"))
+    rows = steps.write(rows.withColumn("slack", (100 - PERCENT) * F.col("n") - (100 + PERCENT) * F.col("apart")), "slacks")
+    most = rows.groupBy("hub").agg(F.max("slack").alias("most")).where("most >= 0")
+    return rows.join(most, "hub").where("slack + most >= 0").drop("most")
+
+
+def _counted(members: DataFrame) -> DataFrame:
+    """``a, least, others``: first line and number of lines of the classes whose slacks make up for a class's own."""
+    had = members.groupBy("hub", "slack").agg(F.sum("lines").alias("lines"), F.min("first").alias("least"))
+    asked = had.select("hub", (-F.col("slack")).alias("slack"), F.lit(1).alias("asked"), F.lit(0).alias("lines"), F.when(F.lit(False), F.col("least")).alias("least"))
+    order = Window.partitionBy("hub").orderBy(F.desc("slack"), "asked").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    had = had.select("hub", "slack", F.lit(0).alias("asked"), "lines", "least").unionAll(asked)
+    sums = had.select("hub", "slack", "asked", F.sum("lines").over(order).alias("others"), F.min("least").over(order).alias("least")).where("asked = 1")
+    sums = sums.select("hub", (-F.col("slack")).alias("slack"), "others", "least")
+    # A class whose slack is not negative is among those it asked for; its own first line is no earlier one.
+    own = F.when(F.col("slack") >= 0, F.col("lines")).otherwise(0)
+    return members.join(sums, ["hub", "slack"]).select(F.col("node").alias("a"), "least", (F.col("others") - own).alias("others"))
+
+
+def _uncounted(members: DataFrame) -> DataFrame:
+    """Links ``a, b`` within groups that the slacks do not tell; such sets differ from the centre in a common token."""
+    few = members.groupBy("hub").agg(F.min("slack").alias("fewest")).where("fewest < 0")
+    rows = members.join(few, "hub").where("slack + fewest < 0")
+    spread = rows.select("node", "slack", "other", F.explode("other").alias("at"), "hub").withColumn("token", F.xxhash64("hub", "at"))
+    spread = cut(spread.select("node", "slack", "other", "hub", "at", "token"))
+    met = _faced(spread, F.struct("node", "slack", "other", "hub", "at"), cut(hot_tokens(spread, HOT)))
+    met = met.where("x.node < y.node and x.hub = y.hub and x.at = y.at and x.slack + y.slack < 0")
+    common = F.array_intersect("x.other", "y.other")
+    met = met.where(F.col("x.slack") + F.col("y.slack") + 2 * (100 + PERCENT) * F.size(common) >= 0)
+    return met.where(F.array_min(common) == F.col("x.at")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+
+
+def _met(classes: DataFrame, members: DataFrame, shared: DataFrame, steps: _Steps) -> DataFrame:
+    """Candidates ``a, b`` of all rounds, but for those within a group."""
+    hubs = members.select(F.col("node").alias("member"), "hub")
+    named = classes.join(hubs, classes["node"] == hubs["member"], "left").withColumn("hub", F.coalesce("hub", "node"))
+    spread = _spread(steps.write(named.select("node", "n", "b0", "b1", "hub", "prefix"), "hubs"), "hub")
+    hot = shared.where(f"users > {HOT}").select("token", F.ceil(F.col("users") / HOT).cast("int").alias("parts"))
+    hot = steps.write(hot, "hot")
     for number in range(ROUNDS):
-        steps.write(meetings(spread.where(F.pmod("token", F.lit(ROUNDS)) == number), part=HOT, hot=hot), f"met/round={number}")
+        tokens = shared.where(_here("token", number)).select("token")
+        entries = spread.where(_here("token", number)).join(tokens, "token", "left_semi")
+        steps.write(meetings(entries, "hub", part=HOT, hot=hot.where(_here("token", number))), f"met/round={number}")
     return steps.spark.read.parquet(f"{steps.folder}/met").select("a", "b").distinct()
 
 
@@ -241,12 +343,19 @@ def near_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
         classes = steps.write(_classes(keyed), "classes")
         places = steps.write(keyed.select("doc_id", "line_no", "k1", "k2"), "places")
         steps.remove("keyed")
-        pairs = steps.write(_met(classes, steps), "pairs")
-        steps.remove("hot", "met")
+        shared = steps.write(_shared_tokens(classes), "shared")
+        grouped = steps.write(_groups(classes, shared, steps), "together")
+        steps.remove("dense", "led", "groups")
+        sets = _sets(lines, ranks, classes, grouped.select("node"), steps)
+        members = steps.write(_members(grouped, classes, sets, steps), "members")
+        steps.remove("together", "wanted", "sets", "grouped", "centres", "slacks")
+        steps.write(_uncounted(members), f"links/round={ROUNDS}")
+        pairs = steps.write(_met(classes, members, shared, steps), "pairs")
+        steps.remove("shared", "hubs", "hot", "met")
         links = _verified(lines, ranks, classes, pairs, steps)
         steps.remove("pairs", "wanted", "sets")
-        named = steps.write(_named(classes, links), "named")
-        steps.remove("links", "classes")
+        named = steps.write(_named(classes, links, _counted(members)), "named")
+        steps.remove("links", "members", "classes")
     out = places.join(named, ["k1", "k2"])
     later = ~F.struct("doc_id", "line_no").eqNullSafe(F.col("first"))
     return out.select(
@@ -258,21 +367,21 @@ def near_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     )
 
 
-def _named(classes: DataFrame, links: DataFrame) -> DataFrame:
+def _named(classes: DataFrame, links: DataFrame, counted: DataFrame) -> DataFrame:
     """``k1, k2, first, match, n_links`` of each class."""
     ends = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    others = classes.select(F.col("node").alias("b"), F.col("first").alias("other"), F.col("lines").alias("others"))
-    linked = ends.join(others, "b").groupBy("a").agg(F.min("other").alias("least"), F.sum("others").alias("others"))
+    others = classes.select(F.col("node").alias("b"), F.col("first").alias("least"), F.col("lines").alias("others"))
+    linked = ends.join(others, "b").select("a", "least", "others").unionAll(counted.select("a", "least", "others"))
+    linked = linked.groupBy("a").agg(F.min("least").alias("least"), F.sum("others").alias("others"))
     return classes.join(linked, classes["node"] == linked["a"], "left").select(
         "k1", "k2", "first", F.when(F.col("least") < F.col("first"), F.col("least")).alias("match"),
         (F.col("lines") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
     )
 
 
-def _verified(lines: DataFrame, ranks: Column, classes: DataFrame, pairs: DataFrame, steps: _Steps) -> DataFrame:
-    """The pairs ``a, b`` whose full sets are similar enough."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = classes.join(wanted, "node", "left_semi").select(
+def _sets(lines: DataFrame, ranks: Column, classes: DataFrame, nodes: DataFrame, steps: _Steps) -> DataFrame:
+    """``node, tokens`` of the classes ``nodes``, made again."""
+    wanted = classes.join(nodes, "node", "left_semi").select(
         "node", F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("first.doc_id").alias("_doc"), F.col("first.line_no").alias("_line")
     )
     # A table, so that the join knows its size.
@@ -283,13 +392,18 @@ def _verified(lines: DataFrame, ranks: Column, classes: DataFrame, pairs: DataFr
     made = F.struct("node", "_k1", "_k2", numbers(F.col("line"), ranks).alias("tokens"))
     sets = lines.join(wanted, same).select(F.inline(F.array(made)))
     sets = sets.select("node", "_k1", "_k2", "tokens", *_keys("tokens")).where("k1 = _k1 and k2 = _k2")
-    sets = steps.write(sets.select("node", "tokens").dropDuplicates(["node"]), "sets")
+    return steps.write(sets.select("node", "tokens").dropDuplicates(["node"]), "sets")
+
+
+def _verified(lines: DataFrame, ranks: Column, classes: DataFrame, pairs: DataFrame, steps: _Steps) -> DataFrame:
+    """The pairs ``a, b`` whose full sets are similar enough, after the links written before."""
+    sets = _sets(lines, ranks, classes, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), steps)
     a = sets.select(F.col("node").alias("a"), F.col("tokens").alias("a_tokens"))
     b = sets.select(F.col("node").alias("b"), F.col("tokens").alias("b_tokens"))
     both = F.size(F.array_intersect("a_tokens", "b_tokens"))
     for number in range(ROUNDS):
         # The sets move with their pairs; a round has those of a part of the first ones.
-        here = F.pmod("a", F.lit(ROUNDS)) == number
+        here = _here("a", number)
         tested = pairs.where(here).join(a.where(here), "a").join(b, "b")
         tested = tested.select("a", "b", both.alias("both"), (F.size("a_tokens") + F.size("b_tokens")).alias("sum"))
         steps.write(tested.where(f"{100 + PERCENT} * both >= {PERCENT} * sum").select("a", "b"), f"links/round={number}")

@@ -351,6 +351,58 @@ def test_line_links_are_all_counted(spark, monkeypatch):
     assert max(n for n, _ in expected.values()) > 5
 
 
+def variants(rng, base, n, changes, others):
+    """``n`` lines of ``base`` with some words left out, replaced or added."""
+    made = []
+    for _ in range(n):
+        line = list(base)
+        for _ in range(rng.choice(changes)):
+            k = rng.randrange(len(line))
+            line[k : k + 1] = rng.choice([[], [rng.choice(others)], [rng.choice(others)], [line[k], rng.choice(others)]])
+        made.append(" ".join(line))
+    return made
+
+
+def test_line_groups_link_without_pairs(spark, monkeypatch):
+    """All variants of a line are alike; their links are counted, and no pair of them is made."""
+    rng = random.Random(12)
+    lines = variants(rng, [f"w{i}" for i in range(48)], 70, [1, 2], [f"v{i}" for i in range(900)])
+    pairs = [(i, "\n".join(lines[i::5] + lines[i : i + 2])) for i in range(5)]
+    made, verified = [], line_dedup._verified
+
+    def watched(lines, ranks, classes, pairs, steps):
+        made.append(pairs.count())
+        return verified(lines, ranks, classes, pairs, steps)
+
+    monkeypatch.setattr(line_dedup, "_verified", watched)
+    rows = line_dedup.near_lines(spark.createDataFrame(pairs, "doc_id long, text string")).collect()
+    expected = brute.line_links(pairs)
+    assert {(r["doc_id"], r["line_no"]): r["n_links"] for r in rows} == {p: n for p, (n, _) in expected.items()}
+    assert min(n for n, _ in expected.values()) >= 60 and made == [0]
+
+
+@pytest.mark.parametrize("hot", [line_dedup.HOT, 8])
+def test_line_groups_of_mixed_variants(spark, monkeypatch, hot):
+    """Links that the distance to a group's centre tells and those that it does not, in groups with groups in them."""
+    rng = random.Random(13)
+    monkeypatch.setattr(line_dedup, "HOT", hot)
+    base = [f"w{i}" for i in range(30)]
+    near = variants(rng, base, 1, [4], ["x0", "x1", "x2"])[0].split()
+    lines = variants(rng, base, 45, range(8), [f"v{i}" for i in range(12)]) + variants(rng, near, 30, range(6), [f"u{i}" for i in range(9)])
+    lines += variants(rng, base[:9], 25, range(3), ["s", "t"]) + lines[:6] + ["one", "two words", ""]
+    rng.shuffle(lines)
+    pairs = [(None if i == 3 else i, "\n".join(lines[i::7])) for i in range(7)]
+    told, uncounted = [], line_dedup._uncounted
+    monkeypatch.setattr(line_dedup, "_uncounted", lambda members: told.append(uncounted(members).count()) or uncounted(members))
+    rows = line_dedup.near_lines(spark.createDataFrame(pairs, "doc_id long, text string")).collect()
+    expected = brute.line_links([(-1 if i is None else i, t) for i, t in pairs])
+    got = {(-1 if r["doc_id"] is None else r["doc_id"], r["line_no"]): r for r in rows}
+    assert {p: r["n_links"] for p, r in got.items()} == {p: n for p, (n, _) in expected.items()}
+    match = {p: None if r["match_line"] is None else (-1 if r["match_doc"] is None else r["match_doc"], r["match_line"]) for p, r in got.items()}
+    assert match == {p: m for p, (_, m) in expected.items()}
+    assert told[0] > 0
+
+
 def test_line_steps_leave_little(spark, docs, monkeypatch):
     """Places without prefixes and the named classes are all that stays of the steps."""
     folder = new_folder(spark, "test-lines")
