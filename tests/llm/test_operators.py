@@ -502,6 +502,31 @@ def test_words_are_encoded_as_the_library_does(monkeypatch):
     assert set(made.known) == {b"some", b"words", b",", b".", b"?", b"!"}
 
 
+def test_words_before_runs_of_marks_are_known_ones():
+    """Marks of any number are set off, and words that come again stay known when others go."""
+    from tokenizers import Tokenizer
+
+    tokenizer, made = Tokenizer.from_file(tokenizer_path()), token_codes.WordEncoder(tokenizer_path())
+    texts = ["Words### words,$$$ é.*** words", "###words a'##b ##'s ab'## é'' a-b -- -a (a) [é]_ <|b|>", "#", "a#", "É##", "#a", "a=\u0338 a>\u0338 #\u0301", "x" + "#" * 3000]
+    for text in texts:
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        assert made.encode([text.encode()]) == [np.array(ids, "<u4").tobytes()], text
+    made = token_codes.WordEncoder(tokenizer_path())
+    made.encode([texts[0].encode()])
+    assert set(made.known) == {"words".encode(), "é".encode(), b"###", b",$$$", b".***"}
+
+
+def test_words_that_come_again_stay_known(monkeypatch):
+    made, asked = token_codes.WordEncoder(tokenizer_path()), []
+    ids = made.known.make
+    made.known.make = lambda word: asked.append(word) or ids(word)
+    monkeypatch.setattr(token_codes, "CACHE_WORDS", 40)
+    for text in [b"the word%s a" % (b"x" * i) for i in range(200)] * 2:
+        made.encode([text])
+        assert len(made.known) + len(made.known.older) <= 2 * (20 + 3)
+    assert asked.count(b"the") == asked.count(b"a") == 1 and len(asked) == 402
+
+
 def test_wide_ids_pack():
     ids = np.array([0, 255, 256, 65535, 65536, 1 << 24, (1 << 32) - 1] * 300, dtype=np.uint32)
     path = "/tmp/keytide-test-wide.dac"
