@@ -1,27 +1,27 @@
 """Near-duplicate lines by an exact set-similarity join.
 
-1. A line is the set of its tokens' 64-bit hashes.  Equal sets are one class,
-   represented by their first line.
-2. Tokens are ordered by rarity: how many words of all texts have each of 65,536
-   hash buckets ranks the buckets, and a token's number is its bucket's rank followed
-   by the rest of its hash.  Numbers stand for hashes one to one.
-3. Two sets of Jaccard similarity ``PERCENT`` or more share a token among the
-   first ``n - ceil(t * n) + 1`` of each, and the smaller has it among its first
-   ``n - ceil(2t / (1 + t) * n) + 1``.  Classes meet by such tokens; the length and
-   positional filters drop pairs that cannot reach the overlap, and so does a
+1. A line is the set of its tokens' 64-bit numbers: 60 bits of the hash behind four that
+   put longer tokens first, as they are the rarer ones.  Any order gives the same links, and this one needs no
+   count of the words.  Equal sets are one class, represented by their first line.
+2. A gram is two tokens that stand next to each other in a set's order.  Of the grams of
+   a set of ``n`` tokens a token that the other set lacks spoils two, and one that only the
+   other has spoils one.  Two sets of Jaccard similarity ``PERCENT`` or more have all but
+   ``2 * (1 - t) * n`` grams in common, so they share one among the first
+   ``2 * (1 - t) * n + 1`` of each.  Unlike lines seldom share one.
+3. Grams that only one class has go at once.  Classes meet by the others: the length and
+   positional filters drop pairs that cannot be alike, and so does a
    bitmap of 128 parities: two sets differ in at least as many tokens as bits.
-4. Classes that share a token with many go into groups, each by the class of most
-   lines at its tokens; a group's centre is the set of tokens that most of its classes have.
+4. Classes that share a gram with many go into groups, each by the class of the greatest key
+   at its grams; a group's centre is the set of tokens that most of its classes have.
    Sets of ``n`` and ``m`` tokens that differ in ``d`` are alike if ``d`` is at most
    ``(1 - t) / (1 + t) * (n + m)``, and ``d`` is at most what both differ from the
    centre.  So each class has a slack, and two whose slacks make up for each other
    are linked: running sums by slack count these links and find the first line among
    them, without a row for a pair.  Other links of a group are between sets that
    differ from the centre in a common token, by which they are joined.  Any grouping is right.
-5. Every class meets those of other groups at its prefix tokens, if another class has them.  A token of more than
-   ``HOT`` classes is cut into parts of about that many, which meet all of them.
-   The tokens meet in ``ROUNDS`` rounds, by their hash, so that the disk holds that
-   part of the prefixes' entries at a time.
+5. A gram of more than ``HOT`` classes is cut into parts of about that many, which meet all of them.
+   The grams meet in rounds, by their hash, so that the disk holds a
+   part of the entries at a time.
 6. Jaccard on the full sets decides, in as many rounds by the pair's first class.  Only the sets of classes in groups and of
    those that met are made again, from their first lines.  All links are found, and equal lines cost no pairs.
 
@@ -32,11 +32,12 @@ steps' tables go as soon as the next one has been written.  Only DataFrame funct
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keytide.llm.common import NOT_BLANK, ascii_lower, cut, texts
+from keytide.llm.common import LOWER, NOT_BLANK, UPPER, cut, texts
 from keytide.llm.storage import new_folder, remove
 from keytide.session import setting
 
@@ -48,23 +49,26 @@ LOOSE = 65  # similarity, by the bitmaps, of a class and its group's first one
 FAR = 44  # bits, of 128, that any two unlike sets differ in
 BITS = ("b0", "b1")
 ROUNDS = 4
+PARTS = 6  # rounds of the grams of all lines, whose entries are the largest shuffle
+OFTEN, LISTED = 64, 4096  # lines of a class, and classes, of which only the first lines are looked at
 BLANKS = "\t\x0b\x0c\r"  # white space within a line, other than the space
+OTHER_CASE = r"[\p{IsUppercase}\p{Lt}\p{Cn}&&[^A-Z]]"  # what ``lower`` may change besides A-Z
 # Spark drops an execution's shuffle files when it ends.
 FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def plain(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``doc_id, text`` with A-Z lower-cased and spaces for all white space but line ends.
+def plain(line: Column) -> Column:
+    """A line with A-Z lower-cased and spaces for all white space.
 
-    A split at one plain character is twice as fast as one at a pattern.
+    A split at one plain character is twice as fast as one at a pattern, and ``lower`` is faster than ``translate``.
     """
-    text = F.col("text")
-    spaced = F.when(F.rlike(text, F.lit(f"[{BLANKS}]")), F.translate(text, BLANKS, " " * len(BLANKS))).otherwise(text)
-    return texts(docs, id_column, text_column).select("doc_id", ascii_lower(spaced).alias("text"))
+    spaced = F.when(F.rlike(line, F.lit(f"[{BLANKS}]")), F.translate(line, BLANKS, " " * len(BLANKS))).otherwise(line)
+    return F.when(F.rlike(line, F.lit(OTHER_CASE)), F.translate(spaced, UPPER, LOWER)).otherwise(F.lower(spaced))
 
 
-def lines_of(rows: DataFrame) -> DataFrame:
-    """``doc_id, line_no, line`` of every line with a word, numbered from 0; ``rows`` are ``plain`` ones."""
+def lines_of(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``doc_id, line_no, line`` of every line with a word, numbered from 0."""
+    rows = texts(docs, id_column, text_column)
     split = rows.select("doc_id", F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line"))
     return split.where(F.col("line").rlike(NOT_BLANK))
 
@@ -88,12 +92,6 @@ def token_ranks(sets: DataFrame) -> Column:
     return _ranks(sets.select(F.explode("tokens").alias("token")))
 
 
-def word_ranks(rows: DataFrame) -> Column:
-    """Rank of each token bucket by how many words of the ``plain`` rows have it."""
-    found = rows.select(F.explode(F.split(F.translate("text", "\n", " "), " ")).alias("word"))
-    return _ranks(found.select(F.xxhash64("word").alias("token")))
-
-
 def _number(token: Column, ranks: Column) -> Column:
     rank = F.get(ranks, _bucket(token)).cast("long") - (BUCKETS >> 1)
     return F.shiftleft(rank, 48).bitwiseOR(token.bitwiseAND(F.lit((1 << 48) - 1)))
@@ -104,28 +102,37 @@ def rarest_first(tokens: str, ranks: Column) -> Column:
     return F.sort_array(F.transform(tokens, lambda token: _number(token, ranks)))
 
 
-def numbers(line: Column, ranks: Column) -> Column:
-    """The numbers of a ``plain`` line's distinct tokens, rarest first."""
-    split = F.array_remove(F.split(line, " "), "")
-    return F.sort_array(F.array_distinct(F.transform(split, lambda word: _number(F.xxhash64(word), ranks))))
+def numbers(line: Column) -> Column:
+    """The numbers of a line's distinct tokens, the longest first."""
+    def number(word: Column) -> Column:
+        short = F.lit(7) - F.least(F.octet_length(word), F.lit(15))
+        return F.shiftleft(short.cast("long"), 60).bitwiseOR(F.shiftrightunsigned(F.xxhash64(word), 4))
+
+    split = F.array_remove(F.split(plain(line), " "), "")
+    return F.sort_array(F.array_distinct(F.transform(split, number)))
+
+
+def grams(tokens: str, n: Column) -> Column:
+    """The first grams of a set, one of which it shares with each similar one; sets of two tokens have no similar one."""
+    size = F.when(n > 2, F.least(F.floor(2 * (100 - PERCENT) * n / 100).cast("int") + 1, n - 1)).otherwise(0)
+    return F.zip_with(F.slice(tokens, 1, size), F.slice(tokens, 2, size), lambda token, following: F.xxhash64(token, following))
 
 
-def _keys(tokens: str) -> list[Column]:
+def _keys(tokens: str, seed: Column) -> list[Column]:
     """128 bits that stand for a set."""
-    return [F.xxhash64(tokens).alias("k1"), F.xxhash64(F.lit(PERCENT), tokens).alias("k2")]
+    return [F.xxhash64(seed, tokens).alias("k1"), F.xxhash64(F.lit(PERCENT), tokens).alias("k2")]
 
 
 def bitmap(tokens: str) -> list[Column]:
     """128 bits, each the parity of how many of the set's tokens fall on it."""
     def half(which: int) -> Column:
         def flip(bits: Column, token: Column) -> Column:
-            here = F.shiftrightunsigned(token, 6).bitwiseAND(F.lit(1)) == which
-            one = F.call_function("shiftleft", F.lit(1).cast("long"), token.bitwiseAND(F.lit(63)).cast("int"))
-            return F.when(here, bits.bitwiseXOR(one)).otherwise(bits)
+            here = F.shiftrightunsigned(token, 6).bitwiseAND(F.lit(1)).bitwiseXOR(F.lit(which))
+            return bits.bitwiseXOR(F.call_function("shiftleft", here.cast("long"), token.bitwiseAND(F.lit(63)).cast("int")))
 
         return F.aggregate(tokens, F.lit(0).cast("long"), flip)
 
-    return [half(0).alias("b0"), half(1).alias("b1")]
+    return [half(1).alias("b0"), half(0).alias("b1")]
 
 
 def prefix_size(n: Column) -> Column:
@@ -212,46 +219,78 @@ class _Steps:
             remove(f"{self.folder}/{name}")
 
 
-def _classes(keyed: DataFrame) -> DataFrame:
-    """``node, first, lines`` of each class, with what the join needs of it."""
-    classes = keyed.groupBy("k1", "k2").agg(
-        F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("lines"),
-        *[F.first(c).alias(c) for c in ("n", "b0", "b1", "prefix")],
-    )
-    return classes.withColumn("node", F.monotonically_increasing_id())
+def _keyed(lines: DataFrame, steps: _Steps) -> tuple[DataFrame, DataFrame]:
+    """Each line's keys, grams and what else the join needs of it; ``node, k1, k2, seed, first, lines, n`` of each class.
+
+    ``node`` is the first key.  Should two sets have the same one, all are made anew.
+    """
+    for seed in count():
+        sets = lines.select("doc_id", "line_no", numbers(F.col("line")).alias("tokens"))
+        n = F.size("tokens")
+        keyed = sets.select("doc_id", "line_no", n.alias("n"), grams("tokens", n).alias("grams"), *_keys("tokens", F.lit(seed)), *bitmap("tokens"))
+        keyed = steps.write(keyed, "keyed")
+        classes = keyed.groupBy("k1").agg(
+            F.min("k2").alias("k2"), F.max("k2").alias("other"), F.min(F.struct("doc_id", "line_no")).alias("first"),
+            F.count("*").alias("lines"), F.first("n").alias("n"),
+        )
+        classes = steps.write(classes.withColumns({"node": F.col("k1"), "seed": F.lit(seed)}), "classes")
+        if classes.where("k2 <> other").isEmpty():
+            return keyed, classes.drop("other")
+        steps.remove("keyed", "classes")
 
 
-def _spread(classes: DataFrame, *columns: str) -> DataFrame:
-    return classes.select("node", "n", "b0", "b1", *columns, F.posexplode("prefix").alias("at", "token"))
+def _here(column: str, number: int, rounds: int = ROUNDS) -> Column:
+    return F.pmod(column, F.lit(rounds)) == number
 
 
-def _here(column: str, number: int) -> Column:
-    return F.pmod(column, F.lit(ROUNDS)) == number
+def _entries(keyed: DataFrame, classes: DataFrame) -> DataFrame:
+    """``node, n, b0, b1, at, token`` of each line's grams ``token``; the classes of most lines have those of their first only."""
+    often = classes.where(f"lines > {OFTEN}").orderBy(F.desc("lines")).limit(LISTED).select("k1", F.col("first").alias("kept"))
+    rows = keyed.join(F.broadcast(often), "k1", "left")
+    rows = rows.where(F.col("kept").isNull() | F.struct("doc_id", "line_no").eqNullSafe(F.col("kept")))
+    return rows.select(F.col("k1").alias("node"), "n", *BITS, F.posexplode("grams").alias("at", "token"))
 
 
-def _shared_tokens(classes: DataFrame) -> DataFrame:
-    """``token, users, first`` of tokens of two classes or more; ``first`` is the class of most lines, by its ``weight``."""
-    hashed = F.xxhash64("node").bitwiseAND(F.lit((1 << 40) - 1))
-    weight = F.shiftleft(F.least("lines", F.lit(1 << 22)), 40).bitwiseOR(hashed)
-    spread = classes.select("node", weight.alias("weight"), F.explode("prefix").alias("token"))
-    found = spread.groupBy("token").agg(F.count("*").alias("users"), F.max_by("node", "weight").alias("first"), F.max("weight").alias("weight"))
-    return found.where("users > 1")
+def _spread(entries: DataFrame, steps: _Steps) -> tuple[DataFrame, DataFrame]:
+    """Candidates ``a, b`` at grams of few rows; entries of the other grams, with their ``users`` and ``first``.
+
+    ``first`` is the class of the greatest key, ``users`` how many rows the gram has, at least one for each class.
+    """
+    same = Window.partitionBy("token")
+    for number in range(PARTS):
+        here = entries.where(_here("token", number, PARTS)).select(
+            "*", F.count("*").over(same).alias("users"), F.max("node").over(same).alias("first"), F.min("node").over(same).alias("last")
+        )
+        here = steps.write(here.where("first <> last").drop("last"), "spread")
+        few = here.where(f"users <= {DENSE}").select("token", "node", "n", "at", *BITS)
+        met = few.alias("x").join(few.alias("y"), F.col("x.token") == F.col("y.token"))
+        met = met.where("x.node < y.node").where(_may_be_alike())
+        steps.write(met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), f"few/round={number}")
+        steps.write(here.where(f"users > {DENSE}").dropDuplicates(["token", "node"]), f"many/round={number}")
+        steps.remove("spread")
+    few, many = (steps.spark.read.parquet(f"{steps.folder}/{name}").drop("round") for name in ("few", "many"))
+    return few, many
+
+
+def _may_be_alike() -> Column:
+    """Filters on a pair ``x, y`` that shares a gram at places ``at``: length, first common gram, position, bitmap."""
+    n, m, at, place = (F.col(c) for c in ("x.n", "y.n", "x.at", "y.at"))
+    near = 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
+    # All grams before the first common one are spoilt; a token that only one set has spoils three at most, of both.
+    early = (100 + PERCENT) * (at + place) <= 3 * (100 - PERCENT) * (n + m)
+    most = F.least(n - at, m - place) + F.least(at, place)
+    apart = sum(F.bit_count(F.col(f"x.{b}").bitwiseXOR(F.col(f"y.{b}"))) for b in BITS)
+    most = F.least(2 * most, n + m - apart)
+    return near & early & ((100 + PERCENT) * most >= 2 * PERCENT * (n + m))
 
 
-def _groups(classes: DataFrame, shared: DataFrame, steps: _Steps) -> DataFrame:
-    """``node, hub``: classes in groups of more than ``DENSE``, by the first class of most weight at their tokens."""
-    firsts = classes.select(F.col("node").alias("first"), *[F.col(c).alias(f"first_{c}") for c in ("n", "b0", "b1")])
-    dense = steps.write(shared.where(f"users > {DENSE}").join(firsts, "first"), "dense")
+def _groups(many: DataFrame, steps: _Steps) -> DataFrame:
+    """``node, hub``: classes in groups of more than ``DENSE``, by the class of the greatest key at their grams."""
+    firsts = many.where("node = first").select("token", *[F.col(c).alias(f"first_{c}") for c in ("n", *BITS)])
     both = F.col("n") + F.col("first_n")
     apart = sum(F.bit_count(F.col(b).bitwiseXOR(F.col(f"first_{b}"))) for b in BITS)
     close = ((100 - LOOSE) * both >= (100 + LOOSE) * apart) & (apart < FAR)
-    for number in range(ROUNDS):
-        entries = _spread(classes).where(_here("token", number))
-        # A class and one that is like it share a token of the smaller one's short prefix.
-        entries = entries.where((100 + PERCENT) * (F.col("n") - F.col("at")) >= 2 * PERCENT * F.col("n"))
-        near = entries.join(dense.where(_here("token", number)), "token").where(close & (F.col("first") != F.col("node")))
-        steps.write(near.groupBy("node").agg(F.max_by("first", "weight").alias("hub"), F.max("weight").alias("weight")), f"led/round={number}")
-    led = steps.spark.read.parquet(f"{steps.folder}/led").groupBy("node").agg(F.max_by("hub", "weight").alias("hub"))
+    led = many.where("node <> first").join(firsts, "token").where(close).groupBy("node").agg(F.max("first").alias("hub"))
     led = steps.write(led, "groups")
     firsts = led.select(F.col("hub").alias("node")).distinct().join(led, "node", "left_anti")
     every = led.unionAll(firsts.select("node", F.col("node").alias("hub")))
@@ -303,18 +342,23 @@ def _uncounted(members: DataFrame) -> DataFrame:
     return met.where(F.array_min(common) == F.col("x.at")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
-def _met(classes: DataFrame, members: DataFrame, shared: DataFrame, steps: _Steps) -> DataFrame:
-    """Candidates ``a, b`` of all rounds, but for those within a group."""
-    hubs = members.select(F.col("node").alias("member"), "hub")
-    named = classes.join(hubs, classes["node"] == hubs["member"], "left").withColumn("hub", F.coalesce("hub", "node"))
-    spread = _spread(steps.write(named.select("node", "n", "b0", "b1", "hub", "prefix"), "hubs"), "hub")
-    hot = shared.where(f"users > {HOT}").select("token", F.ceil(F.col("users") / HOT).cast("int").alias("parts"))
+def _met(few: DataFrame, many: DataFrame, members: DataFrame, steps: _Steps) -> DataFrame:
+    """Candidates ``a, b`` at all grams, but for those within a group."""
+    hubs = members.select("node", "hub")
+    named = many.join(hubs, "node", "left").select("token", "node", "n", "at", *BITS, "hub", "users")
+    named = steps.write(named, "hubs")
+    hot = named.where(f"users > {HOT}").select("token", F.ceil(F.col("users") / HOT).cast("int").alias("parts")).distinct()
     hot = steps.write(hot, "hot")
     for number in range(ROUNDS):
-        tokens = shared.where(_here("token", number)).select("token")
-        entries = spread.where(_here("token", number)).join(tokens, "token", "left_semi")
-        steps.write(meetings(entries, "hub", part=HOT, hot=hot.where(_here("token", number))), f"met/round={number}")
-    return steps.spark.read.parquet(f"{steps.folder}/met").select("a", "b").distinct()
+        here = _here("token", number)
+        met = _faced(named.where(here), F.struct("node", "n", "at", *BITS, "hub"), hot.where(here))
+        # A class in no group has no hub; it may be another group's.
+        met = met.where("x.node < y.node and coalesce(x.hub <> y.hub, true)").where(_may_be_alike())
+        steps.write(met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), f"met/round={number}")
+    met = steps.spark.read.parquet(f"{steps.folder}/met").select("a", "b").unionAll(few).distinct()
+    for end in ("a", "b"):
+        met = met.join(hubs.select(F.col("node").alias(end), F.col("hub").alias(f"hub_{end}")), end, "left")
+    return met.where("coalesce(hub_a <> hub_b, true)").select("a", "b")
 
 
 def near_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -332,27 +376,20 @@ def near_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     spark = docs.sparkSession
     steps = _Steps(docs)
     with setting(spark, FREE_SHUFFLES, "true"):
-        rows = plain(docs, id_column, text_column)
-        ranks = word_ranks(rows)
-        lines = lines_of(rows)
-        sets = lines.select("doc_id", "line_no", numbers(F.col("line"), ranks).alias("tokens"))
-        n = F.size("tokens")
-        prefix = F.slice("tokens", 1, prefix_size(n))
-        keyed = sets.select("doc_id", "line_no", n.alias("n"), prefix.alias("prefix"), *_keys("tokens"), *bitmap("tokens"))
-        keyed = steps.write(keyed, "keyed")
-        classes = steps.write(_classes(keyed), "classes")
+        lines = lines_of(docs, id_column, text_column)
+        keyed, classes = _keyed(lines, steps)
         places = steps.write(keyed.select("doc_id", "line_no", "k1", "k2"), "places")
+        few, many = _spread(_entries(keyed, classes), steps)
         steps.remove("keyed")
-        shared = steps.write(_shared_tokens(classes), "shared")
-        grouped = steps.write(_groups(classes, shared, steps), "together")
-        steps.remove("dense", "led", "groups")
-        sets = _sets(lines, ranks, classes, grouped.select("node"), steps)
+        grouped = steps.write(_groups(many, steps), "together")
+        steps.remove("groups")
+        sets = _sets(lines, classes, grouped.select("node"), steps)
         members = steps.write(_members(grouped, classes, sets, steps), "members")
         steps.remove("together", "wanted", "sets", "grouped", "centres", "slacks")
         steps.write(_uncounted(members), f"links/round={ROUNDS}")
-        pairs = steps.write(_met(classes, members, shared, steps), "pairs")
-        steps.remove("shared", "hubs", "hot", "met")
-        links = _verified(lines, ranks, classes, pairs, steps)
+        pairs = steps.write(_met(few, many, members, steps), "pairs")
+        steps.remove("few", "many", "hubs", "hot", "met")
+        links = _verified(lines, PERCENT, classes, pairs, steps)
         steps.remove("pairs", "wanted", "sets")
         named = steps.write(_named(classes, links, _counted(members)), "named")
         steps.remove("links", "members", "classes")
@@ -379,25 +416,25 @@ def _named(classes: DataFrame, links: DataFrame, counted: DataFrame) -> DataFram
     )
 
 
-def _sets(lines: DataFrame, ranks: Column, classes: DataFrame, nodes: DataFrame, steps: _Steps) -> DataFrame:
+def _sets(lines: DataFrame, classes: DataFrame, nodes: DataFrame, steps: _Steps) -> DataFrame:
     """``node, tokens`` of the classes ``nodes``, made again."""
     wanted = classes.join(nodes, "node", "left_semi").select(
-        "node", F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("first.doc_id").alias("_doc"), F.col("first.line_no").alias("_line")
+        "node", "seed", F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("first.doc_id").alias("_doc"), F.col("first.line_no").alias("_line")
     )
     # A table, so that the join knows its size.
     wanted = steps.write(wanted, "wanted")
     # Sets are made from the class's first line, met by its place; the keys tell repeated ids apart.
     # The generator keeps the keys' comparison above the join, where sets would be made of all lines.
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("line_no") == F.col("_line"))
-    made = F.struct("node", "_k1", "_k2", numbers(F.col("line"), ranks).alias("tokens"))
+    made = F.struct("node", "seed", "_k1", "_k2", numbers(F.col("line")).alias("tokens"))
     sets = lines.join(wanted, same).select(F.inline(F.array(made)))
-    sets = sets.select("node", "_k1", "_k2", "tokens", *_keys("tokens")).where("k1 = _k1 and k2 = _k2")
+    sets = sets.select("node", "_k1", "_k2", "tokens", *_keys("tokens", F.col("seed"))).where("k1 = _k1 and k2 = _k2")
     return steps.write(sets.select("node", "tokens").dropDuplicates(["node"]), "sets")
 
 
-def _verified(lines: DataFrame, ranks: Column, classes: DataFrame, pairs: DataFrame, steps: _Steps) -> DataFrame:
-    """The pairs ``a, b`` whose full sets are similar enough, after the links written before."""
-    sets = _sets(lines, ranks, classes, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), steps)
+def _verified(lines: DataFrame, percent: int, classes: DataFrame, pairs: DataFrame, steps: _Steps) -> DataFrame:
+    """The pairs ``a, b`` whose full sets have similarity ``percent`` or more, after the links written before."""
+    sets = _sets(lines, classes, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), steps)
     a = sets.select(F.col("node").alias("a"), F.col("tokens").alias("a_tokens"))
     b = sets.select(F.col("node").alias("b"), F.col("tokens").alias("b_tokens"))
     both = F.size(F.array_intersect("a_tokens", "b_tokens"))
@@ -406,7 +443,7 @@ def _verified(lines: DataFrame, ranks: Column, classes: DataFrame, pairs: DataFr
         here = _here("a", number)
         tested = pairs.where(here).join(a.where(here), "a").join(b, "b")
         tested = tested.select("a", "b", both.alias("both"), (F.size("a_tokens") + F.size("b_tokens")).alias("sum"))
-        steps.write(tested.where(f"{100 + PERCENT} * both >= {PERCENT} * sum").select("a", "b"), f"links/round={number}")
+        steps.write(tested.where(f"{100 + percent} * both >= {percent} * sum").select("a", "b"), f"links/round={number}")
     return steps.spark.read.parquet(f"{steps.folder}/links").select("a", "b")
 
 

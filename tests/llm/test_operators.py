@@ -412,6 +412,49 @@ def test_line_steps_leave_little(spark, docs, monkeypatch):
     assert spark.read.parquet(f"{folder}/places").columns == ["doc_id", "line_no", "k1", "k2"] and rows.count() > 0
 
 
+def test_similar_sets_share_one_of_their_first_grams(spark):
+    """Sets of 3 to 40 tokens and similar ones that lack some tokens, have others, or both; unlike lines with common tokens do not meet."""
+    rng = random.Random(14)
+    pairs = []
+    for n in [*range(3, 41)] * 6:
+        base = rng.sample([f"{'x' * rng.randrange(9)}{i}" for i in range(400)], n)
+        gone = rng.randrange(n // 4 + 1)
+        other = base[gone:] + [f"new{'y' * rng.randrange(9)}{i}" for i in range((4 * (n - gone) - 3 * n) // 3)]
+        assert 4 * (n - gone) >= 3 * len({*base, *other})
+        pairs += [(len(pairs) + i, " ".join(rng.sample(w, len(w)))) for i, w in enumerate((base, other))]
+    rows = spark.createDataFrame(pairs, "doc_id long, line string").select("doc_id", line_dedup.numbers(F.col("line")).alias("tokens"))
+    rows = {r["doc_id"]: r for r in rows.select("doc_id", "tokens", line_dedup.grams("tokens", F.size("tokens")).alias("grams")).collect()}
+    for i in range(0, len(pairs), 2):
+        assert {*rows[i]["grams"]} & {*rows[i + 1]["grams"]} or rows[i]["tokens"] == rows[i + 1]["tokens"]
+        assert all(len(rows[i + k]["grams"]) <= len(rows[i + k]["tokens"]) // 2 + 1 for k in (0, 1))
+    common = [("the of and to in a is it " + " ".join(f"{rng.choice('abcdefgh')}longer{rng.randrange(10**9)}" for _ in range(12)),) for _ in range(50)]
+    spread = spark.createDataFrame(common, "line string").select(line_dedup.numbers(F.col("line")).alias("tokens"))
+    spread = spread.select(F.explode(line_dedup.grams("tokens", F.size("tokens"))).alias("gram"))
+    assert spread.groupBy("gram").count().where("count > 1").isEmpty()
+
+
+def test_line_keys_that_clash_are_made_anew(spark, monkeypatch):
+    keys, seeds = line_dedup._keys, []
+
+    def clashing(tokens, seed):
+        seeds.append(seed)
+        k1, k2 = keys(tokens, seed)
+        return [F.when(seed == 0, F.lit(1).cast("long")).otherwise(k1).alias("k1"), k2]
+
+    monkeypatch.setattr(line_dedup, "_keys", clashing)
+    lines = "one two three four five six seven\nother words\none two three four five six seven eight\nwords other"
+    rows = line_dedup.near_lines(spark.createDataFrame([(1, lines)], "doc_id long, text string")).orderBy("line_no").collect()
+    assert [(r["class_line"], r["match_line"], r["n_links"]) for r in rows] == [(0, None, 1), (1, None, 1), (2, 0, 1), (1, None, 1)]
+
+
+def test_plain_lowers_a_to_z_only(spark):
+    """Every code point by itself, and words that have both cases."""
+    chars = spark.range(1, 0x110000).where("id not between 55296 and 57343")
+    chars = chars.select(F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32").alias("c"))
+    changed = chars.where(line_dedup.plain(F.concat(F.lit("aB"), "c")) != F.concat(F.lit("ab"), "c")).select("c").collect()
+    assert {r["c"] for r in changed} == {*"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\x0b\x0c\r"}
+
+
 def test_mix_meets_targets(spark, none, odd):
     rng = random.Random(7)
     rows = [(i, " ".join(["w"] * rng.choice([3, 5, 5, 5, 20, 90])), rng.choice(["a", "b", "b", "c", None]), None, None, None, None, None) for i in range(600)]
