@@ -19,7 +19,7 @@
    are linked: running sums by slack count these links and find the first line among
    them, without a row for a pair.  Other links of a group are between sets that
    differ from the centre in a common token, by which they are joined.  Any grouping is right.
-5. A gram of more than ``HOT`` classes is cut into parts of about that many, which meet all of them.
+5. A gram of more than ``HOT`` classes is cut into parts of about that many, which meet all that are not in its main group.
    The grams meet in rounds, by their hash, so that the disk holds a
    part of the entries at a time.
 6. Jaccard on the full sets decides, in as many rounds by the pair's first class.  Only the sets of classes in groups and of
@@ -342,19 +342,31 @@ def _uncounted(members: DataFrame) -> DataFrame:
     return met.where(F.array_min(common) == F.col("x.at")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
+def _apart(named: DataFrame) -> DataFrame:
+    """``x, y``: each two entries of a gram once, but for those of its main group if it is cut into parts."""
+    entry = F.struct("node", "n", "at", *BITS, "hub")
+    cold = named.where(f"users <= {HOT}").select("token", entry.alias("x"))
+    cold = cold.join(cold.select("token", F.col("x").alias("y")), "token").where("x.node < y.node")
+    hot = named.where(f"users > {HOT}").withColumn("parts", F.ceil(F.col("users") / HOT).cast("int"))
+    main = hot.where("hub is not null").groupBy("token").agg(F.mode("hub").alias("main"))
+    hot = hot.join(main, "token", "left").withColumn("own", F.expr("coalesce(hub = main, false)"))
+    parts = hot.select("token", F.pmod(F.hash("node"), F.col("parts")).alias("part"), "own", entry.alias("x"))
+    # Two of the main group need not meet, so only the others go to all parts.
+    every = hot.where("not own").select("token", entry.alias("y"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    faced = parts.join(every, ["token", "part"]).where("own or x.node < y.node")
+    return cold.select("x", "y").unionAll(faced.select("x", "y"))
+
+
 def _met(few: DataFrame, many: DataFrame, members: DataFrame, steps: _Steps) -> DataFrame:
     """Candidates ``a, b`` at all grams, but for those within a group."""
     hubs = members.select("node", "hub")
     named = many.join(hubs, "node", "left").select("token", "node", "n", "at", *BITS, "hub", "users")
     named = steps.write(named, "hubs")
-    hot = named.where(f"users > {HOT}").select("token", F.ceil(F.col("users") / HOT).cast("int").alias("parts")).distinct()
-    hot = steps.write(hot, "hot")
     for number in range(ROUNDS):
-        here = _here("token", number)
-        met = _faced(named.where(here), F.struct("node", "n", "at", *BITS, "hub"), hot.where(here))
         # A class in no group has no hub; it may be another group's.
-        met = met.where("x.node < y.node and coalesce(x.hub <> y.hub, true)").where(_may_be_alike())
-        steps.write(met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), f"met/round={number}")
+        met = _apart(named.where(_here("token", number))).where("coalesce(x.hub <> y.hub, true)").where(_may_be_alike())
+        ends = [f("x.node", "y.node").alias(end) for f, end in ((F.least, "a"), (F.greatest, "b"))]
+        steps.write(met.select(*ends).distinct(), f"met/round={number}")
     met = steps.spark.read.parquet(f"{steps.folder}/met").select("a", "b").unionAll(few).distinct()
     for end in ("a", "b"):
         met = met.join(hubs.select(F.col("node").alias(end), F.col("hub").alias(f"hub_{end}")), end, "left")
@@ -388,7 +400,7 @@ def near_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
         steps.remove("together", "wanted", "sets", "grouped", "centres", "slacks")
         steps.write(_uncounted(members), f"links/round={ROUNDS}")
         pairs = steps.write(_met(few, many, members, steps), "pairs")
-        steps.remove("few", "many", "hubs", "hot", "met")
+        steps.remove("few", "many", "hubs", "met")
         links = _verified(lines, PERCENT, classes, pairs, steps)
         steps.remove("pairs", "wanted", "sets")
         named = steps.write(_named(classes, links, _counted(members)), "named")
